@@ -54,15 +54,23 @@ def validate_summaries(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 # ---- time ---------------------------------------------------------------------
 
+def _prune(df: DataFrame, low: Column, high: Column | None = None) -> DataFrame:
+    """Repeat a time bound on the partition columns of stored history."""
+    for name, key in (("hour_key", hour_key), ("day", lambda ts: F.date_format(ts, "yyyy-MM-dd"))):
+        if name in df.columns:
+            stored = F.col(name).cast("string")
+            df = df.filter(stored >= key(low))
+            df = df if high is None else df.filter(stored <= key(high))
+    return df
+
+
 def recent_history(df: DataFrame, now: datetime, num_days: int) -> DataFrame:
     """Rows of the last ``num_days`` days, oldest first.
 
-    The bound is repeated on ``hour_key`` so that partitioned storage is pruned.
+    The bound is repeated on the partition column so that stored history is pruned.
     """
     start = F.lit(now - timedelta(days=num_days)).cast("timestamp")
-    if "hour_key" in df.columns:
-        df = df.filter(F.col("hour_key") >= hour_key(start))
-    return df.filter(F.col("timestamp") >= start).orderBy("timestamp")
+    return _prune(df, start).filter(F.col("timestamp") >= start).orderBy("timestamp")
 
 
 def history_by_day_range(df: DataFrame, start: date, end: date, limit: int = DAY_RANGE_LIMIT) -> DataFrame:
@@ -72,9 +80,7 @@ def history_by_day_range(df: DataFrame, start: date, end: date, limit: int = DAY
     """
     low = F.lit(start).cast("timestamp")
     high = F.lit(end + timedelta(days=1)).cast("timestamp")
-    if "hour_key" in df.columns:
-        df = df.filter((F.col("hour_key") >= hour_key(low)) & (F.col("hour_key") < hour_key(high)))
-    return df.filter((F.col("timestamp") >= low) & (F.col("timestamp") < high)) \
+    return _prune(df, low, high).filter((F.col("timestamp") >= low) & (F.col("timestamp") < high)) \
         .orderBy("timestamp").limit(limit)
 
 

@@ -58,18 +58,9 @@ def normalize_totals(totals: DataFrame) -> DataFrame:
                          (total != 0).alias("has_emotion"))
 
 
-def by_emotion(value_of) -> Column:
-    """One array entry per emotion, for ``inline``: label, its place, its value."""
-    return F.array(*[
-        F.struct(F.lit(i).alias("emotion_pos"), F.lit(e).alias("emotion"), value_of(e).alias("strength"))
-        for i, e in enumerate(EMOTIONS)
-    ])
-
-
 def rank_strengths(long: DataFrame, group_cols: Sequence[str], k: int, position_col: str) -> DataFrame:
     """Top ``k`` rows per group and emotion; of equal rows the later position wins."""
-    w = Window.partitionBy(*group_cols, "emotion_pos", "emotion") \
-        .orderBy(F.desc("strength"), F.desc(position_col))
+    w = Window.partitionBy(*group_cols, "emotion").orderBy(F.desc("strength"), F.desc(position_col))
     return long.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
@@ -77,9 +68,9 @@ def strengths(posts: DataFrame, group_cols: Sequence[str], temperature: float,
               position_col: str, carry: Sequence[str] = ()) -> DataFrame:
     """Narrow rows (group, position, emotion, strength), six per kept post."""
     u = popularity(F.col("post_score"), temperature)
-    narrow = scorable(posts).select(
-        *group_cols, position_col, *carry, by_emotion(lambda e: u * F.col(f"sentiment.{e}")).alias("_e"))
-    return narrow.select(*group_cols, position_col, *carry, F.inline("_e"))
+    ids = [*group_cols, position_col, *carry]
+    narrow = scorable(posts).select(*ids, *[(u * F.col(f"sentiment.{e}")).alias(e) for e in EMOTIONS])
+    return narrow.unpivot(ids, list(EMOTIONS), "emotion", "strength")
 
 
 def top_contributors(
@@ -106,33 +97,45 @@ def top_contributors(
 
 def nest_contributors(winners: DataFrame, group_cols: Sequence[str], post: Column) -> DataFrame:
     """Winners to one ``top_contributors`` array per group (six emotions, k posts each)."""
-    per_emotion = winners.groupBy(*group_cols, "emotion_pos", "emotion").agg(
+    per_emotion = winners.groupBy(*group_cols, "emotion").agg(
         F.sort_array(F.collect_list(F.struct(F.col("rank"), post.alias("p")))).alias("ranked"))
-    entry = F.struct("emotion_pos", "emotion", F.transform("ranked", lambda r: r["p"]).alias("top_posts"))
-    drop_pos = lambda t: F.struct(t["emotion"].alias("emotion"), t["top_posts"].alias("top_posts"))
+    place = F.array_position(F.array(*map(F.lit, EMOTIONS)), F.col("emotion"))
+    entry = F.struct(place.alias("place"), "emotion", F.transform("ranked", lambda r: r["p"]).alias("top_posts"))
+    drop_place = lambda t: F.struct(t["emotion"].alias("emotion"), t["top_posts"].alias("top_posts"))
     return per_emotion.groupBy(*group_cols).agg(
-        F.transform(F.sort_array(F.collect_list(entry)), drop_pos).alias("top_contributors"))
+        F.transform(F.sort_array(F.collect_list(entry)), drop_place).alias("top_contributors"))
+
+
+def with_details(winners: DataFrame, posts: DataFrame, keys: Sequence[str], position_col: str,
+                 details: DataFrame | None, key_col: str) -> DataFrame:
+    """Winners with the columns of their posts, and those only ``details`` has."""
+    bounded = (lambda df: df) if keys else F.broadcast  # at most 6 * k rows without groups
+    full = posts.join(bounded(winners), [*keys, position_col])
+    if details is None:
+        return full
+    extra = [c for c in details.columns if c not in full.columns]
+    return details.select(key_col, *extra).join(bounded(full), key_col)
 
 
 def sentiment_summary(
     posts: DataFrame, group_cols: Sequence[str] = (), temperature: float = TEMPERATURE,
-    k: int = TOP_K, position_col: str = "position",
+    k: int = TOP_K, position_col: str = "position", details: DataFrame | None = None,
+    key_col: str = "post_id",
 ) -> DataFrame:
     """One row per group: six averages and ``top_contributors``.
 
     No row without a positively scored post; zeros and NULL contributors when every
     emotion is zero. Without ``group_cols`` the whole input is one group.
+
+    ``posts`` is read three times, so scores should be written first. It may then be
+    a narrow table (key, position, groups, score, sentiment) with the texts left in
+    ``details``, one row per ``key_col``, which is read once for the winners.
     """
     keys = list(group_cols)
     averages = normalize_totals(emotion_totals(posts, keys, temperature))
     winners = top_contributors(posts, keys, temperature, k, position_col)
-    details = posts.select(*keys, position_col, post_struct(posts).alias("post"))
-    if not keys:
-        # At most 6 * k rows.
-        winners = F.broadcast(winners)
-    full = winners.join(details, [*keys, position_col])
-    post = F.col("post").withField("contribution", F.col("contribution"))
-    nested = nest_contributors(full, keys, post)
+    full = with_details(winners, posts, keys, position_col, details, key_col)
+    nested = nest_contributors(full, keys, post_struct(full))
     shape = [*keys, *EMOTIONS]
     if keys:
         return averages.join(nested, keys, "left").select(*shape, "top_contributors")

@@ -84,18 +84,7 @@ def past_days(spark: SparkSession, root: str, now: datetime, num_days: int,
 def warehouse_days(spark: SparkSession, root: str, start: date, end: date) -> DataFrame:
     """Warehouse rows between two dates."""
     rows = history_by_day_range(read_latest(spark, f"{root}/warehouse"), start, end)
-    return validate_warehouse(rows)
-
-
-def validate_warehouse(rows: DataFrame) -> DataFrame:
-    """Rows in warehouse shape that still form valid summaries."""
-    full = rows.withColumn("_stored", F.col("top_contributors")).withColumn(
-        "top_contributors", F.transform("top_contributors", lambda t: F.struct(
-            t["emotion"].alias("emotion"),
-            F.transform(t["top_posts"], lambda p: p.withField("post_text", F.lit(None).cast("string")))
-            .alias("top_posts"))))
-    good, _ = validate_summaries(full)
-    return good.withColumn("top_contributors", F.col("_stored")).drop("_stored")
+    return validate_summaries(rows)[0]
 
 
 def build_dataset(spark: SparkSession, archives: str, target: str, revision: str,

@@ -40,3 +40,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def one_task_per_key(df: DataFrame, key: str) -> DataFrame:
+    """Spread small per-key rows over the session's shuffle tasks, one file per key."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, key)

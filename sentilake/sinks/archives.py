@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sentilake.functions.keys import hour_id, iso_timestamp
 from sentilake.operators.posts import conform_posts, post_json
+from sentilake.session import one_task_per_key
 
 
 def write_archive(posts: DataFrame, path: str, run_ts: datetime) -> str:
@@ -31,7 +32,8 @@ def write_hourly_post_archive(posts: DataFrame, path: str, ts: datetime | str) -
         stamped = rows.withColumns({"hour_id": hour_id(F.col(ts)), "_at": F.col(ts)})
         index = stamped.groupBy("hour_id").agg(
             F.count("*").alias("count"), iso_timestamp(F.max("_at")).alias("archived_at"))
-        for part, name in ((stamped.drop("_at").hint("rebalance", "hour_id"), "posts"), (index, "index")):
+        spread = stamped.drop("_at").hint("rebalance", "hour_id")
+        for part, name in ((spread, "posts"), (one_task_per_key(index, "hour_id"), "index")):
             part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
                 .partitionBy("hour_id").parquet(f"{path}/{name}")
         return

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sentilake.functions.keys import hour_key
 from sentilake.operators.summaries import to_warehouse_shape, validate_summaries
+from sentilake.session import one_task_per_key
 
 
 def _stamped(summary: DataFrame, now: datetime, updated_col: str) -> DataFrame:
@@ -34,8 +35,9 @@ def upsert_history(summary: DataFrame, path: str, now: datetime | None = None) -
     """
     if now is not None:
         rows = _stamped(summary, now, "updatedAt").withColumn("hour_key", hour_key(F.col("timestamp")))
+        rows = rows.coalesce(1)
     else:
-        rows, _ = validate_summaries(summary)
+        rows = one_task_per_key(validate_summaries(summary)[0], "hour_key")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy("hour_key").parquet(path)
 

@@ -2,10 +2,10 @@
 
 Sums of weights and weighted emotions add up over batches, and ranking by weighted
 value does not depend on the denominator. Each batch therefore writes only its
-partial sums and top posts per hour, in partitions named by hour and batch: a
-replayed batch replaces its own partials, so nothing counts twice. The hours a
-batch touched are then finished from all their partials and replaced in the
-history. Late posts simply touch their old hour again.
+partial sums and top posts per hour, in partitions named by day and batch: a
+replayed batch replaces its own partials, so nothing counts twice. The days a
+batch touched are then finished hour by hour from all their partials and replaced
+in the history. Late posts simply touch their old day again.
 """
 
 from collections.abc import Sequence
@@ -18,7 +18,8 @@ from sentilake.operators.posts import post_struct
 from sentilake.operators.summary import (
     emotion_totals, nest_contributors, normalize_totals, rank_strengths, strengths,
 )
-from sentilake.schemas import EMOTIONS, POST, TEMPERATURE, TOP_K
+from sentilake.schemas import EMOTIONS, TEMPERATURE, TOP_K
+from sentilake.session import one_task_per_key
 
 KEYS = ["hour_key"]
 
@@ -30,7 +31,7 @@ def hourly_partials(posts: DataFrame, temperature: float = TEMPERATURE, k: int =
     best = rank_strengths(strengths(posts, KEYS, temperature, position_col), KEYS, k, position_col)
     details = posts.select(*KEYS, position_col, post_struct(posts).alias("post"))
     top = best.join(details, [*KEYS, position_col]).select(
-        *KEYS, F.col(position_col).alias("position"), "emotion_pos", "emotion", "strength", "post")
+        *KEYS, F.col(position_col).alias("position"), "emotion", "strength", "post")
     return sums, top
 
 
@@ -47,32 +48,30 @@ def finish_hours(sums: DataFrame, top: DataFrame, k: int = TOP_K) -> DataFrame:
 
 
 def _save(df: DataFrame, path: str, parts: Sequence[str]) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(*parts).parquet(path)
+    by_day = df.withColumn("day", F.substring("hour_key", 1, 10))
+    one_task_per_key(by_day, "day").write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+
+
+def _partials(like: DataFrame, path: str) -> DataFrame:
+    parts = [T.StructField("day", T.StringType()), T.StructField("batch_id", T.LongType())]
+    return like.sparkSession.read.schema(T.StructType([*like.schema.fields, *parts])).parquet(path)
 
 
 def merge_batch(batch: DataFrame, batch_id: int, path: str, temperature: float = TEMPERATURE,
                 k: int = TOP_K, position_col: str = "position") -> None:
     """Fold one batch into the partials and the hourly history below ``path``."""
-    spark = batch.sparkSession
     sums, top = hourly_partials(batch, temperature, k, position_col)
-    _save(sums.withColumn("batch_id", F.lit(batch_id)), f"{path}/sums", ["hour_key", "batch_id"])
-    _save(top.withColumn("batch_id", F.lit(batch_id)), f"{path}/top", ["hour_key", "batch_id"])
-
-    all_sums = spark.read.schema(_with_parts(sums)).parquet(f"{path}/sums")
-    all_top = spark.read.schema(_with_parts(top)).parquet(f"{path}/top")
-    touched = all_sums.filter(F.col("batch_id") == batch_id).select("hour_key").distinct()
-    finished = finish_hours(all_sums.join(touched, KEYS, "left_semi"),
-                            all_top.join(touched, KEYS, "left_semi"), k)
-    hour_start = F.to_timestamp("hour_key", "yyyy-MM-dd'T'HH")
-    stamped = finished.withColumns({"timestamp": hour_start, "updatedAt": F.current_timestamp()})
-    _save(stamped, f"{path}/history", ["hour_key"])
+    for part, name in ((sums, "sums"), (top, "top")):
+        _save(part.withColumn("batch_id", F.lit(batch_id)), f"{path}/{name}", ["day", "batch_id"])
 
-
-def _with_parts(df: DataFrame):
-    fields = [f for f in df.schema.fields if f.name != "hour_key"]
-    return T.StructType([*fields, T.StructField("hour_key", T.StringType()),
-                         T.StructField("batch_id", T.LongType())])
+    all_sums, all_top = _partials(sums, f"{path}/sums"), _partials(top, f"{path}/top")
+    touched = all_sums.filter(F.col("batch_id") == batch_id).select("day").distinct()
+    finished = finish_hours(all_sums.join(touched, "day", "left_semi"),
+                            all_top.join(touched, "day", "left_semi"), k)
+    hour_start = F.to_timestamp("hour_key", "yyyy-MM-dd'T'HH")
+    _save(finished.withColumns({"timestamp": hour_start, "updatedAt": F.current_timestamp()}),
+          f"{path}/history", ["day"])
 
 
 def stream_history(
