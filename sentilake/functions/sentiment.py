@@ -1,5 +1,6 @@
 """Arithmetic on the six-emotion struct."""
 
+from collections.abc import Callable
 from functools import reduce
 from operator import add
 
@@ -12,6 +13,11 @@ SUM_REL_TOL = 1e-6
 SUM_ABS_TOL = 1e-9
 
 
+def bind(c: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` applied to ``c`` evaluated once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
 def emotion_struct(value_of) -> Column:
     """Struct of six doubles from a function of the label."""
     return F.struct(*[value_of(e).cast("double").alias(e) for e in EMOTIONS])
@@ -29,13 +35,29 @@ def in_unit_range(s: Column) -> Column:
 
 def normalize_sentiment(s: Column) -> Column:
     """Rescale to sum one. NULL for a NULL struct or a value outside [0, 1]."""
-    filled = {e: F.coalesce(s[e], F.lit(0.0)) for e in EMOTIONS}
-    total = reduce(add, filled.values())
-    slack = F.greatest(SUM_REL_TOL * F.greatest(F.abs(total), F.lit(1.0)), F.lit(SUM_ABS_TOL))
-    keep = (total == 0) | (F.abs(total - 1.0) <= slack)
-    divisor = F.when(keep, F.lit(1.0)).otherwise(total)
-    scaled = emotion_struct(lambda e: filled[e] / divisor)
-    return F.when(s.isNotNull() & in_unit_range(s), scaled)
+
+    def rescale(v: Column) -> Column:
+        total = emotion_sum(v)
+        slack = F.greatest(SUM_REL_TOL * F.greatest(F.abs(total), F.lit(1.0)), F.lit(SUM_ABS_TOL))
+        keep = (total == 0) | (F.abs(total - 1.0) <= slack)
+        divisor = F.when(keep, F.lit(1.0)).otherwise(total)
+        return F.when(in_unit_range(v), emotion_struct(lambda e: v[e] / divisor))
+
+    def fill(v: Column) -> Column:
+        return F.when(v.isNotNull(), emotion_struct(lambda e: F.coalesce(v[e], F.lit(0.0))))
+
+    return bind(bind(s, fill), rescale)
+
+
+def share(counts: Column) -> Column:
+    """Counts per emotion over their sum; all zero without any."""
+
+    def divide(v: Column) -> Column:
+        total = emotion_sum(v)
+        divisor = F.when(total == 0, F.lit(1.0)).otherwise(total)
+        return emotion_struct(lambda e: v[e] / divisor)
+
+    return bind(counts, divide)
 
 
 def labels_to_struct(predictions: Column) -> Column:

@@ -5,7 +5,7 @@ from collections.abc import Callable, Iterator, Mapping
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from sentilake.functions.sentiment import emotion_struct, normalize_sentiment
+from sentilake.functions.sentiment import bind, emotion_struct, normalize_sentiment, share
 from sentilake.functions.text import build_prompt, comment_bodies, truncate_chars
 from sentilake.functions.parsing import parse_scores
 from sentilake.schemas import EMOTIONS, MODEL_CHARS, SENTIMENT
@@ -96,14 +96,7 @@ def lexicon_counts(text: Column, lexicon: Mapping[str, str]) -> Column:
     def count(words: Column, e: str) -> Column:
         return F.size(F.filter(words, lambda t: t.isin(*by_emotion[e]))) if by_emotion[e] else F.lit(0)
 
-    counted = F.transform(F.array(hits), lambda words: emotion_struct(lambda e: count(words, e)))
-    return F.get(counted, F.lit(0))
-
-
-def _share(counts: Column) -> Column:
-    total = sum((counts[e] for e in EMOTIONS[1:]), counts[EMOTIONS[0]])
-    divisor = F.when(total == 0, F.lit(1.0)).otherwise(total)
-    return emotion_struct(lambda e: counts[e] / divisor)
+    return bind(hits, lambda words: emotion_struct(lambda e: count(words, e)))
 
 
 def lexicon_scores(
@@ -118,8 +111,7 @@ def lexicon_scores(
     """
     text = truncate_chars(F.col(text_col), max_chars)
     if isinstance(lexicon, Mapping) and len(lexicon) <= MAX_INLINE_WORDS:
-        counted = df.withColumn("_n", lexicon_counts(text, lexicon))
-        return counted.withColumn(out_col, _share(F.col("_n"))).drop("_n")
+        return df.withColumn(out_col, share(lexicon_counts(text, lexicon)))
 
     if isinstance(lexicon, Mapping):
         lexicon = df.sparkSession.createDataFrame(list(lexicon.items()), "word string, emotion string")
@@ -129,4 +121,4 @@ def lexicon_scores(
     per_post = counts.groupBy(key).agg(
         *[F.sum(F.when(F.col("emotion") == e, F.col("n")).otherwise(0)).alias(e) for e in EMOTIONS])
     hit = F.struct(*[F.coalesce(e, F.lit(0)).alias(e) for e in EMOTIONS])
-    return df.join(per_post, key, "left").withColumn(out_col, _share(hit)).drop(*EMOTIONS)
+    return df.join(per_post, key, "left").withColumn(out_col, share(hit)).drop(*EMOTIONS)

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -43,6 +43,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def one_task_per_key(df: DataFrame, key: str) -> DataFrame:
-    """Spread small per-key rows over the session's shuffle tasks, one file per key."""
+    """Spread small per-key rows over the session's shuffle tasks, one file per key.
+
+    Hashing the key first makes this a partitioning of its own: asking for the one a
+    preceding shuffle already has would leave the rows in that shuffle's few merged
+    tasks.
+    """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, key)
+    return df.repartition(n, F.xxhash64(key))
