@@ -12,24 +12,24 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
+from sentilake.functions.sentiment import bind
 from sentilake.schemas import COMMENT_COUNT, MODEL_CHARS, POST_CHARS, PREVIEW_CHARS
 
-# Unicode white space as the cleaning rules understand it.
-_SPACES = (
-    r"\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
-WS = f"[{_SPACES}]"
-NOT_WS = f"[^{_SPACES}]"
+# White space is the Unicode property, which (?U) gives \s, and four
+# separators that it leaves out.
+WS = r"[\s\x1c-\x1f]"
+NOT_WS = r"[^\s\x1c-\x1f]"
 NBSP = "\u00a0"
 
-# Cleaning patterns. (?d) makes only \n start a line.
-WS_RUN = f"{WS}+"
-WS_EDGES = rf"\A{WS}+|{WS}+\z"
-QUOTE_MARKS = f"(?md)^>+{WS}*"
+# Cleaning patterns. (?d) makes only \n start a line. White space is
+# collapsed by a pattern that matches nothing in runs of single spaces.
+VISIBLE = f"(?U){NOT_WS}"
+WS_EDGES = rf"(?U)\A{WS}+|{WS}+\z"
+SPACE_RUN = rf"(?U){WS}{{2,}}|[^\S ]|[\x1c-\x1f]"
+QUOTE_MARKS = f"(?mdU)^>+{WS}*"
 MARKDOWN_LINK = r"\[([^\]]+)\]\([^)]+\)"
-BARE_URL = f"https?://{NOT_WS}+"
-NON_PRINTABLE = r"[\x00-\x1f\x7f]|[^\x00-\x7f]"
+BARE_URL = f"(?U)https?://{NOT_WS}+"
+NON_PRINTABLE = r"[^\x20-\x7e]+"
 NON_ASCII = r"[^\x00-\x7f]"
 
 # Text put to the annotator.
@@ -96,7 +96,7 @@ def decode_html_entities(c: Column) -> Column:
 
 
 def strip_nbsp(c: Column) -> Column:
-    return F.translate(c, NBSP, " ")
+    return F.replace(c, F.lit(NBSP), F.lit(" "))
 
 
 def strip_text(c: Column) -> Column:
@@ -105,23 +105,29 @@ def strip_text(c: Column) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    return F.coalesce(~c.rlike(NOT_WS), F.lit(True))
+    return F.coalesce(~c.rlike(VISIBLE), F.lit(True))
 
 
 def collapse_whitespace(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, WS_RUN, " "))
+    """Runs of white space to one space, none at the ends."""
+    return F.trim(F.regexp_replace(c, SPACE_RUN, " "))
+
+
+def _replace_where(c: Column, sign: str, pattern: str, new: str) -> Column:
+    """Replace a pattern, skipping texts without the ``sign`` every match contains."""
+    return F.when(c.contains(sign), F.regexp_replace(c, pattern, new)).otherwise(c)
 
 
 def strip_blockquotes(c: Column) -> Column:
-    return F.regexp_replace(c, QUOTE_MARKS, "")
+    return _replace_where(c, ">", QUOTE_MARKS, "")
 
 
 def remove_markdown_links(c: Column) -> Column:
-    return F.regexp_replace(c, MARKDOWN_LINK, "$1")
+    return _replace_where(c, "](", MARKDOWN_LINK, "$1")
 
 
 def drop_bare_urls(c: Column) -> Column:
-    return F.regexp_replace(c, BARE_URL, "")
+    return _replace_where(c, "://", BARE_URL, "")
 
 
 def remove_control_chars(c: Column) -> Column:
@@ -142,7 +148,7 @@ def _clean_decoded(
     )
     for wanted, step in steps:
         if wanted:
-            c = step(c)
+            c = bind(c, step)
     return c
 
 
@@ -153,7 +159,7 @@ def clean_text(
     collapse_ws: bool = True, strip_controls: bool = False,
 ) -> Column:
     """The whole cleaning sequence; each flag switches one step."""
-    plain = F.translate(c, NBSP, " ") if strip_nbsp else c
+    plain = F.replace(c, F.lit(NBSP), F.lit(" ")) if strip_nbsp else c
     decoded = plain
     if normalize or decode_entities:
         send = F.when(_may_change(c, normalize, decode_entities), c)

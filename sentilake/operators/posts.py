@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sentilake.functions.keys import epoch_or_timestamp
 from sentilake.functions.sentiment import in_unit_range
-from sentilake.functions.text import NOT_WS, is_blank
+from sentilake.functions.text import is_blank
 from sentilake.schemas import (
     AUTHOR_PLACEHOLDER, COMMENTS_PER_POST, FETCH_BUFFER, LEGACY_POST_NAMES,
     LISTING_METHODS, MAX_POST_AGE_DAYS, MODEL_TAG, MODERATOR, POST, REQUIRED_POSTS,
@@ -156,7 +156,7 @@ def within_max_age(created: Column, now: datetime, days: int = MAX_POST_AGE_DAYS
 
 def valid_comment(body: Column, author: Column) -> Column:
     """Non-blank body, not written by the moderation bot."""
-    return F.coalesce(body.rlike(NOT_WS), F.lit(False)) & ~author.eqNullSafe(F.lit(MODERATOR))
+    return ~is_blank(body) & ~author.eqNullSafe(F.lit(MODERATOR))
 
 
 def first_valid_comments(comments: Column, n: int = COMMENTS_PER_POST) -> Column:

@@ -3,7 +3,8 @@
 from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from sentilake.functions.sentiment import bind, emotion_struct, normalize_sentiment, share
 from sentilake.functions.text import build_prompt, comment_bodies, truncate_chars
@@ -99,6 +100,11 @@ def lexicon_counts(text: Column, lexicon: Mapping[str, str]) -> Column:
     return bind(hits, lambda words: emotion_struct(lambda e: count(words, e)))
 
 
+def lexicon_table(spark: SparkSession, lexicon: Mapping[str, str]) -> DataFrame:
+    """A word list as a local table, whose size Spark knows."""
+    return spark.createDataFrame(pa.table({"word": list(lexicon), "emotion": list(lexicon.values())}))
+
+
 def lexicon_scores(
     df: DataFrame, lexicon: Mapping[str, str] | DataFrame, text_col: str = "text",
     key: str = "post_id", out_col: str = "sentiment", max_chars: int | None = None,
@@ -106,19 +112,17 @@ def lexicon_scores(
     """Default scorer: share of listed words per emotion, all zero without a hit.
 
     A mapping of up to ``MAX_INLINE_WORDS`` words is evaluated in place. A larger
-    mapping or a table (``word``, ``emotion``) is joined to the exploded tokens, which
-    are first counted per post and word.
+    mapping or a table (``word``, ``emotion``) is joined to the exploded tokens; Spark
+    broadcasts it when its size allows and splits frequent words otherwise.
     """
     text = truncate_chars(F.col(text_col), max_chars)
     if isinstance(lexicon, Mapping) and len(lexicon) <= MAX_INLINE_WORDS:
         return df.withColumn(out_col, share(lexicon_counts(text, lexicon)))
 
     if isinstance(lexicon, Mapping):
-        lexicon = df.sparkSession.createDataFrame(list(lexicon.items()), "word string, emotion string")
-    tokens = F.split(F.lower(text), TOKEN_BREAK)
-    words = df.select(key, F.explode(tokens).alias("word")).filter(F.col("word") != "")
-    counts = words.groupBy(key, "word").agg(F.count("*").alias("n")).join(lexicon, "word")
-    per_post = counts.groupBy(key).agg(
-        *[F.sum(F.when(F.col("emotion") == e, F.col("n")).otherwise(0)).alias(e) for e in EMOTIONS])
-    hit = F.struct(*[F.coalesce(e, F.lit(0)).alias(e) for e in EMOTIONS])
-    return df.join(per_post, key, "left").withColumn(out_col, share(hit)).drop(*EMOTIONS)
+        lexicon = lexicon_table(df.sparkSession, lexicon)
+    words = df.select(key, F.explode(F.split(F.lower(text), TOKEN_BREAK)).alias("word"))
+    hits = words.join(lexicon, "word")
+    per_post = hits.groupBy(key).agg(*[F.count_if(F.col("emotion") == e).alias(e) for e in EMOTIONS])
+    counts = F.struct(*[F.coalesce(e, F.lit(0)).alias(e) for e in EMOTIONS])
+    return df.join(per_post, key, "left").withColumn(out_col, share(counts)).drop(*EMOTIONS)

@@ -215,11 +215,11 @@ def queries() -> dict[str, str]:
             b AS (SELECT *, CAST(doc_id AS VARCHAR) AS id, CASE WHEN score <= 0 THEN 'no positive score'
                   WHEN {_total} = 0 THEN 'all zero' ELSE 'normal' END AS branch FROM scored),
             {summary("b", "branch")} SELECT * FROM flat""",
-        "q_lexicon_scores": f"WITH {SCORED} SELECT CAST(doc_id AS VARCHAR) AS post_id, {each('round({e}, 6) AS {e}')} FROM scored",
+        "q_lexicon_scores": f"WITH {SCORED} SELECT CAST(doc_id AS VARCHAR) AS post_id, {each('{e}')} FROM scored",
         "q_lexicon_scores_joined":
-            f"WITH {SCORED} SELECT CAST(doc_id AS VARCHAR) AS post_id, {each('round({e}, 6) AS {e}')} FROM scored",
+            f"WITH {SCORED} SELECT CAST(doc_id AS VARCHAR) AS post_id, {each('{e}')} FROM scored",
         "q_model_scores": f"""WITH n AS (SELECT doc_id, {_letters} FROM documents)
-            SELECT CAST(doc_id AS VARCHAR) AS post_id, {each("round({e} / greatest(" + _total + ", 1)::DOUBLE, 6) AS {e}")} FROM n""",
+            SELECT CAST(doc_id AS VARCHAR) AS post_id, {each("{e} / greatest(" + _total + ", 1)::DOUBLE AS {e}")} FROM n""",
         "q_normalize_sentiment": f"""WITH p AS (SELECT doc_id, {", ".join(f"({v})::DOUBLE AS {e}" for e, v in _pairs.items())} FROM documents),
             t AS (SELECT *, {_total} AS total FROM p)
             SELECT doc_id, {each("CASE WHEN anger <= 1 THEN round({e} / CASE WHEN total = 0 THEN 1 ELSE total END, 6) END AS {e}")} FROM t""",

@@ -110,18 +110,21 @@ def q_zero_and_negative_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- scoring ------------------------------------------------------------------
 
-def _emotions(df: DataFrame, *keys: str, col: str = "sentiment") -> DataFrame:
-    return df.select(*keys, *[r6(F.col(f"{col}.{e}")).alias(e) for e in EMOTIONS])
+def _emotions(df: DataFrame, *keys: str, digits: int | None = 6) -> DataFrame:
+    """Six columns from the struct; shares that are one division need no rounding."""
+    value = lambda e: F.col(f"sentiment.{e}")
+    return df.select(*keys, *[
+        (value(e) if digits is None else F.round(value(e), digits)).alias(e) for e in EMOTIONS])
 
 
 def q_lexicon_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _emotions(scored(spark, sf_dir), "post_id")
+    return _emotions(scored(spark, sf_dir), "post_id", digits=None)
 
 
 def q_lexicon_scores_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same scores with the word list as a table."""
-    words = spark.createDataFrame(list(I.LEXICON.items()), "word string, emotion string")
-    return _emotions(S.lexicon_scores(I.posts(spark, sf_dir), words, "post_text"), "post_id")
+    words = S.lexicon_table(use_utc(spark), I.LEXICON)
+    return _emotions(S.lexicon_scores(I.posts(spark, sf_dir), words, "post_text"), "post_id", digits=None)
 
 
 def load_letter_scorer() -> S.Scorer:
@@ -142,7 +145,7 @@ def q_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = I.posts(spark, sf_dir)
     predicted = S.score_emotions(docs.select("post_id", "post_text"), load_letter_scorer, "post_text",
                                  max_chars=None).select("post_id", "sentiment")
-    return _emotions(S.attach_predictions(docs.select("post_id"), predicted), "post_id")
+    return _emotions(S.attach_predictions(docs.select("post_id"), predicted), "post_id", digits=None)
 
 
 def q_normalize_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
