@@ -41,7 +41,7 @@ def normalize_sentiment(s: Column) -> Column:
         slack = F.greatest(SUM_REL_TOL * F.greatest(F.abs(total), F.lit(1.0)), F.lit(SUM_ABS_TOL))
         keep = (total == 0) | (F.abs(total - 1.0) <= slack)
         divisor = F.when(keep, F.lit(1.0)).otherwise(total)
-        return F.when(in_unit_range(v), emotion_struct(lambda e: v[e] / divisor))
+        return F.when(v.isNotNull() & in_unit_range(v), emotion_struct(lambda e: v[e] / divisor))
 
     def fill(v: Column) -> Column:
         return F.when(v.isNotNull(), emotion_struct(lambda e: F.coalesce(v[e], F.lit(0.0))))

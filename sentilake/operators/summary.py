@@ -102,8 +102,9 @@ def nest_contributors(winners: DataFrame, group_cols: Sequence[str], post: Colum
     place = F.array_position(F.array(*map(F.lit, EMOTIONS)), F.col("emotion"))
     entry = F.struct(place.alias("place"), "emotion", F.transform("ranked", lambda r: r["p"]).alias("top_posts"))
     drop_place = lambda t: F.struct(t["emotion"].alias("emotion"), t["top_posts"].alias("top_posts"))
+    nested = F.transform(F.sort_array(F.collect_list(entry)), drop_place)
     return per_emotion.groupBy(*group_cols).agg(
-        F.transform(F.sort_array(F.collect_list(entry)), drop_place).alias("top_contributors"))
+        F.when(F.count("*") > 0, nested).alias("top_contributors"))
 
 
 def with_details(winners: DataFrame, posts: DataFrame, keys: Sequence[str], position_col: str,
