@@ -21,7 +21,7 @@ from sentilake.operators.summary import (
 from sentilake.plans import inputs as I
 from sentilake.plans.runs import build_dataset, past_days, sentiment_run, warehouse_days
 from sentilake.schemas import EMOTIONS, SENTIMENT
-from sentilake.session import materialize, shared_dir, use_utc
+from sentilake.session import materialize, shared_dir, spread, use_utc
 from sentilake.sinks import archives as KA, labelling as KL, summaries as KS
 from sentilake.sources import archives as RA, listings as RL, stores as R
 from sentilake.sources.taxonomy import read_taxonomy
@@ -40,7 +40,7 @@ def shown(ts: Column) -> Column:
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.lexicon_scores(I.posts(spark, sf_dir), I.LEXICON, "post_text")
+    return S.lexicon_scores(spread(I.posts(spark, sf_dir)), I.LEXICON, "post_text")
 
 
 def written_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +124,7 @@ def q_lexicon_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_lexicon_scores_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same scores with the word list as a table."""
     words = S.lexicon_table(use_utc(spark), I.LEXICON)
-    return _emotions(S.lexicon_scores(I.posts(spark, sf_dir), words, "post_text"), "post_id", digits=None)
+    return _emotions(S.lexicon_scores(spread(I.posts(spark, sf_dir)), words, "post_text"), "post_id", digits=None)
 
 
 def load_letter_scorer() -> S.Scorer:
@@ -143,7 +143,7 @@ def load_letter_scorer() -> S.Scorer:
 
 def q_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = I.posts(spark, sf_dir)
-    predicted = S.score_emotions(docs.select("post_id", "post_text"), load_letter_scorer, "post_text",
+    predicted = S.score_emotions(spread(docs.select("post_id", "post_text")), load_letter_scorer, "post_text",
                                  max_chars=None).select("post_id", "sentiment")
     return _emotions(S.attach_predictions(docs.select("post_id"), predicted), "post_id", digits=None)
 
@@ -241,7 +241,7 @@ def noisy_text() -> Column:
 
 
 def q_clean_text_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = I.table(spark, sf_dir, "documents").select("doc_id", noisy_text().alias("t"))
+    docs = spread(I.table(spark, sf_dir, "documents")).select("doc_id", noisy_text().alias("t"))
     t = F.col("t")
     steps = {
         "nbsp": X.strip_nbsp(t), "quotes": X.strip_blockquotes(t), "links": X.remove_markdown_links(t),
@@ -253,7 +253,7 @@ def q_clean_text_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_clean_text_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.col("html")
-    return I.table(spark, sf_dir, "pages").select(
+    return spread(I.table(spark, sf_dir, "pages")).select(
         "page_id", F.md5(X.clean_text(html)).alias("cleaned"),
         F.md5(X.decode_html_entities(html)).alias("decoded"),
         F.md5(X.normalize_unicode(html)).alias("nfkc"))
@@ -265,7 +265,7 @@ def _discussed(spark: SparkSession, sf_dir: str) -> DataFrame:
         I.comments(spark, sf_dir), "id", "comment_order", X.COMMENT_COUNT,
         P.valid_comment(F.col("body"), F.col("author")),
         P.normalize_comment(F.struct("body", "author", "score", "created_utc")))
-    return I.posts(spark, sf_dir).join(nested.withColumnRenamed("id", "post_id"), "post_id", "left")
+    return spread(I.posts(spark, sf_dir)).join(nested.withColumnRenamed("id", "post_id"), "post_id", "left")
 
 
 def q_prepare_input(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,3 +51,13 @@ def one_task_per_key(df: DataFrame, key: str) -> DataFrame:
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, F.xxhash64(key))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for heavy per-row work on a scan with few splits.
+
+    Few splits mean a small input, so the extra shuffle is small as well; a scan with
+    at least as many splits as cores comes back unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
