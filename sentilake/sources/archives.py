@@ -22,14 +22,22 @@ def document_records(v: Column) -> Column:
     return F.coalesce(listed, under_data, F.when(is_object(v), F.array(v)))
 
 
-def read_documents(spark: SparkSession, path: str, lines: bool = False,
-                   glob: str | None = None) -> DataFrame:
+def read_documents(
+    spark: SparkSession, path: str, lines: bool = False, glob: str | None = None,
+    streaming: bool = False, clean_source: str = "off", archive_dir: str | None = None,
+) -> DataFrame:
     """Rows (file_path, file_size, records); ``records`` is NULL for a broken document.
 
     An archive file is one JSON document and is read whole by one task; files spread
     over tasks. Archives written here hold a document per line (``lines``) and split.
+    As a stream, ``clean_source`` ("delete" or "archive") removes a file once its
+    records have been committed; it is off by default.
     """
     reader = spark.read
+    if streaming:
+        reader = spark.readStream.option("cleanSource", clean_source)
+        if archive_dir:
+            reader = reader.option("sourceArchiveDir", archive_dir)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     raw = reader.text(path, wholetext=not lines)
@@ -38,10 +46,9 @@ def read_documents(spark: SparkSession, path: str, lines: bool = False,
         document_records(parse_document(F.col("value"))).alias("records"))
 
 
-def read_archives(spark: SparkSession, path: str, lines: bool = False,
-                  glob: str | None = None) -> DataFrame:
-    """Rows (file_path, record) from every readable document."""
-    docs = read_documents(spark, path, lines, glob)
+def read_archives(spark: SparkSession, path: str, lines: bool = False, **options) -> DataFrame:
+    """Rows (file_path, record) from every readable document; options as above."""
+    docs = read_documents(spark, path, lines, **options)
     return docs.select("file_path", F.explode("records").alias("record"))
 
 

@@ -46,6 +46,21 @@ def test_all_document_shapes(spark, folder):
         RA.require_min_files(docs, 11)
 
 
+def test_committed_archives_are_cleaned_up(spark, folder, tmp_path_factory):
+    out = tmp_path_factory.mktemp("staged")
+    def run():
+        records = A.only_objects(RA.read_archives(
+            spark, folder, streaming=True, clean_source="archive", archive_dir=f"{out}/old", glob="*.json"))
+        A.posts_from_records(records).writeStream.format("parquet").option("path", f"{out}/posts") \
+            .option("checkpointLocation", f"{out}/ckpt").trigger(availableNow=True).start().awaitTermination()
+    run()
+    with open(f"{folder}/later.json", "w") as f:
+        f.write('{"id": "z"}')
+    run()
+    ids = {r["post_id"] for r in spark.read.parquet(f"{out}/posts").collect()}
+    assert ids == {"a", "b", "c", "d", "z"}
+
+
 def posts(spark, rows):
     """rows of (id, number of comments, hours before NOW)."""
     data = [{**dict.fromkeys(POST.names), "post_id": i, "post_text": f"{i}{n}", "processing_timestamp": NOW - timedelta(hours=h),
