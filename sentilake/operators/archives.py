@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sentilake.functions.keys import epoch_or_timestamp
 from sentilake.functions.sentiment import emotion_struct
-from sentilake.schemas import EMOTIONS, LEGACY_POST_NAMES, POST
+from sentilake.schemas import LEGACY_POST_NAMES, POST
 
 
 def is_object(v: Column) -> Column:

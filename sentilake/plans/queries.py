@@ -9,7 +9,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sentilake.functions.keys import hour_id, hour_key, iso_timestamp, output_prefix
+from sentilake.functions.keys import iso_timestamp, output_prefix
 from sentilake.functions.parsing import parse_scores
 from sentilake.functions.sentiment import labels_to_struct, normalize_sentiment
 from sentilake.functions import text as X
@@ -20,7 +20,7 @@ from sentilake.operators.summary import (
 )
 from sentilake.plans import inputs as I
 from sentilake.plans.runs import build_dataset, past_days, sentiment_run, warehouse_days
-from sentilake.schemas import EMOTIONS, SENTIMENT
+from sentilake.schemas import EMOTIONS, SCORES, SENTIMENT
 from sentilake.session import materialize, shared_dir, spread, use_utc
 from sentilake.sinks import archives as KA, labelling as KL, summaries as KS
 from sentilake.sources import archives as RA, listings as RL, stores as R
@@ -613,13 +613,10 @@ def q_stream_annotate(spark: SparkSession, sf_dir: str) -> DataFrame:
     TP.stream_annotations(posts, load_length_generator, f"{root}/out", f"{root}/ckpt", RUN_ID, MODEL_ID,
                           WORKER_ID).awaitTermination()
     back = spark.read.schema(L.annotation_records(
-        posts.withColumn("scores", F.lit(None).cast(P_SCORES)), RUN_ID, MODEL_ID, WORKER_ID).schema).json(f"{root}/out")
+        posts.withColumn("scores", F.lit(None).cast(SCORES)), RUN_ID, MODEL_ID, WORKER_ID).schema).json(f"{root}/out")
     return back.select("id", "run_id", *[F.col(f"scores.{e}").alias(e) for e in EMOTIONS])
 
 
-P_SCORES = ",".join(f"{e}:int" for e in EMOTIONS).join(("struct<", ">"))
-
-
 def q_stream_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed listing files as a stream; committed files go to an archive folder."""
     root = shared_dir(use_utc(spark), "stream-listings")

@@ -4,10 +4,7 @@ import sys
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
-
 from sentilake.operators import scoring as S
-from sentilake.schemas import EMOTIONS
 
 WORDS = {"glad": "joy", "joyful": "joy", "sad": "sadness", "boo": "surprise"}
 TEXTS = [("a", "Glad, glad! a SAD day"), ("b", "nothing here"), ("c", None), ("d", "gladly éboo boo_boo")]

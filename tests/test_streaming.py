@@ -1,8 +1,5 @@
 from datetime import datetime, timedelta, timezone
 
-import pytest
-from pyspark.sql import functions as F
-
 from sentilake.operators.summary import sentiment_summary
 from sentilake.plans import inputs as I
 from sentilake.schemas import EMOTIONS
