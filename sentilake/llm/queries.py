@@ -56,7 +56,11 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data.personal_data(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     fixed = F.filter("spans", lambda s: s["by_pattern"])
     listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    counts = [F.size(F.filter(fixed, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in personal_data.KINDS]
+
+    def count(kind):
+        return F.size(F.filter(fixed, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in personal_data.KINDS]
     return found.select("doc_id", *counts, F.sha2(listed(fixed), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
@@ -88,14 +92,16 @@ NEAR_DUPLICATES_SQL = r"""
 WITH RECURSIVE t AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
-s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-  ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g FROM t),
-x AS (SELECT doc_id, unnest(g) AS g FROM s),
+k AS (SELECT doc_id, len(w) AS n, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM t),
+h AS (SELECT doc_id, n, i, concat_ws(' ', w, lead(w, 1) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o, lead(w, 4) OVER o) AS g
+  FROM k WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+x AS (SELECT DISTINCT doc_id, g FROM h WHERE i <= greatest(n - 4, 1)),
+s AS (SELECT t.doc_id, count(x.g) AS n FROM t LEFT JOIN x ON t.doc_id = x.doc_id GROUP BY 1),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
 l AS (SELECT a, b FROM p JOIN s sa ON sa.doc_id = a JOIN s sb ON sb.doc_id = b
-  WHERE 100 * n >= 85 * (len(sa.g) + len(sb.g) - n)),
+  WHERE 100 * p.n >= 85 * (sa.n + sb.n - p.n)),
 r(doc_id, seen) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.seen = l.a)
-SELECT s.doc_id, CAST(len(any_value(s.g)) AS BIGINT) AS n_shingles, min(r.seen) AS component_id, s.doc_id = min(r.seen) AS kept
+SELECT s.doc_id, any_value(s.n) AS n_shingles, min(r.seen) AS component_id, s.doc_id = min(r.seen) AS kept
 FROM s JOIN r ON s.doc_id = r.doc_id GROUP BY s.doc_id
 """
 EMBEDDINGS_SQL = """
