@@ -8,13 +8,15 @@ the contexts one byte longer give are mixed with equal weight, at every depth; t
 weights that this leaves after training mix the predictions for a byte. Where training
 has seen nothing a decision costs one bit.
 
-Nothing is broadcast and no count is left out. Documents are dealt to parts of about
-``part_bytes``. A part reports its distinct runs of ``depth + 1`` bytes, with counts
-from its training documents (0 for runs that only others have); counts are added up by
-run; the tree is built below each ending of two bytes by one task each, which gives
-every run its probability, and the two shortest depths are bounded tables. The
-probabilities go back to the parts that asked for them, where documents are scored. The
-counts of words for the base score take the same way, under 64-bit hashes.
+No count is left out, and what is broadcast has a fixed size. A first pass counts the
+distinct runs of ``depth + 1`` bytes of each task, with counts from training documents
+(0 for runs that only others have); counts are added up by run; the tree is built below
+each ending of two bytes by one task each, which gives every run its probability; the
+two shortest depths are bounded tables. For scoring, documents are dealt to parts of
+about ``part_bytes``, as compressed blocks. The ``table_size`` values that most tasks
+need go to every worker; a part asks for the others by key, and scores its documents
+when the answers have come. Counts of words for the base score take the same way, under
+64-bit hashes.
 
 Rules: NULL counts as empty: the end alone. A NULL id belongs to the fold of the text
 "None". Repeated rows are scored, and learnt from, each. Without any training document
@@ -30,14 +32,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from sentilake.llm.common import SortedHashes, fold, mix64, words
 from sentilake.session import materialize
 
 DEPTH, END = 5, 0
+#: Unit of the probabilities that are kept and sent: a millionth of a decimal digit.
+SCALE = 1e6
 STEP = 1 << 21
-WORD_BIT = np.uint64(1 << 63)
 
 
 def stream(tokens: list[bytes]) -> bytes:
@@ -171,76 +175,142 @@ def log10_of(runs: np.ndarray, p_one: np.ndarray) -> np.ndarray:
     return np.log10(np.where(ones == 1, p_one, 1 - p_one)).reshape(8, -1).sum(0)
 
 
-def score_documents(docs: DataFrame, *, id="doc_id", text="text", folds: int = 7, held_fold: int = 2,
-                    depth: int = DEPTH, part_bytes: int = 12 << 20, seed: int = 19) -> DataFrame:
-    """``(id, held_out, n_bytes, n_tokens, n_known, sum_log10_count, score)`` of each document.
+def score_documents(docs: DataFrame, *, id="doc_id", text="text", folds: int = 7, held_fold: int = 2, depth: int = DEPTH,
+                    part_bytes: int = 12 << 20, table_size: int = 1 << 20, seed: int = 19) -> tuple[DataFrame, DataFrame]:
+    """``(id, held_out, n_bytes, n_tokens, n_known, sum_log10_count, score)`` of each document,
+    and the values that ``base_scores`` needs.
 
     ``score`` is the log10 probability of the text; bits per byte are
     ``-score / n_bytes / log10(2)``. ``sum_log10_count`` is the sum over tokens of
-    log10(count in training + 1), from which ``base_scores`` follow.
+    log10(count in training + 1).
     """
     if not 2 < depth < 7:
         raise ValueError("depth is from 3 to 6 bytes")
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     parts = max(1, math.ceil(total / part_bytes))
-    dealt = docs.select(
-        F.col(id).alias("id"), F.col(text).alias("text"),
-        F.pmod(F.xxhash64(F.lit(seed), F.col(id), F.col(text)), F.lit(parts)).cast("int").alias("part"))
+    given = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    kind = given.schema["id"].dataType.simpleString()
     learnt = lambda ids: np.array([fold(i, folds) != held_fold for i in ids], bool)
 
-    def ask(group: pa.Table) -> pa.Table:
-        learn = learnt(group.column("id").to_pylist())
-        tokens = [words(t) for t in group.column("text").to_pylist()]
-        runs, counts = count_part([stream(t) for t in tokens], learn, depth)
-        seen, others = collections.Counter(), set()
-        for t, own in zip(tokens, learn):
-            seen.update(t) if own else others.update(t)
-        others.difference_update(seen)
-        keys = np.fromiter((word_key(w) for w in [*seen, *others]), np.uint64)
-        keys = np.concatenate([runs, keys, np.array([END_KEY], np.uint64)])
-        counts = np.concatenate([counts, np.fromiter(seen.values(), np.int64, len(seen)), np.zeros(len(others), np.int64), [learn.sum()]])
-        return pa.table({"part": np.full(len(keys), group.column("part")[0].as_py(), np.int32),
-                         "key": keys.astype(np.int64), "n": counts.astype(np.int64)})
-
-    asked = dealt.groupBy("part").applyInArrow(ask, "part int, key long, n long")
-    asked = materialize(asked, "runs_asked")
-    counted = materialize(asked.groupBy("key").agg(F.sum("n").alias("n")), "runs_counted")
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts, size = [], [], 0
+        for batch in (b.slice(k, 1024) for b in batches for k in range(0, b.num_rows, 1024)):
+            learn = learnt(batch.column(0).to_pylist())
+            tokens = [words(t) for t in batch.column(1).to_pylist()]
+            for key, n in (count_part([stream(t) for t in tokens], learn, depth), count_words(tokens, learn)):
+                keys.append(key), counts.append(n)
+                size += len(key)
+            if size > 1 << 22:
+                key, n = merged(keys, counts)
+                keys, counts, size = [key], [n], len(key)
+                if size > 1 << 21:
+                    yield pa.RecordBatch.from_pydict({"key": key.astype(np.int64), "n": n})
+                    keys, counts, size = [], [], 0
+        key, n = merged(keys, counts)
+        yield pa.RecordBatch.from_pydict({"key": key.astype(np.int64), "n": n})
+
+    counted = given.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("asked"))
+    counted = materialize(counted, "runs_counted")
     values = _probabilities(counted.where("key >= 0"), depth).union(
-        counted.where("key < 0").select("key", F.log10(F.col("n") + F.lit(1.0)).alias("value")))
-    answers = asked.select("part", "key").join(values.hint("shuffle_hash"), "key")
+        counted.where("key < 0").select("key", F.col("n").alias("value"), "asked"))
+    values = materialize(values, "run_values")
+    shared = docs.sparkSession.sparkContext.broadcast(_common(values, table_size))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            rows = collections.defaultdict(lambda: ([], [], []))
+            for part, i, t in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                ids, sizes, texts = rows[part]
+                texts.append(stream(words(t)))
+                ids.append(i), sizes.append(len(texts[-1]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(rows), pa.int32()), pa.array([r[0] for r in rows.values()], pa.list_(batch.column(1).type)),
+                 pa.array([r[1] for r in rows.values()], pa.list_(pa.int64())),
+                 pa.array([press.compress(b"".join(r[2])) for r in rows.values()], pa.binary())], names=["part", "ids", "sizes", "block"])
+
+    part = F.pmod(F.xxhash64(F.lit(seed), "id", "text"), F.lit(parts)).cast("int")
+    dealt = given.select(part.alias("part"), "id", "text").mapInArrow(deal, f"part int, ids array<{kind}>, sizes array<long>, block binary")
+
+    def unpacked(group: pa.Table) -> tuple[list, list[bytes], list[list[bytes]]]:
+        texts = []
+        for sizes, block in zip(group.column("sizes").to_pylist(), group.column("block").to_pylist()):
+            data, at = zstandard.ZstdDecompressor().decompress(block, max_output_size=sum(sizes)), 0
+            for size in sizes:
+                texts.append(data[at : at + size])
+                at += size
+        return [i for ids in group.column("ids").to_pylist() for i in ids], texts, [t[:-1].split() for t in texts]
+
+    def ask(group: pa.Table) -> pa.Table:
+        _, texts, tokens = unpacked(group)
+        none = np.zeros(len(texts), bool)
+        keys = np.concatenate([count_part(texts, none, depth)[0], count_words(tokens, none)[0]])
+        keys = keys[~np.isin(keys, shared.value[0], kind="sort")]
+        return pa.table({"part": np.full(len(keys), group.column("part")[0].as_py(), np.int32), "key": keys.astype(np.int64)})
+
+    asked = dealt.groupBy("part").applyInArrow(ask, "part int, key long")
+    answers = asked.join(values.select("key", "value").hint("shuffle_hash"), "key").select("part", "key", "value")
 
     def score(group: pa.Table, answers: pa.Table) -> pa.Table:
-        keys, value = np.asarray(answers.column("key")).astype(np.uint64), np.asarray(answers.column("value"))
-        is_word = keys >= WORD_BIT
-        by_word = dict(zip(keys[is_word].tolist(), value[is_word].tolist()))
-        spread = mix64(keys[~is_word])
+        keys = np.concatenate([shared.value[0], np.asarray(answers.column("key")).astype(np.uint64)])
+        value = np.concatenate([shared.value[1], np.asarray(answers.column("value"))])
+        spread = mix64(keys)
         order = np.argsort(spread)
-        table, cost = SortedHashes(spread[order]), value[~is_word][order]
-        ids = group.column("id").to_pylist()
-        tokens = [words(t) for t in group.column("text").to_pylist()]
-        texts = [stream(t) for t in tokens]
+        table, value = SortedHashes(spread[order]), value[order]
+        cost = value / -SCALE
+        ids, texts, tokens = unpacked(group)
         n, result = len(texts), np.zeros(len(texts))
         for part in in_steps(texts):
             runs, size = text_runs([texts[i] for i in part], depth)
             at = np.repeat(np.arange(len(part)), size)
-            result[part] = np.bincount(at, cost[table.find(mix64(runs))], len(part))
-        cache = {w: by_word[word_key(w)] for w in set().union(*tokens)}
-        counts = [list(map(cache.__getitem__, t)) + [by_word[END_KEY]] for t in tokens] if n < 2 else None
-        known, logs = np.zeros(n, np.int64), np.zeros(n)
+            result[part] = np.bincount(at, cost[found(table, runs)], len(part))
+        distinct = list(set().union(*tokens))
+        count_of = value[found(table, np.array([*map(word_key, distinct), END_KEY], np.uint64))]
+        logs_of = dict(zip(distinct, np.log10(count_of + 1.0).tolist()))
+        end, known, logs = math.log10(count_of[-1] + 1.0), np.zeros(n, np.int64), np.zeros(n)
         for i, t in enumerate(tokens):
-            own = counts[i] if counts else [*map(cache.__getitem__, t), by_word[END_KEY]]
+            own = [*map(logs_of.__getitem__, t), end]
             logs[i], known[i] = math.fsum(own), len(own) - own.count(0.0)
         return pa.table({
-            "id": group.column("id"), "held_out": ~learnt(ids), "n_bytes": np.array([len(t) for t in texts]),
+            "id": pa.array(ids, group.column("ids").type.value_type), "held_out": ~learnt(ids), "n_bytes": np.array([len(t) for t in texts]),
             "n_tokens": np.array([len(t) + 1 for t in tokens]), "n_known": known, "sum_log10_count": logs, "score": result})
 
-    kind = dealt.schema["id"].dataType.simpleString()
     return dealt.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
-        score, f"id {kind}, held_out boolean, n_bytes long, n_tokens long, n_known long, sum_log10_count double, score double"), counted
+        score, f"id {kind}, held_out boolean, n_bytes long, n_tokens long, n_known long, sum_log10_count double, score double"), values
+
+
+def found(table: SortedHashes, keys: np.ndarray) -> np.ndarray:
+    at = table.find(mix64(keys))
+    if (at < 0).any():
+        raise ValueError("a part was not answered in full")
+    return at
+
+
+def count_words(tokens: list[list[bytes]], learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the distinct words and the end, and how often the texts to learn from have them."""
+    seen, others = collections.Counter(), set()
+    for t, own in zip(tokens, learn):
+        seen.update(t) if own else others.update(t)
+    others.difference_update(seen)
+    keys = np.array([*map(word_key, seen), *map(word_key, others), END_KEY], np.uint64)
+    return keys, np.array([*seen.values(), *[0] * len(others), int(learn.sum())], np.int64)
+
+
+def _common(values: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and values, at most ``size``, of those that most tasks asked for."""
+    least, held = None, 0
+    for asked, n in values.groupBy("asked").count().orderBy(F.desc("asked")).toLocalIterator():
+        held += n
+        if held > size:
+            break
+        least = asked
+    rows = values.where(F.col("asked") >= least if least is not None else F.lit(False)).select("key", "value").toArrow()
+    return np.asarray(rows.column("key")).astype(np.uint64), np.asarray(rows.column("value"))
 
 
 def _probabilities(counted: DataFrame, depth: int) -> DataFrame:
-    """``(key, value)``: the log10 probability of the last byte of each run, given those before."""
+    """``(key, value, asked)``; value: minus the log10 probability of the last byte of each
+    run, given those before, in units of 1 / ``SCALE``."""
     ending = F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF))
 
     def upper(group: pa.Table) -> pa.Table:
@@ -263,9 +333,10 @@ def _probabilities(counted: DataFrame, depth: int) -> DataFrame:
             p = mix(levels, runs, range(depth, 1, -1), p)
         if len(shared.value[0][0]):
             p = mix(shared.value, runs, range(1, -1, -1), p)
-        return pa.table({"key": group.column("key"), "value": log10_of(runs, p)})
+        value = np.rint(log10_of(runs, p) * -SCALE).astype(np.int64)
+        return pa.table({"key": group.column("key"), "value": value, "asked": group.column("asked")})
 
-    return counted.groupBy(ending.alias("e")).applyInArrow(finish, "key long, value double")
+    return counted.groupBy(ending.alias("e")).applyInArrow(finish, "key long, value long, asked long")
 
 
 def _top(one: dict) -> dict:
@@ -276,9 +347,9 @@ def _top(one: dict) -> dict:
     return {1: first, 0: level(shorter(first[0], 0), first[1], first[2], first[3])}
 
 
-def base_scores(scored: DataFrame, counted: DataFrame) -> DataFrame:
+def base_scores(scored: DataFrame, values: DataFrame) -> DataFrame:
     """Adds ``train_tokens`` and ``base_score``: word counts with one added to each."""
-    totals = counted.where("key < 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
+    totals = values.where("key < 0").agg(F.coalesce(F.sum("value"), F.lit(0)), F.count(F.when(F.col("value") > 0, 1))).first()
     n, v = totals[0], totals[1]
     return scored.withColumn("train_tokens", F.lit(n).cast("long")).withColumn(
         "base_score", F.col("sum_log10_count") - F.col("n_tokens") * math.log10(n + v + 1))

@@ -8,19 +8,26 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sentilake.llm import (
     context_tree, decontamination, embedding_near_dups, language_id, mixing, near_duplicates, personal_data,
-    sharding, token_counts,
+    sharding, token_counts, warc,
 )
 from sentilake.llm.common import fold_column, read_table
 from sentilake.session import shared_dir
 
 
 def op1_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored, counted = context_tree.score_documents(read_table(spark, sf_dir, "documents"))
-    full = context_tree.base_scores(scored, counted)
+    scored, values = context_tree.score_documents(read_table(spark, sf_dir, "documents"))
+    full = context_tree.base_scores(scored, values)
     return full.select(F.col("id").alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens", "base_score",
                        "score", "n_bytes", (-F.col("score") / F.log10(F.lit(2.0)) / F.col("n_bytes")).alias("bits_per_byte"))
 
 
+def op2_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    derived = warc.derive(warc.responses_from_pages(pages))
+    return derived.select("record_id", "type", "refers_to", "target_uri", "date", "content_type", "content_length", "block_digest",
+                          "source_digest", "digest_fits", F.decode("block", "utf-8").alias("content"))
+
+
 def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     shuffled = sharding.external_shuffle(read_table(spark, sf_dir, "documents"), 24)
     path = shared_dir(spark, "shards")
@@ -82,7 +89,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = {f.__name__: f for f in (
-        op1_context_tree, op3_shards, op4_language, op5_embeddings, op6_tokens, op7_leaks, op8_personal_data,
+        op1_context_tree, op2_derivatives, op3_shards, op4_language, op5_embeddings, op6_tokens, op7_leaks, op8_personal_data,
         op9_near_duplicates, op10_mix, pipeline)}
     return named
 
