@@ -9,9 +9,9 @@ small-star.
 No bucket is expanded into all its pairs. Equal texts are one class member from the
 start. In a bucket, every member is checked against one hub only, the member whose
 buckets are largest, which for copies of one text is that text. Only where that leaves
-a bucket in several classes are members of different classes compared, by signature in
-bounded blocks, and the pairs that remain are checked like the others. So a pair is
-left out only if its members are in one class already.
+a bucket in several classes are members of different classes compared, by signature and
+by shingles, in bounded blocks that report links only. So a pair is left out only if its
+members are in one class already.
 
 Rules: NULL and empty texts, and texts without words, have no shingles and no links; a
 text of fewer words than a shingle has one, the whole. Rows without an id are left out.
@@ -32,7 +32,7 @@ from sentilake.llm.common import connected_components, mix64, words
 from sentilake.session import materialize
 
 SHINGLE = 5
-BLOCK = 1024
+BLOCK = 512
 #: Standard deviations of a signature's estimate that the first check allows for.
 SLACK = 4.5
 
@@ -145,33 +145,63 @@ def alike(x: DataFrame, least: int) -> DataFrame:
     return x.select("a", "b", "marks", "marks_b").mapInArrow(agree, "a long, b long")
 
 
-def cross_class_pairs(members: DataFrame, least: int) -> DataFrame:
-    """Pairs of ``(key, id, class, marks)`` that share a key, differ in class and agree in signature.
+def cross_class_links(members: DataFrame, least: int, percent: int, n: int) -> DataFrame:
+    """Links between members of different classes: of ``(key, id, class, marks, keys, text)``.
 
     A bucket is cut into blocks by a hash of the id, and a task compares two blocks, so
-    memory is bounded whatever the bucket.
+    memory is bounded whatever the bucket. A pair is compared in the first bucket of all
+    that it shares, by signature and then by shingles, unless links found before put it
+    in one class. Only those links come out, fewer than there are members.
     """
     counts = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     placed = members.join(counts, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    left = placed.withColumn("other", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1))).withColumn("side", F.lit(0))
-    right = placed.withColumn("other", F.col("block")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("block")))).withColumn("side", F.lit(1))
+    with_later = F.transform(F.sequence("block", F.col("blocks") - 1), lambda o: F.struct(F.col("block").alias("one"), o.alias("two")))
+    with_earlier = F.transform(F.sequence(F.lit(0), F.col("block")), lambda o: F.struct(o.alias("one"), F.col("block").alias("two")))
+    both = placed.withColumn("pair", F.explode(F.array_distinct(F.concat(with_later, with_earlier))))
 
     def compare(group: pa.Table) -> pa.Table:
-        ids, cls, side = (np.asarray(group.column(c)) for c in ("id", "class", "side"))
+        cache: dict[bytes, int] = {}
+        key, two = group.column("key")[0].as_py(), group.column("two")[0].as_py()
+        ids, block = np.asarray(group.column("id")), np.asarray(group.column("block"))
         marks = np.frombuffer(b"".join(group.column("marks").to_pylist()), np.uint8).reshape(len(ids), -1)
-        p, q = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        same = group.column("block")[0].as_py() == group.column("other")[0].as_py()
+        lists = group.column("keys").to_pylist()
+        kept = np.full((len(ids), max(map(len, lists))), np.iinfo(np.int64).max)
+        for r, ks in enumerate(lists):
+            kept[r, : len(ks)] = ks
+        classes, own = np.unique(np.asarray(group.column("class")), return_inverse=True)
+        root = own.copy()
+        sets: dict[int, np.ndarray] = {}
+
+        def shingles(r: int) -> np.ndarray:
+            if r not in sets:
+                sets[r] = shingle_hashes(words(group.column("text")[r].as_py()), cache, n)
+            return sets[r]
+
+        left = np.flatnonzero(block == group.column("one")[0].as_py())
+        right = np.flatnonzero(block == two)
+        same = len(left) == len(ids)
         a, b = [], []
-        for i in p:
-            js = q[cls[q] != cls[i]]
+        for i in left.tolist():
+            js = right[root[right] != root[i]]
             js = js[ids[js] > ids[i]] if same else js
-            js = js[(marks[js] == marks[i]).sum(axis=1) >= least]
-            a.append(np.full(len(js), ids[i], np.int64)), b.append(ids[js])
-        a, b = np.concatenate(a or [ids[:0]]), np.concatenate(b or [ids[:0]])
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+            agree = (marks[js] == marks[i]).sum(axis=1)
+            js, agree = js[agree >= least], agree[agree >= least]
+            shared = np.where(np.isin(kept[js], kept[i]), kept[js], np.iinfo(np.int64).max)
+            go = shared.min(axis=1, initial=np.iinfo(np.int64).max) == key
+            for j in js[go][np.argsort(-agree[go], kind="stable")].tolist():
+                if root[j] == root[i]:
+                    continue
+                x, y = shingles(i), shingles(j)
+                x, y = (x, y) if len(x) <= len(y) else (y, x)
+                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+                common = int((y[at] == x).sum())
+                if 100 * common >= percent * (len(x) + len(y) - common):
+                    a.append(ids[i]), b.append(ids[j])
+                    root[root == root[j]] = root[i]
+        return pa.table({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
-    both = left.unionByName(right).select("key", "block", "other", "side", "id", "class", "marks")
-    return both.groupBy("key", "block", "other").applyInArrow(compare, "a long, b long").distinct()
+    both = both.select("key", F.col("pair.one").alias("one"), F.col("pair.two").alias("two"), "block", "id", "class", "marks", "keys", "text")
+    return both.groupBy("key", "one", "two").applyInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, id="doc_id", text="text", percent: int = 80, bands: int = 24, rows: int = 4,
@@ -187,14 +217,16 @@ def near_duplicates(docs: DataFrame, *, id="doc_id", text="text", percent: int =
     least = int(size * share - SLACK * (size * share * (1 - share)) ** 0.5)
     named = docs.where(F.col(id).isNotNull())
     signed = materialize(signatures(named, id, text, bands, rows, seed, shingle), "signatures")
-    first = signed.groupBy("id").agg(F.min("version").alias("version"))
-    own = signed.join(first, ["id", "version"]).dropDuplicates(["id"])
-    # One representative for each different text.
-    reps = own.where("n_shingles > 0").groupBy("digest").agg(F.min("id").alias("id"))
-    reps = materialize(own.join(reps, ["digest", "id"]).select("id", "version", "keys", "marks"), "representatives")
+    # One row per id, then one representative for each different text.
+    own = signed.groupBy("id").agg(F.min(F.struct("version", "digest", "n_shingles")).alias("r")).select("id", "r.*")
+    rep = F.min(F.struct("id", "version", "keys", "marks"))
+    reps = signed.groupBy("id").agg(F.min(F.struct("version", "digest", "n_shingles", "keys", "marks")).alias("r")).select("id", "r.*").where("n_shingles > 0")
+    reps = materialize(reps.groupBy("digest").agg(rep.alias("r")).select("digest", "r.*"), "representatives")
 
     met = reps.select("id", F.explode("keys").alias("key"))
-    shared = met.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    shared = met.groupBy("key").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
+    # Buckets with the same members are one bucket.
+    shared = shared.where("size > 1").groupBy("size", "x", "y").agg(F.min("key").alias("key")).select("key", "size")
     bucketed = materialize(met.join(shared, "key"), "buckets")
     weight = bucketed.groupBy("id").agg(F.sum("size").alias("weight"))
     hubs = bucketed.join(weight, "id").groupBy("key").agg(F.max_by("id", F.struct("weight", -F.col("id"))).alias("hub"))
@@ -212,15 +244,15 @@ def near_duplicates(docs: DataFrame, *, id="doc_id", text="text", percent: int =
     classed = bucketed.select("id", "key").join(classes.withColumnRenamed("node", "id"), "id", "left").select(
         "id", "key", F.coalesce("component", "id").alias("class"))
     open_keys = classed.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select("key")
-    members = classed.join(open_keys, "key").join(marks, "id")
-    done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = cross_class_pairs(members, least).join(done, ["a", "b"], "left_anti")
+    members = materialize(classed.join(open_keys, "key"), "open_buckets")
+    own_keys = members.groupBy("id").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    known = own_keys.join(marks, "id").join(texts, "id")
+    rest = cross_class_links(members.join(known, "id"), least, percent, shingle)
     more = materialize(confirm(rest, texts, percent, shingle), "links")
     if not more.isEmpty():
         classes = connected_components(links.union(more))
 
-    of_text = own.join(reps.select("id"), "id", "left_semi").join(
-        classes.withColumnRenamed("node", "id"), "id", "left").select(
+    of_text = reps.select("id", "digest").join(classes.withColumnRenamed("node", "id"), "id", "left").select(
         "digest", F.coalesce("component", "id").alias("component_id"))
     return own.join(of_text, "digest", "left").select(
         "id", "version", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
