@@ -1,24 +1,51 @@
 """Hour keys, ISO timestamps and names of shards, chunks and outputs."""
 
+from datetime import date
+
 from pyspark.sql import Column, functions as F
 
 
+def utc_text(ts: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss[.f]`` in UTC, whatever the session's zone.
+
+    Counted from the epoch in a type without a zone: a shift of zoned times would go
+    wrong in the hours that a zone skips or repeats.
+    """
+    seconds = (F.unix_micros(ts.cast("timestamp")).cast("decimal(20,0)") / 1000000).cast("decimal(18,6)")
+    none = F.lit(0)
+    return (F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + F.make_dt_interval(none, none, none, seconds)).cast("string")
+
+
+def utc_midnight(day: date) -> Column:
+    """The first moment of a day in UTC."""
+    return F.timestamp_seconds(F.lit((day - date(1970, 1, 1)).days * 86400))
+
+
+def day_key(ts: Column) -> Column:
+    return F.substring(utc_text(ts), 1, 10)
+
+
 def hour_key(ts: Column) -> Column:
-    """Key of an hourly history row."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH")
+    """Key of an hourly history row, in UTC."""
+    text = utc_text(ts)
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 2))
 
 
 def hour_id(ts: Column) -> Column:
-    """Key of an hourly post archive."""
-    return F.date_format(ts, "yyyyMMddHH")
+    """Key of an hourly post archive, in UTC."""
+    return F.translate(hour_key(ts), "-T", "")
+
+
+def hour_start(key: Column) -> Column:
+    """The first moment of an hour key."""
+    return F.to_timestamp(F.concat(key, F.lit(":00:00+00:00")), "yyyy-MM-dd'T'HH:mm:ssXXX")
 
 
 def iso_timestamp(ts: Column) -> Column:
-    """ISO-8601 text with offset; the fraction appears only when there is one."""
-    seconds = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format(ts, ".SSSSSS")
-    fraction = F.when(micros == ".000000", F.lit("")).otherwise(micros)
-    return F.concat(seconds, fraction, F.lit("+00:00"))
+    """ISO-8601 text with offset; the fraction, six digits, appears only when there is one."""
+    text = utc_text(ts)
+    fraction = F.when(F.length(text) > 19, F.rpad(F.substring(text, 20, 7), 7, "0")).otherwise("")
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), fraction, F.lit("+00:00"))
 
 
 def epoch_or_timestamp(c: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sentilake.functions.keys import epoch_or_timestamp
 from sentilake.functions.sentiment import emotion_struct
+from sentilake.operators.summaries import content_tie
 from sentilake.schemas import LEGACY_POST_NAMES, POST
 
 
@@ -49,6 +50,13 @@ def posts_from_records(records: DataFrame, col: str = "record", keep: Sequence[s
         *keep, *[read(f.name, f.dataType.simpleString()).cast(f.dataType).alias(f.name) for f in POST.fields])
 
 
+def other_fields(v: Column) -> Column:
+    """JSON of the fields that the post layout has no place for; NULL when there are none."""
+    known = [n for f in POST.fields for n in (f.name, *LEGACY_POST_NAMES.get(f.name, ()))]
+    rest = F.map_filter(F.try_variant_get(v, "$", "map<string,variant>"), lambda k, _: ~k.isin(*known))
+    return F.when(F.size(rest) > 0, F.to_json(rest))
+
+
 def comment_total(comments: Column) -> Column:
     """Length of the comment list; 0 when it is not a list."""
     return F.when(comments.isNull(), 0).otherwise(F.size(comments))
@@ -66,12 +74,12 @@ def dedupe_posts(
     """One row per id, the one with the most comments; ``tie_cols`` descending decide ties.
 
     The rank filter limits each task to one row per id before the shuffle, so copies
-    of one id never gather. Rows without an id are left out; see
-    :func:`split_missing_ids`.
+    of one id never gather. What is still equal is told apart by content. Rows without
+    an id are left out; see :func:`split_missing_ids`.
     """
     known, _ = split_missing_ids(posts, id_col)
     n = comment_total(F.col("post_comments")) if size is None else size
-    w = Window.partitionBy(id_col).orderBy(n.desc(), *[F.desc_nulls_last(c) for c in tie_cols])
+    w = Window.partitionBy(id_col).orderBy(n.desc(), *[F.desc_nulls_last(c) for c in tie_cols], content_tie(posts))
     return known.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 

@@ -166,19 +166,21 @@ def first_valid_comments(comments: Column, n: int = COMMENTS_PER_POST) -> Column
 
 
 def nest_first_comments(
-    comments: DataFrame, key: str, order_col: str, n: int,
+    comments: DataFrame, key: str, order_col: str, n: int | None,
     valid: Column | None = None, comment: Column | None = None,
 ) -> DataFrame:
     """First ``n`` valid comments of each post from a flat comment table.
 
     The group limit keeps at most ``n`` rows per post and task before the shuffle,
     so a post with any number of comments gathers into at most ``n`` array entries.
+    None takes all, where a post's comments are known to fit a row.
     """
     body = F.struct("body", "author", "score", "created_utc") if comment is None else comment
     rows = comments if valid is None else comments.filter(valid)
     w = Window.partitionBy(key).orderBy(order_col)
     top = rows.select(key, order_col, body.alias("c")) \
-        .withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= n)
+        .withColumn("rn", F.row_number().over(w))
+    top = top if n is None else top.filter(F.col("rn") <= n)
     gathered = F.sort_array(F.collect_list(F.struct("rn", "c")))
     return top.groupBy(key).agg(F.transform(gathered, lambda x: x["c"]).alias("post_comments"))
 
@@ -200,20 +202,25 @@ def quality_posts(
     flat table (``id``, ``comment_order`` and the comment fields); then only comments
     of posts that passed the other filters are shuffled.
     """
-    head = listing_head(order_listing(listings, method), fetch_buffer)
+    landed = order_listing(listings, method)
+    # Ranked without bodies; the few winners fetch theirs. Ties go by id, so the rank is
+    # the same wherever it is computed; rows equal in all of these share a rank.
+    order = ("listing_order", "id")
+    winners = listing_head(landed.select("subreddit", *order).distinct(), fetch_buffer, order_cols=order)
+    head = landed.join(winners, ["subreddit", *order])
     head = head.filter(has_content(F.col("title"), F.col("selftext"))) \
         .filter(within_max_age(epoch_or_timestamp(F.col("created_utc")), now, max_post_age_days))
     if comments is None:
         kept = head.withColumn("comments", first_valid_comments(F.col("comments"), comment_limit))
     else:
-        landed = F.struct("body", "author", "score", "created_utc")
+        fields = F.struct("body", "author", "score", "created_utc")
         wanted = comments.join(head.select("id"), "id", "left_semi")
         nested = nest_first_comments(
             wanted, "id", "comment_order", comment_limit,
-            valid_comment(F.col("body"), F.col("author")), normalize_comment(landed))
+            valid_comment(F.col("body"), F.col("author")), normalize_comment(fields))
         kept = head.drop("comments").join(nested.withColumnRenamed("post_comments", "comments"), "id")
     kept = kept.filter(min_comments(F.col("comments"), comment_limit))
-    return normalize_post(listing_head(kept, required_posts))
+    return normalize_post(listing_head(kept, required_posts, order_cols=order))
 
 
 # ---- validation ---------------------------------------------------------------

@@ -75,9 +75,12 @@ def generate_text(df: DataFrame, load: Callable[[], Generator], prompt: Column,
     return df.withColumn(out_col, answer(prompt))
 
 
-def annotate_posts(df: DataFrame, load: Callable[[], Generator], batch_size: int = 8) -> DataFrame:
-    """Prompt, generate and parse; adds ``scores``, NULL where the answer is unusable."""
-    prompt = build_prompt(F.col("post_title"), F.col("post_text"), comment_bodies(F.col("post_comments")))
+def annotate_posts(df: DataFrame, load: Callable[[], Generator], batch_size: int = 8, **limits: int | None) -> DataFrame:
+    """Prompt, generate and parse; adds ``scores``, NULL where the answer is unusable.
+
+    ``limits``: ``post_limit`` and ``comment_limit`` of the prompt, None to lift them.
+    """
+    prompt = build_prompt(F.col("post_title"), F.col("post_text"), comment_bodies(F.col("post_comments")), **limits)
     return generate_text(df, load, prompt, "_raw", batch_size) \
         .withColumn("scores", parse_scores(F.col("_raw"))).drop("_raw")
 
@@ -107,22 +110,25 @@ def lexicon_table(spark: SparkSession, lexicon: Mapping[str, str]) -> DataFrame:
 
 def lexicon_scores(
     df: DataFrame, lexicon: Mapping[str, str] | DataFrame, text_col: str = "text",
-    key: str = "post_id", out_col: str = "sentiment", max_chars: int | None = None,
+    out_col: str = "sentiment", max_chars: int | None = None,
 ) -> DataFrame:
     """Default scorer: share of listed words per emotion, all zero without a hit.
 
     A mapping of up to ``MAX_INLINE_WORDS`` words is evaluated in place. A larger
     mapping or a table (``word``, ``emotion``) is joined to the exploded tokens; Spark
-    broadcasts it when its size allows and splits frequent words otherwise.
+    broadcasts it when its size allows and splits frequent words otherwise. Hits are
+    counted by text, and copies of a text multiply all its counts alike, so both forms
+    give every row the same scores, whatever its other columns.
     """
-    text = truncate_chars(F.col(text_col), max_chars)
+    text = F.coalesce(truncate_chars(F.col(text_col), max_chars), F.lit(""))
     if isinstance(lexicon, Mapping) and len(lexicon) <= MAX_INLINE_WORDS:
         return df.withColumn(out_col, share(lexicon_counts(text, lexicon)))
 
     if isinstance(lexicon, Mapping):
         lexicon = lexicon_table(df.sparkSession, lexicon)
-    words = df.select(key, F.explode(F.split(F.lower(text), TOKEN_BREAK)).alias("word"))
+    keyed = df.withColumn("_text", F.sha2(text, 256))
+    words = keyed.select("_text", F.explode(F.split(F.lower(text), TOKEN_BREAK)).alias("word"))
     hits = words.join(lexicon, "word")
-    per_post = hits.groupBy(key).agg(*[F.count_if(F.col("emotion") == e).alias(e) for e in EMOTIONS])
-    counts = F.struct(*[F.coalesce(e, F.lit(0)).alias(e) for e in EMOTIONS])
-    return df.join(per_post, key, "left").withColumn(out_col, share(counts)).drop(*EMOTIONS)
+    per_text = hits.groupBy("_text").agg(F.struct(*[F.count_if(F.col("emotion") == e).alias(e) for e in EMOTIONS]).alias("_hits"))
+    none = F.struct(*[F.lit(0).cast("bigint").alias(e) for e in EMOTIONS])
+    return keyed.join(per_text, "_text", "left").withColumn(out_col, share(F.coalesce("_hits", none))).drop("_text", "_hits")

@@ -3,9 +3,9 @@
 from datetime import date, datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from sentilake.functions.keys import hour_key
+from sentilake.functions.keys import day_key, hour_key, utc_midnight
 from sentilake.functions.text import text_preview
 from sentilake.operators.posts import valid_post_struct
 from sentilake.schemas import CONTRIBUTOR, DAY_RANGE_LIMIT, EMOTIONS, POST, PREVIEW_CHARS
@@ -56,7 +56,7 @@ def validate_summaries(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _prune(df: DataFrame, low: Column, high: Column | None = None) -> DataFrame:
     """Repeat a time bound on the partition columns of stored history."""
-    for name, key in (("hour_key", hour_key), ("day", lambda ts: F.date_format(ts, "yyyy-MM-dd"))):
+    for name, key in (("hour_key", hour_key), ("day", day_key)):
         if name in df.columns:
             stored = F.col(name).cast("string")
             df = df.filter(stored >= key(low))
@@ -64,41 +64,49 @@ def _prune(df: DataFrame, low: Column, high: Column | None = None) -> DataFrame:
     return df
 
 
+def content_tie(df: DataFrame) -> Column:
+    """A hash of a row's content, to put rows of equal rank in the same order every time."""
+    plain = [F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return F.xxhash64(*plain)
+
+
 def recent_history(df: DataFrame, now: datetime, num_days: int) -> DataFrame:
     """Rows of the last ``num_days`` days, oldest first.
 
     The bound is repeated on the partition column so that stored history is pruned.
     """
     start = F.lit(now - timedelta(days=num_days)).cast("timestamp")
-    return _prune(df, start).filter(F.col("timestamp") >= start).orderBy("timestamp")
+    return _prune(df, start).filter(F.col("timestamp") >= start).orderBy("timestamp", content_tie(df))
 
 
-def history_by_day_range(df: DataFrame, start: date, end: date, limit: int = DAY_RANGE_LIMIT) -> DataFrame:
-    """Rows between two dates, both included, oldest first, at most ``limit``.
+def history_by_day_range(df: DataFrame, start: date, end: date, limit: int | None = DAY_RANGE_LIMIT) -> DataFrame:
+    """Rows between two UTC dates, both included, oldest first, at most ``limit`` (None: all).
 
     Written as a half-open time range, which file statistics can prune.
     """
-    low = F.lit(start).cast("timestamp")
-    high = F.lit(end + timedelta(days=1)).cast("timestamp")
-    return _prune(df, low, high).filter((F.col("timestamp") >= low) & (F.col("timestamp") < high)) \
-        .orderBy("timestamp").limit(limit)
+    low, high = utc_midnight(start), utc_midnight(end + timedelta(days=1))
+    found = _prune(df, low, high).filter((F.col("timestamp") >= low) & (F.col("timestamp") < high)) \
+        .orderBy("timestamp", content_tie(df))
+    return found if limit is None else found.limit(limit)
 
 
 def latest_per_hour(df: DataFrame, key_col: str = "hour_key", tie_cols: tuple[str, ...] = ()) -> DataFrame:
-    """Last row written in each hour."""
-    w = Window.partitionBy(key_col).orderBy(F.desc("timestamp"), *[F.desc(c) for c in tie_cols])
+    """Last row written in each hour; equal times are told apart by content."""
+    w = Window.partitionBy(key_col).orderBy(F.desc("timestamp"), *[F.desc(c) for c in tie_cols], content_tie(df))
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def normalize_history_timestamps(df: DataFrame, now: datetime) -> DataFrame:
     """Text times to UTC timestamps; ``updatedAt`` moves only on repaired rows.
 
-    ``timestamp`` is text here; ``stored_as_text`` tells which rows need repair.
+    ``timestamp`` is text here; ``stored_as_text`` tells which rows need repair. A text
+    that is no time stays in ``timestamp_text``, which is NULL for all other rows.
     """
     repaired = F.try_to_timestamp(F.col("timestamp"))
     touched = F.col("stored_as_text") & repaired.isNotNull()
     return df.withColumns({
         "updatedAt": F.when(touched, F.lit(now).cast("timestamp")).otherwise(F.col("updatedAt")),
+        "timestamp_text": F.when(repaired.isNull(), F.col("timestamp")),
         "timestamp": repaired,
     })
 

@@ -246,7 +246,7 @@ def queries() -> dict[str, str]:
         "q_validate_posts": f"""SELECT CAST(doc_id AS VARCHAR) AS post_id, concat_ws(',',
                 CASE WHEN n_chars % 997 % 50 - 1 < 0 THEN 'negative comment count' END,
                 CASE WHEN doc_id IN (SELECT conv_id FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS nth
-                     FROM conversations) WHERE nth <= 5 AND turn * 3 - 2 < 0) THEN 'invalid comment' END,
+                     FROM conversations) WHERE turn * 3 - 2 < 0) THEN 'invalid comment' END,
                 CASE WHEN n_chars % 997 / 900.0 > 1 THEN 'sentiment out of range' END,
                 CASE WHEN doc_id % 7 - 1 < 0 THEN 'processed before created' END) AS broken FROM documents""",
         "q_taxonomy": f"WITH {TAXONOMY} SELECT category, subreddit FROM tax",
@@ -260,16 +260,27 @@ def queries() -> dict[str, str]:
         "q_prepare_input": f"""WITH {PREPARED} SELECT CAST(doc_id AS VARCHAR) AS post_id, md5(t) AS input_md5,
             md5(whole) AS whole_md5, md5(left(t, 512)) AS model_md5 FROM prep""",
         "q_build_prompt": f"""WITH {PREPARED} SELECT CAST(doc_id AS VARCHAR) AS post_id,
-            CAST(length({PROMPT}) AS INTEGER) AS n_chars, md5({PROMPT}) AS prompt_md5 FROM prep""",
+            CAST(length({PROMPT}) AS INTEGER) AS n_chars, md5({PROMPT}) AS prompt_md5,
+            md5({PROMPT.replace("|| t ||", "|| whole ||")}) AS whole_md5 FROM prep""",
+        "q_label_run": f"""WITH {PREPARED}, n AS (SELECT doc_id, length({PROMPT.replace("|| t ||", "|| whole ||")}) AS len FROM prep)
+            SELECT CAST(doc_id AS VARCHAR) AS id, printf('shard-%06d', CAST((row_number() OVER (ORDER BY doc_id) - 1) // 256 + 1 AS INTEGER)) AS shard_id,
+                   'fixed' AS model_id, 'w0' AS worker_id, {generated("len")} FROM n""",
+        "q_build_report": """WITH d AS (SELECT doc_id % 4 AS n FROM documents)
+            SELECT 1 AS archives, count(*) FILTER (n = 3) AS failed, count(*) + count(*) FILTER (n = 1) AS records,
+                   count(*) FILTER (n = 3) AS non_objects, count(*) FILTER (n = 2) AS quarantined,
+                   count(*) FILTER (n < 2) AS published, count(*) FILTER (n = 1) AS copies,
+                   count(*) FILTER (n < 2) AS with_extra FROM d""",
         "q_recent_day": recent(1),
         "q_recent_week": recent(7),
         "q_recent_month": recent(31),
         "q_day_range": f"""WITH {HISTORY}, l AS (SELECT * FROM hist WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'
             ORDER BY ts LIMIT 100) SELECT event_id, {shown("ts")} AS ts FROM l WHERE value <= 100""",
+        "q_day_range_all": f"""WITH {HISTORY} SELECT event_id, {shown("ts")} AS ts FROM hist
+            WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' AND value <= 100""",
         "q_latest_snapshot": f"""{SENTIMENT} SELECT {shown(NOW)} AS ts,
             {each("round(max(CASE WHEN emotion = '{e}' THEN average END), 6) AS {e}")} FROM flat""",
         "q_history_upsert": f"""WITH {HISTORY} SELECT hour_key, event_id, event_type FROM hist
-            WHERE value <= 100 AND event_type IN ('view', 'click')
+            WHERE value <= 100
             QUALIFY row_number() OVER (PARTITION BY hour_key ORDER BY event_type = 'click' DESC, ts DESC) = 1""",
         "q_latest_per_hour": f"""WITH {HISTORY} SELECT hour_key, event_id FROM hist
             QUALIFY row_number() OVER (PARTITION BY hour_key ORDER BY ts DESC) = 1""",
@@ -317,8 +328,8 @@ def queries() -> dict[str, str]:
                    'fixed' AS model_id, 'run1' AS run_id, {generated("len")} FROM n""",
         "q_annotation_metrics": f"""WITH {PARSED} SELECT count(*) AS items_annotated,
             count(*) FILTER (joy IS NULL) AS json_parse_failures FROM parsed""",
-        "q_combine_annotations": f"""WITH {PARSED} SELECT d.doc_id, CASE WHEN p.conv_id IS NOT NULL THEN 'run1' END AS run_id,
-            {each("p.{e}")} FROM documents d LEFT JOIN (SELECT * FROM parsed WHERE turn = 0) p ON p.conv_id = d.doc_id""",
+        "q_combine_annotations": f"""WITH {PARSED} SELECT d.doc_id, CASE WHEN p.conv_id IS NOT NULL THEN 'run1:' || p.turn END AS run_id,
+            {each("p.{e}")} FROM documents d LEFT JOIN parsed p ON p.conv_id = d.doc_id""",
         "q_stream_dedupe": "SELECT DISTINCT user_id FROM events",
         "q_stream_annotate": f"""WITH {PREPARED}, n AS (SELECT doc_id, length({PROMPT}) AS len FROM prep)
             SELECT CAST(doc_id AS VARCHAR) AS id, 'run1' AS run_id, {generated("len")} FROM n""",

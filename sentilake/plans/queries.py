@@ -19,7 +19,7 @@ from sentilake.operators.summary import (
     sentiment_summary, softmax_weights, top_contributors,
 )
 from sentilake.plans import inputs as I
-from sentilake.plans.runs import build_dataset, past_days, sentiment_run, warehouse_days
+from sentilake.plans.runs import build_dataset, label_records, label_run, past_days, sentiment_run, warehouse_days
 from sentilake.schemas import EMOTIONS, SCORES, SENTIMENT
 from sentilake.session import materialize, shared_dir, spread, use_utc
 from sentilake.sinks import archives as KA, labelling as KL, summaries as KS
@@ -212,7 +212,7 @@ def q_validate_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     n, doc = F.col("post_score") + 20, F.col("position")
     hour = F.make_dt_interval(hours=(doc % 7).cast("int") - F.lit(1))
     first = P.nest_first_comments(
-        I.comments(spark, sf_dir), "id", "comment_order", 5,
+        I.comments(spark, sf_dir), "id", "comment_order", None,
         comment=F.struct("body", "author", "score", F.timestamp_seconds("created_utc").alias("created_utc")))
     posts = I.posts(spark, sf_dir).join(first.withColumnRenamed("id", "post_id"), "post_id", "left").withColumns({
         "post_comment_count": n % 50 - 1,
@@ -278,9 +278,9 @@ def q_prepare_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_build_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prompt = X.build_prompt(F.col("post_title"), F.col("post_text"), X.comment_bodies(F.col("post_comments")))
-    return _discussed(spark, sf_dir).select("post_id", prompt.alias("p")).select(
-        "post_id", F.length("p").alias("n_chars"), F.md5("p").alias("prompt_md5"))
+    parts = F.col("post_title"), F.col("post_text"), X.comment_bodies(F.col("post_comments"))
+    made = _discussed(spark, sf_dir).select("post_id", X.build_prompt(*parts).alias("p"), X.build_prompt(*parts, None, None).alias("whole"))
+    return made.select("post_id", F.length("p").alias("n_chars"), F.md5("p").alias("prompt_md5"), F.md5("whole").alias("whole_md5"))
 
 
 # ---- history ------------------------------------------------------------------
@@ -308,6 +308,12 @@ def q_day_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.select("event_id", shown(F.col("timestamp")).alias("ts"))
 
 
+def q_day_range_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same days without a limit."""
+    rows = H.history_by_day_range(I.history(spark, sf_dir), date(2024, 1, 10), date(2024, 1, 12), None)
+    return H.validate_summaries(rows)[0].select("event_id", shown(F.col("timestamp")).alias("ts"))
+
+
 def q_latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second snapshot replaces the first; an empty one changes nothing."""
     path = shared_dir(use_utc(spark), "current")
@@ -320,11 +326,11 @@ def q_latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_history_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hours written from views, then again from clicks where there are any."""
+    """Hours written from all other events, then again from clicks where there are any."""
     path = shared_dir(use_utc(spark), "history")
     rows, _ = H.validate_summaries(I.history(spark, sf_dir))
-    for kind in ("view", "click"):
-        KS.upsert_history(H.latest_per_hour(rows.filter(F.col("event_type") == kind)), path)
+    for part in (F.col("event_type") != "click", F.col("event_type") == "click"):
+        KS.upsert_history(rows.filter(part), path)
     return R.read_history(spark, path).select("hour_key", "event_id", "event_type")
 
 
@@ -404,7 +410,7 @@ def q_ingest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("["), F.to_json(F.struct("conv_id", "text")), F.lit("]")).alias("value")) \
         .write.mode("append").text(path)
     I.table(spark, sf_dir, "benchmark").select(
-        F.concat(F.lit('{"data": ['), F.to_json(F.struct("item_id")), F.lit("]}")).alias("value")) \
+        F.concat(F.lit('{"data": ['), F.to_json(F.struct("item_id", "text")), F.lit("]}")).alias("value")) \
         .write.mode("append").text(path)
     I.table(spark, sf_dir, "pages").select(F.regexp_replace("html", "[\r\n]", " ").alias("value")) \
         .write.mode("append").text(path)
@@ -446,6 +452,22 @@ def q_dataset_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return before.unionByName(after)
 
 
+def q_build_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A build over old and new layouts, unknown fields, missing ids, non-objects and broken lines."""
+    root = shared_dir(use_utc(spark), "report")
+    docs = I.table(spark, sf_dir, "documents")
+    n = F.col("doc_id") % 4
+    new = F.to_json(F.struct(F.col("doc_id").cast("string").alias("post_id"), F.col("text").alias("post_text"), "lang"))
+    old = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), "text", "source"))
+    unnamed = F.to_json(F.struct(F.col("text").alias("post_text")))
+    docs.select(F.when(n == 0, new).when(n == 1, old).when(n == 2, unnamed).otherwise(F.concat(F.lit("["), "doc_id", F.lit("]"))).alias("value")) \
+        .unionByName(docs.filter(n == 1).select(new.alias("value"))).unionByName(docs.filter(n == 3).select(F.lit("{broken").alias("value"))) \
+        .write.text(f"{root}/archives/a1")
+    report = build_dataset(spark, f"{root}/archives/*", f"{root}/dataset", "r1", lines=True)
+    extra = R.read_dataset(spark, f"{root}/dataset", "r1").agg(F.count("extra").alias("with_extra"))
+    return report.withColumn("with_extra", extra.scalar())
+
+
 def q_build_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives written twice, read, deduplicated and published."""
     root = shared_dir(use_utc(spark), "build")
@@ -566,16 +588,27 @@ def q_annotation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("id", "shard_id", "model_id", "run_id", *[F.col(f"scores.{e}").alias(e) for e in EMOTIONS])
 
 
+def q_label_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A labelling run in two calls, the second of which goes on with what the first left."""
+    root = shared_dir(use_utc(spark), "label-run")
+    KA.publish_dataset(P.conform_posts(_discussed(spark, sf_dir)).orderBy(F.col("post_id").cast("bigint")), f"{root}/dataset", "r1")
+    for only in (F.col("row_idx") % 3 == 0, None):
+        label_run(spark, f"{root}/dataset", "r1", f"{root}/run", RUN_ID, I.NOW, load_length_generator, MODEL_ID, WORKER_ID,
+                  shard_size=256, chunk_size=64, only=only, post_limit=None)
+    return label_records(spark, f"{root}/run", RUN_ID).select(
+        "id", "shard_id", "model_id", "worker_id", *[F.col(f"scores.{e}").alias(e) for e in EMOTIONS])
+
+
 def q_annotation_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = parse_scores(F.col("raw"))
     return L.annotation_metrics(raw_answers(spark, sf_dir).select(scores.alias("scores")))
 
 
 def q_combine_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with the scores of the answers to their first turn."""
-    answers = raw_answers(spark, sf_dir).filter("turn = 0").select(
+    """Documents with the scores of the answers to all turns, a run per turn."""
+    answers = raw_answers(spark, sf_dir).select(
         F.col("conv_id").alias("id"), parse_scores(F.col("raw")).alias("scores"),
-        F.lit(MODEL_ID).alias("model_id"), F.lit(RUN_ID).alias("run_id"))
+        F.lit(MODEL_ID).alias("model_id"), F.concat(F.lit(RUN_ID + ":"), "turn").alias("run_id"))
     both = L.combine_annotations(I.table(spark, sf_dir, "documents"), answers, "doc_id")
     return both.select("doc_id", "run_id", *[F.col(f"scores.{e}").alias(e) for e in EMOTIONS])
 

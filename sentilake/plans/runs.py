@@ -1,34 +1,49 @@
-"""Whole jobs: the sentiment run, the history reads and the dataset build."""
+"""Whole jobs: the sentiment run, the history reads, the dataset build and the labelling run."""
 
 from collections.abc import Callable, Mapping
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sentilake.functions.text import comment_bodies, prepare_for_input
-from sentilake.operators.archives import dedupe_posts, only_objects, order_by_comments, posts_from_records
+from sentilake.operators.archives import (
+    dedupe_posts, is_object, order_by_comments, other_fields, posts_from_records, split_missing_ids,
+)
+from sentilake.operators.labelling import (
+    COMPLETED, IN_PROGRESS, PENDING, annotation_metrics, annotation_progress, annotation_records, assign_shards,
+    index_rows, pending_rows, shard_manifest,
+)
 from sentilake.operators.posts import quality_posts, stamp_run
-from sentilake.operators.scoring import Scorer, lexicon_scores, score_emotions
+from sentilake.operators.scoring import Generator, Scorer, annotate_posts, lexicon_scores, score_emotions
 from sentilake.operators.summaries import (
     history_by_day_range, recent_history, to_legacy_summary, to_new_summary, validate_summaries,
 )
 from sentilake.operators.summary import sentiment_summary
 from sentilake.operators.taxonomy import flatten_categories
-from sentilake.session import materialize
+from sentilake.schemas import CHUNK_SIZE, COMMENT_COUNT, DAY_RANGE_LIMIT, MODEL_CHARS, POST_CHARS, SCORES, SHARD_SIZE
+from sentilake.session import materialize, path_exists
 from sentilake.sinks.archives import publish_dataset, write_archive
+from sentilake.sinks.labelling import write_annotations, write_manifest
 from sentilake.sinks.summaries import append_warehouse, upsert_history, write_current
-from sentilake.sources.archives import read_archives, read_documents, require_min_files
-from sentilake.sources.stores import read_history, read_latest
+from sentilake.sources.archives import read_documents, require_min_archives
+from sentilake.sources.stores import read_dataset, read_history, read_latest, read_shard_tasks, read_warehouse
 
 
-def score_posts(posts: DataFrame, scorer: Mapping[str, str] | Callable[[], Scorer]) -> DataFrame:
-    """Model input from title, text and comments, scored by a word list or a model."""
-    text = prepare_for_input(F.col("post_title"), F.col("post_text"), comment_bodies(F.col("post_comments")))
+def score_posts(posts: DataFrame, scorer: Mapping[str, str] | Callable[[], Scorer], post_limit: int | None = POST_CHARS,
+                comment_limit: int | None = COMMENT_COUNT, max_chars: int | None = MODEL_CHARS) -> DataFrame:
+    """Model input from title, text and comments, scored by a word list or a model.
+
+    None lifts a limit: characters of the body, number of comments, characters that a
+    model gets. A word list reads the whole input.
+    """
+    text = prepare_for_input(F.col("post_title"), F.col("post_text"), comment_bodies(F.col("post_comments")),
+                             post_limit, comment_limit)
     with_text = posts.withColumn("model_text", text)
     if isinstance(scorer, Mapping):
         scored = lexicon_scores(with_text, scorer, "model_text")
     else:
-        scored = score_emotions(with_text, scorer, "model_text")
+        scored = score_emotions(with_text, scorer, "model_text", max_chars=max_chars)
     return scored.drop("model_text")
 
 
@@ -37,16 +52,18 @@ def sentiment_run(
     scorer: Mapping[str, str] | Callable[[], Scorer], method: str = "hot",
     num_posts: int = 15, num_comments: int = 5, buffer: int = 100,
     archive: bool = True, snapshot: bool = True, hourly: bool = True,
-    comments: DataFrame | None = None,
+    comments: DataFrame | None = None, **limits: int | None,
 ) -> DataFrame:
     """Collect, score, summarise and store; returns the summary.
 
-    Posts are scored once per community and written before they meet the taxonomy,
+    Only communities of the taxonomy are collected; ``limits`` go to
+    :func:`score_posts`. Posts are scored once per community and written before they meet the taxonomy,
     so a post in two categories is scored once but weighs twice. The written table
     feeds both the summary and the archive.
     """
+    listings = listings.join(taxonomy.select("subreddit"), "subreddit", "left_semi")
     kept = quality_posts(listings, now, method, num_posts, num_comments, buffer, comments=comments)
-    scored = materialize(stamp_run(score_posts(kept, scorer), now), "scored")
+    scored = materialize(stamp_run(score_posts(kept, scorer, **limits), now), "scored")
     flat = flatten_categories(scored, taxonomy)
     summary = materialize(sentiment_summary(flat), "summary")
     if snapshot:
@@ -81,16 +98,77 @@ def past_days(spark: SparkSession, root: str, now: datetime, num_days: int,
     return _in_layout(_current_layout(rows), layout)
 
 
-def warehouse_days(spark: SparkSession, root: str, start: date, end: date) -> DataFrame:
-    """Warehouse rows between two dates."""
-    rows = history_by_day_range(read_latest(spark, f"{root}/warehouse"), start, end)
+def warehouse_days(spark: SparkSession, root: str, start: date, end: date, limit: int | None = DAY_RANGE_LIMIT) -> DataFrame:
+    """Warehouse rows between two dates, at most ``limit`` of them (None: all)."""
+    rows = history_by_day_range(read_warehouse(spark, f"{root}/warehouse"), start, end, limit)
     return validate_summaries(rows)[0]
 
 
 def build_dataset(spark: SparkSession, archives: str, target: str, revision: str,
-                  min_files: int = 1, lines: bool = False) -> None:
-    """Archives to one published row per post, most discussed first."""
-    require_min_files(read_documents(spark, archives, lines), min_files)
-    records = only_objects(read_archives(spark, archives, lines))
-    unique = dedupe_posts(posts_from_records(records))
-    publish_dataset(order_by_comments(unique), target, revision)
+                  min_files: int = 1, lines: bool = False, ordered: bool = True) -> DataFrame:
+    """Archives to one published row per post; returns the report of the build.
+
+    Fields outside the post layout go along as JSON in ``extra``. Posts without an id go
+    to the folder ``quarantine`` beside the revisions. Every record is accounted for:
+    ``records = published + copies + quarantined + non_objects``; broken documents are
+    counted by ``failed``. ``ordered`` sorts by number of comments.
+    """
+    found = require_min_archives(spark, archives, min_files, lines)
+    documents = read_documents(spark, archives, lines)
+    records = documents.select(F.col("records").isNull().alias("failed"), F.explode_outer("records").alias("record"))
+    state = F.when(F.col("failed"), "failed").when(F.col("record").isNull(), "empty") \
+        .when(~is_object(F.col("record")), "non_object").otherwise("post")
+    parsed = posts_from_records(records.withColumns({"state": state, "extra": other_fields(F.col("record"))}), keep=("state", "extra"))
+    parsed = materialize(parsed, "parsed")
+    posts = parsed.filter("state = 'post'").drop("state")
+    known, unnamed = split_missing_ids(posts)
+    unique = dedupe_posts(known)
+    publish_dataset(order_by_comments(unique) if ordered else unique, target, revision)
+    unnamed.write.mode("overwrite").parquet(f"{target}/quarantine/revision={revision}")
+    published = read_dataset(spark, target, revision).agg(F.count("*").alias("published"))
+    return parsed.agg(
+        F.lit(found).cast("bigint").alias("archives"), F.count_if(F.expr("state = 'failed'")).alias("failed"),
+        F.count_if(F.expr("state in ('non_object', 'post')")).alias("records"), F.count_if(F.expr("state = 'non_object'")).alias("non_objects"),
+        F.count_if(F.expr("state = 'post' and post_id is null")).alias("quarantined"),
+    ).withColumn("published", published.scalar()).withColumn(
+        "copies", F.col("records") - F.col("non_objects") - F.col("quarantined") - F.col("published"))
+
+
+def label_run(spark: SparkSession, dataset: str, revision: str, target: str, run_id: str, now: datetime,
+              load: Callable[[], Generator], model_id: str, worker_id: str, shard_size: int = SHARD_SIZE,
+              chunk_size: int = CHUNK_SIZE, batch_size: int = 8, only: Column | None = None, **limits: int | None) -> DataFrame:
+    """Label the posts of a dataset that have no record yet; returns the metrics of the run so far.
+
+    Rows are numbered and dealt to shards; the manifest is written when the run begins.
+    Calling it again goes on where it stopped. ``only`` restricts a call to some rows;
+    ``limits`` are those of the prompt.
+    """
+    rows = assign_shards(index_rows(read_dataset(spark, dataset, revision)), shard_size)
+    if not path_exists(spark, f"{target}/tasks/run_id={run_id}"):
+        n = rows.count()
+        run = spark.range(1).select(F.lit(n).alias("n_rows"), F.lit(revision).alias("revision"), F.lit(shard_size).alias("shard_size"),
+                                    F.lit(chunk_size).alias("chunk_size"), F.lit(model_id).alias("model_id"), F.lit(now).alias("created_at"))
+        write_manifest(run, shard_manifest(spark, n, now, shard_size, chunk_size), target, run_id)
+    pending = rows if only is None else rows.filter(only)
+    if path_exists(spark, f"{target}/records/run_id={run_id}"):
+        pending = pending_rows(pending, label_records(spark, target, run_id).withColumnRenamed("id", "post_id"))
+    done = annotate_posts(pending, load, batch_size, **limits)
+    write_annotations(annotation_records(done, run_id, model_id, worker_id, keep=("shard_id",)), f"{target}/records", "append")
+    return annotation_metrics(label_records(spark, target, run_id))
+
+
+def label_records(spark: SparkSession, target: str, run_id: str) -> DataFrame:
+    """Records of a labelling run, with their shard."""
+    layout = StructType([StructField("id", StringType()), StructField("scores", SCORES), StructField("model_id", StringType()),
+                         StructField("shard_id", StringType()), StructField("worker_id", StringType())])
+    return spark.read.schema(layout).json(f"{target}/records/run_id={run_id}").withColumn("run_id", F.lit(run_id))
+
+
+def label_progress(spark: SparkSession, target: str, run_id: str, now: datetime) -> DataFrame:
+    """Progress of a labelling run: the manifest with the records written so far."""
+    counts = label_records(spark, target, run_id).groupBy("shard_id").agg(F.count("*").alias("n"))
+    tasks = read_shard_tasks(spark, target, run_id).join(counts, "shard_id", "left")
+    done = F.coalesce("n", F.lit(0))
+    whole = done == F.col("end_idx") - F.col("start_idx") + 1
+    status = F.when(whole, COMPLETED).when(done > 0, IN_PROGRESS).otherwise(PENDING)
+    return annotation_progress(tasks.withColumns({"chunk_done": done, "status": status}), now)

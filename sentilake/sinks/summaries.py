@@ -8,8 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from sentilake.functions.keys import hour_key
-from sentilake.operators.summaries import to_warehouse_shape, validate_summaries
-from sentilake.session import one_task_per_key
+from sentilake.operators.summaries import latest_per_hour, to_warehouse_shape, validate_summaries
+from sentilake.session import materialize, one_task_per_key
 
 
 def _stamped(summary: DataFrame, now: datetime, updated_col: str) -> DataFrame:
@@ -19,29 +19,36 @@ def _stamped(summary: DataFrame, now: datetime, updated_col: str) -> DataFrame:
 
 
 def write_current(summary: DataFrame, path: str, now: datetime) -> bool:
-    """Replace the current snapshot; tells whether there was one to write."""
-    row = _stamped(summary, now, "updatedAt")
+    """Write a new version of the current snapshot; tells whether there was one to write.
+
+    The summary is computed once. Readers see the old version until the new one is
+    complete, as they take the last one.
+    """
+    row = materialize(_stamped(summary, now, "updatedAt").coalesce(1), "snapshot")
     if row.isEmpty():
         return False
-    row.coalesce(1).write.mode("overwrite").parquet(path)
+    row.write.mode("overwrite").parquet(f"{path}/version={now.strftime('%Y%m%d%H%M%S%f')}")
     return True
 
 
-def upsert_history(summary: DataFrame, path: str, now: datetime | None = None) -> None:
+def upsert_history(summary: DataFrame, path: str, now: datetime | None = None) -> int:
     """Write history rows by hour; a later write of an hour replaces the earlier one.
 
     With ``now`` every row belongs to that hour. Without it the rows bring their own
-    ``hour_key``, ``timestamp`` and ``updatedAt``.
+    ``hour_key``, ``timestamp`` and ``updatedAt``, and the last one of an hour is kept.
+    Returns how many invalid rows were left out.
     """
     if now is not None:
         rows = _stamped(summary, now, "updatedAt").withColumn("hour_key", hour_key(F.col("timestamp")))
         rows = rows.coalesce(1)
     else:
-        rows = one_task_per_key(validate_summaries(summary)[0], "hour_key")
+        rows = one_task_per_key(latest_per_hour(validate_summaries(summary)[0]), "hour_key")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy("hour_key").parquet(path)
+    return validate_summaries(summary)[1].count()
 
 
-def append_warehouse(summary: DataFrame, path: str, now: datetime) -> None:
-    """Append rows in warehouse shape."""
+def append_warehouse(summary: DataFrame, path: str, now: datetime) -> int:
+    """Append rows in warehouse shape; returns how many invalid rows were left out."""
     to_warehouse_shape(_stamped(summary, now, "updated_at")).write.mode("append").parquet(path)
+    return validate_summaries(summary)[1].count()

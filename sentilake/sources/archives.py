@@ -52,6 +52,26 @@ def read_archives(spark: SparkSession, path: str, lines: bool = False, **options
     return docs.select("file_path", F.explode("records").alias("record"))
 
 
+def count_archives(spark: SparkSession, path: str, lines: bool = False, glob: str | None = None) -> int:
+    """Number of archives, from a listing of names alone.
+
+    An archive is a file; one written here (``lines``) is a folder of part files.
+    """
+    listing = spark.read.format("binaryFile")
+    if glob:
+        listing = listing.option("pathGlobFilter", glob)
+    name = F.regexp_replace("path", "/[^/]*$", "") if lines else F.col("path")
+    return listing.load(path).select(name.alias("archive")).distinct().count()
+
+
+def require_min_archives(spark: SparkSession, path: str, n: int, lines: bool = False, glob: str | None = None) -> int:
+    """Fail unless there are at least ``n`` archives; returns how many there are."""
+    found = count_archives(spark, path, lines, glob)
+    if found < n:
+        raise ValueError(f"required archives: {n}; found: {found}")
+    return found
+
+
 def require_min_files(documents: DataFrame, n: int) -> DataFrame:
     """Fail unless the documents come from at least ``n`` files."""
     found = documents.select("file_path").distinct().count()

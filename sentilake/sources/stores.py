@@ -1,7 +1,8 @@
 """Readers of what the sinks write."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sentilake.operators.summaries import to_warehouse_shape
 from sentilake.schemas import SUMMARY
 from sentilake.session import path_exists
 
@@ -10,6 +11,19 @@ def read_latest(spark: SparkSession, path: str) -> DataFrame:
     """The current snapshot; no rows when there is none."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], SUMMARY)
+    stored = spark.read.parquet(path)
+    if "version" not in stored.columns:
+        return stored
+    stored = stored.withColumn("version", F.col("version").cast("string"))
+    last = stored.agg(F.max("version").alias("version"))
+    return stored.join(last, "version", "left_semi").drop("version")
+
+
+def read_warehouse(spark: SparkSession, path: str) -> DataFrame:
+    """Warehouse rows; no rows, in their layout, when there is no warehouse."""
+    if not path_exists(spark, path):
+        empty = spark.createDataFrame([], SUMMARY).withColumnRenamed("updatedAt", "updated_at")
+        return to_warehouse_shape(empty)
     return spark.read.parquet(path)
 
 

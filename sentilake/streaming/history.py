@@ -8,12 +8,13 @@ batch touched are then finished hour by hour from all their partials and replace
 in the history. Late posts simply touch their old day again.
 """
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from sentilake.functions.keys import hour_key
+from sentilake.functions.keys import hour_key, hour_start
 from sentilake.operators.posts import post_struct
 from sentilake.operators.summary import (
     emotion_totals, nest_contributors, normalize_totals, rank_strengths, strengths,
@@ -54,23 +55,29 @@ def _save(df: DataFrame, path: str, parts: Sequence[str]) -> None:
 
 
 def _partials(like: DataFrame, path: str) -> DataFrame:
-    parts = [T.StructField("day", T.StringType()), T.StructField("batch_id", T.LongType())]
+    parts = [T.StructField("day", T.StringType()), T.StructField("batch_id", T.StringType())]
     return like.sparkSession.read.schema(T.StructType([*like.schema.fields, *parts])).parquet(path)
 
 
-def merge_batch(batch: DataFrame, batch_id: int, path: str, temperature: float = TEMPERATURE,
+def merge_batch(batch: DataFrame, batch_id: int | str, path: str, temperature: float = TEMPERATURE,
                 k: int = TOP_K, position_col: str = "position") -> None:
-    """Fold one batch into the partials and the hourly history below ``path``."""
+    """Fold one batch into the partials and the hourly history below ``path``.
+
+    The batch feeds sums, ranks and details, so it is kept while they are written: a
+    model before it scores every post once.
+    """
+    batch_id = str(batch_id)
+    batch = batch.persist()
     sums, top = hourly_partials(batch, temperature, k, position_col)
     for part, name in ((sums, "sums"), (top, "top")):
         _save(part.withColumn("batch_id", F.lit(batch_id)), f"{path}/{name}", ["day", "batch_id"])
+    batch.unpersist()
 
     all_sums, all_top = _partials(sums, f"{path}/sums"), _partials(top, f"{path}/top")
     touched = all_sums.filter(F.col("batch_id") == batch_id).select("day").distinct()
     finished = finish_hours(all_sums.join(touched, "day", "left_semi"),
                             all_top.join(touched, "day", "left_semi"), k)
-    hour_start = F.to_timestamp("hour_key", "yyyy-MM-dd'T'HH")
-    _save(finished.withColumns({"timestamp": hour_start, "updatedAt": F.current_timestamp()}),
+    _save(finished.withColumns({"timestamp": hour_start(F.col("hour_key")), "updatedAt": F.current_timestamp()}),
           f"{path}/history", ["day"])
 
 
@@ -79,8 +86,13 @@ def stream_history(
     position_col: str = "position", temperature: float = TEMPERATURE, k: int = TOP_K,
     **trigger,
 ) -> StreamingQuery:
-    """Start the hourly history of a stream of scored posts; every late post counts."""
+    """Start the hourly history of a stream of scored posts; every late post counts.
+
+    Partials are named by checkpoint and batch, so a stream that starts anew under
+    another checkpoint adds to those of the old one.
+    """
+    run = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
     keyed = posts.withColumn("hour_key", hour_key(F.col(ts_col)))
     return keyed.writeStream.option("checkpointLocation", checkpoint) \
-        .foreachBatch(lambda df, n: merge_batch(df, n, path, temperature, k, position_col)) \
+        .foreachBatch(lambda df, n: merge_batch(df, f"{run}-{n}", path, temperature, k, position_col)) \
         .trigger(**(trigger or {"availableNow": True})).start()

@@ -1,102 +1,70 @@
-import html
-import re
-import unicodedata
+"""Cleaning rules on inputs of our own, with literal results."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from sentilake.functions import text as X
 
-STEPS = [
-    (X.normalize_unicode, "ﬃ", "ffi"), (X.normalize_unicode, "ℌ", "H"),
-    (X.normalize_unicode, "①", "1"), (X.normalize_unicode, "", ""),
-    (X.collapse_whitespace, " so   many  gaps  ", "so many gaps"), (X.collapse_whitespace, "      ", ""),
-    (X.collapse_whitespace, "a\n\nb", "a b"), (X.collapse_whitespace, "a \x1cb ", "a b"),
-    (X.strip_blockquotes, "> one\n>>  two\n>>>three", "one\ntwo\nthree"), (X.strip_blockquotes, ">>>>", ""),
-    (X.strip_blockquotes, "keep this>", "keep this>"), (X.strip_blockquotes, "a\r> b", "a\r> b"),
-    (X.remove_markdown_links, "see [here](https://x.org)", "see here"),
-    (X.remove_markdown_links, "[a](b) and [c](d)", "a and c"), (X.remove_markdown_links, "[none]() left", "[none]() left"),
-    (X.drop_bare_urls, "at https://x.org", "at "), (X.drop_bare_urls, "http://a.b and https://c.d", " and "),
-    (X.decode_html_entities, "a &amp; b &lt;i&gt; &apos;", "a & b <i> '"), (X.decode_html_entities, "&amp now", "& now"),
-    (X.strip_nbsp, "a b", "a b"),
-    (X.remove_control_chars, "café\x01\U0001f642", "caf"), (X.remove_control_chars, "plain", "plain"),
-]
-
-
-def run(spark, c, value):
-    return spark.range(1).select(F.lit(value).alias("t")).select(c(F.col("t")).alias("o")).first()["o"]
-
-
-def test_each_cleaning_step(spark):
-    rows = [(i, t) for i, (_, t, _) in enumerate(STEPS)]
-    df = spark.createDataFrame(rows, "i int, t string")
-    by_step = {}
-    for i, (step, _, want) in enumerate(STEPS):
-        by_step.setdefault(step, []).append((i, want))
-    for step, cases in by_step.items():
-        got = {r["i"]: r["o"] for r in df.select("i", step(F.col("t")).alias("o")).collect()}
-        for i, want in cases:
-            assert got[i] == want, STEPS[i]
-
-
-@pytest.mark.parametrize("text, flags, want", [
-    ("  A B  ", {}, "A B"),
-    ("> said", {}, "said"),
-    ("[link](https://a.org)", {}, "link"),
-    ("go https://a.org now", {}, "go now"),
-    ("x &amp; y", {}, "x & y"),
-    ("bad\x01text", {}, "bad\x01text"),
-    ("bad\x01text", {"strip_controls": True}, "badtext"),
-    ("[link](a.org)", {"remove_md_links": False}, "[link](a.org)"),
-    ("https://abc.org", {"remove_urls": False}, "https://abc.org"),
-    (" > kept", {"strip_quotes": False}, "> kept"),
-    ("&amp;", {"decode_entities": False}, "&amp;"),
-    ("ﬃ", {"normalize": False}, "ﬃ"),
-    ("> [Hi](https://e.org) &amp; bye    https://f.org\U0001f642", {"strip_controls": True}, "Hi & bye"),
-    ("Hi &amp; all\n> quoted\nsee https://e.org [link](http://x.org)", {}, "Hi & all quoted see link"),
-    ("a &nbsp; b", {}, "a b"),
+
+def column(spark, make, values):
+    df = spark.createDataFrame(list(enumerate(values)), "i int, t string")
+    return [r["o"] for r in df.select("i", make(F.col("t")).alias("o")).orderBy("i").collect()]
+
+
+@pytest.mark.parametrize("rule, pairs", [
+    (X.normalize_unicode, {"Ⅷ": "VIII", "ｶﾞ": "ガ", "é": "é", "naïve Straße": "naïve Straße", "½ m²": "1⁄2 m2", None: None}),
+    (X.collapse_whitespace, {"\t\tTab\tstops\t": "Tab stops", "line\r\nbreak": "line break", "один  два": "один два", "\n": "", None: None}),
+    (X.strip_blockquotes, {"> > inner": "> inner", ">\nnext": "next", "no\n>quote\nyes": "no\nquote\nyes", "5 > 3": "5 > 3"}),
+    (X.remove_markdown_links, {"[x](y)[z](w)": "xz", "![pic](p.png)": "!pic", "[open](never closed": "[open](never closed",
+                               "[two words](http://h/p \"t\")": "two words"}),
+    (X.drop_bare_urls, {"(https://h.example/p)": "(", "ftp://h.example": "ftp://h.example", "httpx://a": "httpx://a",
+                        "один https://h.example/ü два": "один  два"}),
+    (X.decode_html_entities, {"&eacute;t&#233;": "été", "3 &lt 4": "3 < 4", "&#x41;&#66;": "AB", "R&D": "R&D", "&unknown;": "&unknown;"}),
+    (X.strip_nbsp, {"10 km": "10 km", " ": " ", "plain space": "plain space"}),
+    (X.remove_control_chars, {"tab\there": "tabhere", "null\x00byte": "nullbyte", "naïve": "nave", "~ok~": "~ok~"}),
+])
+def test_rule(spark, rule, pairs):
+    assert column(spark, rule, list(pairs)) == list(pairs.values())
+
+
+@pytest.mark.parametrize("flags, want", [
+    ({}, "Read the manual é & more"),
+    ({"remove_md_links": False}, "Read [the manual]( é & more"),
+    ({"decode_entities": False}, "Read the manual &eacute; &amp; more"),
+    ({"strip_quotes": False}, "> Read the manual é & more"),
+    ({"strip_controls": True}, "Read the manual & more"),
+    ({"remove_urls": False}, "Read the manual é & more http://h.example/q"),
 ])
-def test_clean_text_flags(spark, text, flags, want):
-    assert run(spark, lambda c: X.clean_text(c, **flags), text) == want
-
-
-def restated_clean(t):
-    t = html.unescape(unicodedata.normalize("NFKC", t).replace(" ", " "))
-    t = re.sub(r"\[([^\]]+)\]\([^)]+\)", r"\1", re.sub(r"(?m)^>+\s*", "", t))
-    return " ".join(re.sub(r"https?://\S+", "", t).split())
-
-
-def test_clean_text_on_awkward_strings(spark):
-    texts = ["\x85> a\x0b b", "a > b\x1d\x1e c", "> 　x\n> y\x0c", "u https://a b\x1fc",
-             "&nbsp;&nbsp;lead &notit; &#8195; x", "[a\n](b\n) [](x)", "\r\n>> z \r", "   q"]
-    df = spark.createDataFrame([(t,) for t in texts], "t string")
-    got = [r["o"] for r in df.select("t", X.clean_text(F.col("t")).alias("o")).collect()]
-    assert got == [restated_clean(t) for t in texts]
-
-
-def test_prepare_for_input(spark):
-    make = lambda t, b, c, **kw: X.prepare_for_input(F.lit(t), F.lit(b), c, **kw)
-    texts = lambda *ts: F.array(*map(F.lit, ts))
-    pad = " " * 16
-    show = lambda col: spark.range(1).select(col.alias("o")).first()["o"]
-    assert show(make("T", "a [l](https://x.org)", texts("ok", "> q", "&lt;"))) == \
-        f"TITLE: T\n{pad}POST: a l\n{pad}COMMENTS: ok | q | <"
-    assert show(make("T", "B", F.array().cast("array<string>"))) == f"TITLE: T\n{pad}POST: B\n{pad}COMMENTS: "
-    assert show(make(None, None, F.lit(None).cast("array<string>"))) == f"TITLE: \n{pad}POST: \n{pad}COMMENTS: "
-    many = texts(*[f"comment {i}" for i in range(10)])
-    cut = show(make("S", "a" * 2000, many, post_limit=100, comment_limit=3))
-    assert cut.count("comment") == 3 and "a" * 100 in cut and "a" * 101 not in cut
-    whole = show(make("S", "a" * 2000, many, post_limit=0, comment_limit=None))
-    assert whole.count("comment") == 10 and "a" * 2000 in whole
-    # The body is cut before it is cleaned.
-    assert "POST: x\n" in show(make("S", "x" + " " * 1500 + "y", many))
-
-
-def test_prompt_and_small_helpers(spark):
-    prompt = spark.range(1).select(X.build_prompt(F.lit("T"), F.lit("B"), F.array(F.lit("c"))).alias("o")).first()["o"]
-    lines = prompt.split("\n")
-    assert lines[0] == X.PROMPT_INTRO and lines[1] == " " * 12 + X.PROMPT_RULES
-    assert lines[2] == " " * 12 + "TITLE: T" and lines[-1] == " " * 12 + X.PROMPT_END
-    assert len(run(spark, X.truncate_chars, "\U0001f642" * 600)) == 512
-    assert len(run(spark, X.text_preview, "x" * 2000)) == 1024
-    assert run(spark, X.text_preview, "") is None
+def test_rules_together(spark, flags, want):
+    text = "> Read [the manual](http://h.example/m)  &eacute; &amp;   more http://h.example/q"
+    assert column(spark, lambda c: X.clean_text(c, **flags), [text]) == [want]
+
+
+def test_model_input_joins_its_parts(spark):
+    def made(title, body, comments, **limits):
+        c = F.array(*[F.lit(x) for x in comments]).cast("array<string>")
+        lines = spark.range(1).select(X.prepare_for_input(F.lit(title), F.lit(body), c, **limits).alias("o")).first()["o"].split("\n")
+        return [line.strip() for line in lines]
+
+    assert made("Rain", "wet &amp; cold", ["> yes", "no"]) == ["TITLE: Rain", "POST: wet & cold", "COMMENTS: yes | no"]
+    assert made("Rain", None, []) == ["TITLE: Rain", "POST:", "COMMENTS:"]
+    assert made("Rain", "abcdef", ["1", "2", "3"], post_limit=4, comment_limit=2)[1:] == ["POST: abcd", "COMMENTS: 1 | 2"]
+    assert made("Rain", "ab" * 900, ["7"] * 400, post_limit=None, comment_limit=None)[1:] == ["POST: " + "ab" * 900, "COMMENTS: " + " | ".join(["7"] * 400)]
+
+
+def test_body_is_cut_before_it_is_cleaned(spark):
+    body = "[" + "y" * 1396 + "](http://h.example/long)"
+    made = spark.range(1).select(X.prepare_for_input(F.lit(""), F.lit(body), F.lit(None).cast("array<string>")).alias("o")).first()["o"]
+    assert "POST: [" + "y" * 1396 + "](h" in made and "example" not in made
+
+
+def test_prompt_frames_the_input(spark):
+    prompt = spark.range(1).select(X.build_prompt(F.lit("Rain"), F.lit("wet"), F.array(F.lit("yes"))).alias("o")).first()["o"]
+    assert prompt.index("TITLE: Rain") < prompt.index("POST: wet") < prompt.index("COMMENTS: yes")
+    assert prompt.split("\n")[0].strip() and not prompt.endswith("COMMENTS: yes")
+
+
+def test_lengths_count_characters(spark):
+    assert [len(x) for x in column(spark, X.truncate_chars, ["ß" * 700, "short"])] == [512, 5]
+    assert column(spark, lambda c: X.truncate_chars(c, None), ["ß" * 700]) == ["ß" * 700]
+    assert [x and len(x) for x in column(spark, X.text_preview, ["ö" * 1500, "", None])] == [1024, None, None]
