@@ -215,7 +215,8 @@ def train(docs: DataFrame, *, text="text", lang="lang", id="doc_id", where: Colu
                        F.xxhash64(F.lit(seed), F.col(id), F.col(text)).alias("key"))
     sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
     chosen = rows.join(sizes, "lang").where(F.col("key") / F.lit(2.0**64) + 0.5 < F.lit(float(sample_rows)) / F.col("n"))
-    kept_out = F.pmod(F.xxhash64("key"), F.lit(5)) == 0
+    # A language of few documents needs all of them to learn from, and is not calibrated.
+    kept_out = (F.pmod(F.xxhash64("key"), F.lit(5)) == 0) & (F.col("n") >= 20)
     models = Models(counts_of_runs(chosen.where(~kept_out).select("lang", "text")))
     _calibrate(models, chosen.where(kept_out).select("lang", "text"))
     return models
