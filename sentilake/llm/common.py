@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 import zlib
 
 import numpy as np
@@ -51,8 +50,11 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def fresh_name(prefix: str) -> str:
-    return f"{prefix}_{uuid.uuid4().hex[:12]}"
+def slices(batches, rows: int = 512):
+    """Arrow batches cut to a few rows each, so that what a task makes of one stays small."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

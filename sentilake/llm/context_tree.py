@@ -26,16 +26,16 @@ all decisions cost one bit.
 from __future__ import annotations
 
 import collections
-import hashlib
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from sentilake.llm.common import SortedHashes, fold, mix64, words
+from sentilake.llm.common import SortedHashes, fold, mix64, slices, words
 from sentilake.session import materialize
 
 DEPTH, END = 5, 0
@@ -98,7 +98,7 @@ def count_part(texts: list[bytes], learn: np.ndarray, depth: int) -> tuple[np.nd
 
 
 def word_key(word: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little") | (1 << 63)
+    return xxhash.xxh3_64_intdigest(word) | (1 << 63)
 
 
 END_KEY = word_key(b"\n")  # no word holds white space
@@ -176,7 +176,7 @@ def log10_of(runs: np.ndarray, p_one: np.ndarray) -> np.ndarray:
 
 
 def score_documents(docs: DataFrame, *, id="doc_id", text="text", folds: int = 7, held_fold: int = 2, depth: int = DEPTH,
-                    part_bytes: int = 12 << 20, table_size: int = 1 << 20, seed: int = 19) -> tuple[DataFrame, DataFrame]:
+                    part_bytes: int = 6 << 20, table_size: int = 1 << 20, seed: int = 19) -> tuple[DataFrame, DataFrame]:
     """``(id, held_out, n_bytes, n_tokens, n_known, sum_log10_count, score)`` of each document,
     and the values that ``base_scores`` needs.
 
@@ -194,7 +194,7 @@ def score_documents(docs: DataFrame, *, id="doc_id", text="text", folds: int = 7
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, size = [], [], 0
-        for batch in (b.slice(k, 1024) for b in batches for k in range(0, b.num_rows, 1024)):
+        for batch in slices(batches, 1024):
             learn = learnt(batch.column(0).to_pylist())
             tokens = [words(t) for t in batch.column(1).to_pylist()]
             for key, n in (count_part([stream(t) for t in tokens], learn, depth), count_words(tokens, learn)):
@@ -232,19 +232,18 @@ def score_documents(docs: DataFrame, *, id="doc_id", text="text", folds: int = 7
     part = F.pmod(F.xxhash64(F.lit(seed), "id", "text"), F.lit(parts)).cast("int")
     dealt = given.select(part.alias("part"), "id", "text").mapInArrow(deal, f"part int, ids array<{kind}>, sizes array<long>, block binary")
 
-    def unpacked(group: pa.Table) -> tuple[list, list[bytes], list[list[bytes]]]:
+    def unpacked(group: pa.Table) -> tuple[list, list[bytes]]:
         texts = []
         for sizes, block in zip(group.column("sizes").to_pylist(), group.column("block").to_pylist()):
             data, at = zstandard.ZstdDecompressor().decompress(block, max_output_size=sum(sizes)), 0
             for size in sizes:
                 texts.append(data[at : at + size])
                 at += size
-        return [i for ids in group.column("ids").to_pylist() for i in ids], texts, [t[:-1].split() for t in texts]
+        return [i for ids in group.column("ids").to_pylist() for i in ids], texts
 
     def ask(group: pa.Table) -> pa.Table:
-        _, texts, tokens = unpacked(group)
-        none = np.zeros(len(texts), bool)
-        keys = np.concatenate([count_part(texts, none, depth)[0], count_words(tokens, none)[0]])
+        _, texts = unpacked(group)
+        keys = np.concatenate([count_part(texts, np.zeros(len(texts), bool), depth)[0], word_keys(distinct_words(texts))])
         keys = keys[~np.isin(keys, shared.value[0], kind="sort")]
         return pa.table({"part": np.full(len(keys), group.column("part")[0].as_py(), np.int32), "key": keys.astype(np.int64)})
 
@@ -258,22 +257,22 @@ def score_documents(docs: DataFrame, *, id="doc_id", text="text", folds: int = 7
         order = np.argsort(spread)
         table, value = SortedHashes(spread[order]), value[order]
         cost = value / -SCALE
-        ids, texts, tokens = unpacked(group)
+        ids, texts = unpacked(group)
         n, result = len(texts), np.zeros(len(texts))
         for part in in_steps(texts):
             runs, size = text_runs([texts[i] for i in part], depth)
             at = np.repeat(np.arange(len(part)), size)
             result[part] = np.bincount(at, cost[found(table, runs)], len(part))
-        distinct = list(set().union(*tokens))
-        count_of = value[found(table, np.array([*map(word_key, distinct), END_KEY], np.uint64))]
+        distinct = distinct_words(texts)
+        count_of = value[found(table, word_keys(distinct))]
         logs_of = dict(zip(distinct, np.log10(count_of + 1.0).tolist()))
-        end, known, logs = math.log10(count_of[-1] + 1.0), np.zeros(n, np.int64), np.zeros(n)
-        for i, t in enumerate(tokens):
-            own = [*map(logs_of.__getitem__, t), end]
-            logs[i], known[i] = math.fsum(own), len(own) - own.count(0.0)
+        end, n_tokens, known, logs = math.log10(count_of[-1] + 1.0), np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n)
+        for i, t in enumerate(texts):
+            own = [*map(logs_of.__getitem__, t[:-1].split()), end]
+            n_tokens[i], logs[i], known[i] = len(own), math.fsum(own), len(own) - own.count(0.0)
         return pa.table({
             "id": pa.array(ids, group.column("ids").type.value_type), "held_out": ~learnt(ids), "n_bytes": np.array([len(t) for t in texts]),
-            "n_tokens": np.array([len(t) + 1 for t in tokens]), "n_known": known, "sum_log10_count": logs, "score": result})
+            "n_tokens": n_tokens, "n_known": known, "sum_log10_count": logs, "score": result})
 
     return dealt.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
         score, f"id {kind}, held_out boolean, n_bytes long, n_tokens long, n_known long, sum_log10_count double, score double"), values
@@ -286,14 +285,25 @@ def found(table: SortedHashes, keys: np.ndarray) -> np.ndarray:
     return at
 
 
+def distinct_words(texts: list[bytes]) -> list[bytes]:
+    seen: set[bytes] = set()
+    for t in texts:
+        seen.update(t[:-1].split())
+    return list(seen)
+
+
+def word_keys(distinct: list[bytes]) -> np.ndarray:
+    """Keys of words, then of the end."""
+    return np.array([*map(word_key, distinct), END_KEY], np.uint64)
+
+
 def count_words(tokens: list[list[bytes]], learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the distinct words and the end, and how often the texts to learn from have them."""
     seen, others = collections.Counter(), set()
     for t, own in zip(tokens, learn):
         seen.update(t) if own else others.update(t)
     others.difference_update(seen)
-    keys = np.array([*map(word_key, seen), *map(word_key, others), END_KEY], np.uint64)
-    return keys, np.array([*seen.values(), *[0] * len(others), int(learn.sum())], np.int64)
+    return word_keys([*seen, *others]), np.array([*seen.values(), *[0] * len(others), int(learn.sum())], np.int64)
 
 
 def _common(values: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
