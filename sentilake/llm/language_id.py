@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructType
 
-from sentilake.llm.common import OWN, SortedHashes, mix64
+from sentilake.llm.common import OWN, SortedHashes, mix64, slices
 
 ORDER = 4
 UNKNOWN = "und"
@@ -89,7 +89,7 @@ def counts_of_runs(rows: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     table = folding()
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 2048):
             langs = np.array(batch.column(0).to_pylist(), object)
             for lang in set(langs):
                 chars, starts = fold_texts([batch.column(1)[int(i)].as_py() for i in np.flatnonzero(langs == lang)], table)
@@ -230,7 +230,7 @@ def _calibrate(models: Models, rows: DataFrame) -> None:
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Models.restored(shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             length, mean, spread = own.entropies(batch.column(1).to_pylist(), table)
             at = [own.langs.index(x) if x in own.langs else -1 for x in batch.column(0).to_pylist()]
             keep = np.array([i for i, j in enumerate(at) if j >= 0 and length[i] > 0], int)
@@ -252,7 +252,7 @@ def identify(docs: DataFrame, models: Models, *, text="text", tolerance: float =
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Models.restored(shared.value)
         limits = np.array([own.calibration.get(x, (np.inf, 1.0, 1.0)) for x in own.langs])
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or "" for t in batch.column(OWN + "text").to_pylist()]
             n = len(texts)
             pred, score, entropy, accepted = [UNKNOWN] * n, np.zeros(n), np.zeros(n), np.zeros(n, bool)
