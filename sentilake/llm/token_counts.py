@@ -25,7 +25,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructType
 
-from sentilake.llm.common import OWN
+from sentilake.llm.common import OWN, slices
 
 VOCABULARY = "word_bpe_49k.json"
 #: Characters that the normalizer only lower-cases.
@@ -86,7 +86,7 @@ def count_tokens(docs: DataFrame, *, text="text", id="doc_id", vocabulary: str |
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pre, table = PreTokens(shared_spec.value), shared_table.value
         known = dict(table)
-        for batch in batches:
+        for batch in slices(batches, 1024):
             texts = [t or "" for t in batch.column(OWN + "text").to_pylist()]
             n_tokens, cut, odd, missing = [0] * len(texts), {}, [], set()
             for i, t in enumerate(texts):
