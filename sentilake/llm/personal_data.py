@@ -122,6 +122,8 @@ def word_features(word: str) -> list[str]:
         out.append("octets")
     if re.fullmatch(r"[0-9().+/-]+", core or "x"):
         out.append("numeric")
+    if core.startswith("00"):
+        out.append("00")
     if any(c in "=\"'$€%" for c in word):
         out.append("code")
     return out
@@ -140,9 +142,11 @@ def neighbour_features(side: str, word: str | None) -> list[str]:
 def sequence_features(words: list[str], before: list[str | None], after: str | None) -> list[list[str]]:
     """Features of each word of a run; ``before``: the two words ahead of it."""
     around = [*before, *words, after]
+    digits = NO_DIGIT.sub("", "".join(words))
+    whole = ["run luhn" if 13 <= len(digits) <= 19 and luhn(digits) else "run none"]
     out = []
     for i, w in enumerate(words):
-        out.append(word_features(w) + neighbour_features("p:", around[i + 1]) + neighbour_features("f:", around[i + 3])
+        out.append(word_features(w) + whole + neighbour_features("p:", around[i + 1]) + neighbour_features("f:", around[i + 3])
                    + [f for f in neighbour_features("pp:", around[i]) if "cue" in f])
     return out
 
