@@ -183,9 +183,12 @@ def _blocks(benchmark: DataFrame, item_id: str, item_text: str, n: int, block_wo
 def _found(numbers, items: Items, index, n, share, least_words) -> dict[int, tuple[int, int, int]]:
     best: dict[int, tuple[int, int, int]] = {}
     for item, begin, end in passages(numbers, items, index, n):
-        words = items.words[item]
-        score, first, last = align(words, numbers[begin:end])
-        if score >= max(share * len(words), min(least_words, len(words))) and score > best.get(item, (0,))[0]:
+        words, passage = items.words[item], numbers[begin:end]
+        need = max(share * len(words), min(least_words, len(words)))
+        if np.isin(words, passage).sum() < need:
+            continue  # no alignment has more matches than this
+        score, first, last = align(words, passage)
+        if score >= need and score > best.get(item, (0,))[0]:
             best[item] = (score, begin + first, begin + last)
     return best
 
