@@ -42,6 +42,8 @@ DEPTH, END = 5, 0
 #: Unit of the probabilities that are kept and sent: a millionth of a decimal digit.
 SCALE = 1e6
 STEP = 1 << 21
+#: Runs from which a block of the tree is built by itself; the runs of one third byte stay together.
+BLOCK = 1 << 16
 
 
 def stream(tokens: list[bytes]) -> bytes:
@@ -78,8 +80,11 @@ def in_steps(texts: list[bytes]) -> Iterator[list[int]]:
 def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     if not keys:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    key, at = np.unique(np.concatenate(keys), return_inverse=True)
-    return key, np.bincount(at, np.concatenate(counts), len(key)).astype(np.int64)
+    key = np.concatenate(keys)
+    order = np.argsort(key)
+    key, n = key[order], np.concatenate(counts)[order].astype(np.int64)
+    heads = np.flatnonzero(np.concatenate([key[:1] == key[:1], key[1:] != key[:-1]]))
+    return key[heads], np.add.reduceat(n, heads) if len(heads) else n
 
 
 def count_part(texts: list[bytes], learn: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -157,6 +162,35 @@ def build(runs: np.ndarray, counts: np.ndarray, depth: int, top: int):
     return levels
 
 
+def blocks(runs: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of the runs by the third byte before the last: runs with the same one stay together."""
+    third = (runs >> np.uint64(24)) & np.uint64(255)
+    order = np.argsort(third, kind="stable")
+    ends = np.cumsum(np.bincount(third.astype(np.int64), minlength=256))
+    start = 0
+    for end in ends:
+        if end - start >= BLOCK or (end == len(runs) and end > start):
+            yield order[start:end]
+            start = end
+
+
+def build_two(runs: np.ndarray, counts: np.ndarray, depth: int, p_one: np.ndarray | None = None):
+    """The level of two bytes, from trees of a block each below the level of three. ``p_one``
+    (8 x runs) gets the probabilities that the longer contexts give."""
+    threes = []
+    for at in blocks(runs):
+        n = counts[at]
+        if (n > 0).any():
+            levels = build(runs[at][n > 0], n[n > 0], depth, 3)
+            threes.append(levels[3][:4])
+            if p_one is not None:
+                p_one[:, at] = mix(levels, runs[at], range(depth, 2, -1), p_one[:, at].ravel()).reshape(8, -1)
+    if not threes:
+        return None
+    node, z, o, below = (np.concatenate(x) for x in zip(*threes))
+    return level(shorter(node, 2), z, o, below)
+
+
 def mix(levels: dict, runs: np.ndarray, depths: range, p_one: np.ndarray) -> np.ndarray:
     """Carries the probability of "one" for each decision of each run (8 x runs) up through ``depths``."""
     nodes, _ = decisions(runs >> np.uint64(8), runs & np.uint64(255))
@@ -200,10 +234,10 @@ def score_documents(docs: DataFrame, *, id="doc_id", text="text", folds: int = 7
             for key, n in (count_part([stream(t) for t in tokens], learn, depth), count_words(tokens, learn)):
                 keys.append(key), counts.append(n)
                 size += len(key)
-            if size > 1 << 22:
+            if size > 3 << 20:
                 key, n = merged(keys, counts)
                 keys, counts, size = [key], [n], len(key)
-                if size > 1 << 21:
+                if size > 1 << 20:
                     yield pa.RecordBatch.from_pydict({"key": key.astype(np.int64), "n": n})
                     keys, counts, size = [], [], 0
         key, n = merged(keys, counts)
@@ -220,10 +254,11 @@ def score_documents(docs: DataFrame, *, id="doc_id", text="text", folds: int = 7
         press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             rows = collections.defaultdict(lambda: ([], [], []))
-            for part, i, t in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                ids, sizes, texts = rows[part]
-                texts.append(stream(words(t)))
-                ids.append(i), sizes.append(len(texts[-1]))
+            for piece in slices([batch]):
+                for part, i, t in zip(*(piece.column(k).to_pylist() for k in range(3))):
+                    ids, sizes, texts = rows[part]
+                    texts.append(stream(words(t)))
+                    ids.append(i), sizes.append(len(texts[-1]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(rows), pa.int32()), pa.array([r[0] for r in rows.values()], pa.list_(batch.column(1).type)),
                  pa.array([r[1] for r in rows.values()], pa.list_(pa.int64())),
@@ -325,7 +360,7 @@ def _probabilities(counted: DataFrame, depth: int) -> DataFrame:
 
     def upper(group: pa.Table) -> pa.Table:
         runs, n = np.asarray(group.column("key")).astype(np.uint64), np.asarray(group.column("n"))
-        node, z, o, below, _ = build(runs[n > 0], n[n > 0], depth, 2)[2] if (n > 0).any() else [np.zeros(0)] * 5
+        node, z, o, below, _ = build_two(runs, n, depth) or [np.zeros(0)] * 5
         return pa.table({"node": node.astype(np.int64), "z": z, "o": o, "below": below})
 
     # Nodes of two bytes: at most 2^24 for any corpus; of one byte or none, 2^16: small enough to hold.
@@ -337,13 +372,15 @@ def _probabilities(counted: DataFrame, depth: int) -> DataFrame:
 
     def finish(group: pa.Table) -> pa.Table:
         runs, n = np.asarray(group.column("key")).astype(np.uint64), np.asarray(group.column("n"))
-        levels = build(runs[n > 0], n[n > 0], depth, 2) if (n > 0).any() else {}
-        p = np.full(8 * len(runs), 0.5)
-        if levels:
-            p = mix(levels, runs, range(depth, 1, -1), p)
-        if len(shared.value[0][0]):
-            p = mix(shared.value, runs, range(1, -1, -1), p)
-        value = np.rint(log10_of(runs, p) * -SCALE).astype(np.int64)
+        p_one, value = np.full((8, len(runs)), 0.5), np.zeros(len(runs), np.int64)
+        two = build_two(runs, n, depth, p_one)
+        for at in blocks(runs):
+            p = p_one[:, at].ravel()
+            if two:
+                p = mix({2: two}, runs[at], range(2, 1, -1), p)
+            if len(shared.value[0][0]):
+                p = mix(shared.value, runs[at], range(1, -1, -1), p)
+            value[at] = np.rint(log10_of(runs[at], p) * -SCALE).astype(np.int64)
         return pa.table({"key": group.column("key"), "value": value, "asked": group.column("asked")})
 
     return counted.groupBy(ending.alias("e")).applyInArrow(finish, "key long, value long, asked long")
