@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sentilake.llm import (
-    context_tree, decontamination, embedding_near_dups, language_id, mixing, near_duplicates, personal_data,
-    sharding, token_counts, warc,
+    context_tree, conversation_repair, decontamination, embedding_near_dups, language_id, merkle, mixing, near_duplicates,
+    oracle, personal_data, sharding, token_counts, toxicity, warc,
 )
 from sentilake.llm.common import fold_column, read_table
 from sentilake.session import shared_dir
@@ -81,6 +81,46 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return queued.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "virtual_finish")
 
 
+def damaged_conversations(rows: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, cut, repeated or given to the user, by a hash of conversation and turn."""
+    named = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.lit(":"), F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
+    role, text = (F.coalesce(c, F.lit(" ")) for c in ("role", "text"))
+    marked = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), (F.crc32(named.cast("binary")) % 20).alias("h"))
+    copies = F.when(F.col("h") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    changed = F.when(F.col("h") == 1, "").when(F.col("h") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    return marked.where("h <> 0").select(
+        "conv_id", "turn", F.when(F.col("h") == 4, "user").otherwise(F.col("role")).alias("role"), changed.alias("text"), F.explode(copies).alias("copy"))
+
+
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations")
+    found = conversation_repair.repair(damaged_conversations(rows))
+    key = conversation_repair.conversation_key(F.col("conv_id"))
+    ids = rows.groupBy(key.alias("key")).agg(F.first("conv_id").alias("conv_id"))
+    joined = ids.join(found.summary.drop("id"), "key", "left").join(conversation_repair.transcripts(found.blocks), "key", "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return joined.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                         F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    nodes = merkle.manifest(docs, altered=(tampered, {"text": merkle.lower_ascii(F.col("text"))}))
+    folded = merkle.fold(F.coalesce("changed", "leaf"), F.col("path"))
+    checked = nodes.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.digest(merkle.proof(F.col("path"))).alias("proof_sha256"),
+                           folded.alias("folded_root"))
+    return checked.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"), where=fold_column("doc_id", 5) != 0)
+    scored = toxicity.score_texts(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", (fold_column("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+                         "log_toxic", "log_ordinary")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -90,7 +130,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = {f.__name__: f for f in (
         op1_context_tree, op2_derivatives, op3_shards, op4_language, op5_embeddings, op6_tokens, op7_leaks, op8_personal_data,
-        op9_near_duplicates, op10_mix, pipeline)}
+        op9_near_duplicates, op10_mix, op11_repair, op12_merkle, op13_toxicity, pipeline)}
     return named
 
 
@@ -126,7 +166,8 @@ FROM v JOIN r ON v.vec_id = r.vec_id GROUP BY v.vec_id
 def oracle_sql() -> dict[str, str]:
     import corpus_pipeline
 
-    found = {"op5_embeddings": EMBEDDINGS_SQL, "op9_near_duplicates": NEAR_DUPLICATES_SQL}
+    found = {"op5_embeddings": EMBEDDINGS_SQL, "op9_near_duplicates": NEAR_DUPLICATES_SQL,
+             "op11_repair": oracle.repair_sql(), "op12_merkle": oracle.merkle_sql()}
     if corpus_pipeline.ORACLE_SQL:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found
