@@ -44,8 +44,8 @@ BEGIN, END = "\x01", "\x02"
 PORTION = 0.005
 #: Texts of a class below which none is kept out to measure the odds.
 FEW = 20
-#: Words that a task remembers, places scored at once, and runs held before they are handed on.
-CACHE, STEP, HELD = 1 << 19, 1 << 18, 1 << 19
+#: Words that a task remembers, places and texts scored at once, and runs held before they are handed on.
+CACHE, STEP, SLICE, HELD = 1 << 19, 1 << 17, 256, 1 << 19
 
 
 def tokens(text: str | None) -> list[str]:
@@ -60,8 +60,13 @@ def count_runs(found: collections.Counter, words: collections.Counter) -> None:
             found[marked[i : i + ORDER]] += n
 
 
-def codes_of(runs: list[str]) -> np.ndarray:
-    return np.frombuffer("".join(runs).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, ORDER)
+def codes_of(runs: pa.Array) -> np.ndarray:
+    """Characters of runs (runs x ``ORDER``), out of the array's own bytes."""
+    if not len(runs):
+        return np.zeros((0, ORDER), np.uint32)
+    offsets = np.frombuffer(runs.buffers()[1], np.int32)[runs.offset : runs.offset + len(runs) + 1]
+    text = runs.buffers()[2][offsets[0] : offsets[-1]].to_pybytes().decode("utf-8", "surrogatepass")
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, ORDER)
 
 
 def longer(hashes: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -69,11 +74,11 @@ def longer(hashes: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return mix64(hashes * np.uint64(0x9E3779B97F4A7C15) + codes.astype(np.uint64) + np.uint64(1))
 
 
-def suffix_hashes(codes: np.ndarray, last: int) -> list[np.ndarray]:
-    """Hashes of the runs of 0, 1, ... characters that end in column ``last`` - 1."""
-    out = [np.zeros(len(codes), np.uint64)]
-    for k in range(last):
-        out.append(longer(out[-1], codes[:, last - 1 - k]))
+def hashed(codes: np.ndarray, end: int, k: int) -> np.ndarray:
+    """Hashes of the runs of ``k`` characters before column ``end``."""
+    out = np.zeros(len(codes), np.uint64)
+    for back in range(1, k + 1):
+        out = longer(out, codes[:, end - back])
     return out
 
 
@@ -91,28 +96,27 @@ class Models:
     """For each order, hashed runs with log probabilities, and contexts with log weights of
     what is shorter. The longest order has a column for each class (ordinary, toxic)."""
 
-    def __init__(self, runs: list[str], counts: np.ndarray):
-        """``counts``: runs x 2, how often ordinary and toxic texts have each run."""
-        codes = codes_of(runs)
-        own, before = suffix_hashes(codes, ORDER), suffix_hashes(codes, ORDER - 1)
+    def __init__(self, codes: np.ndarray, counts: np.ndarray):
+        """``codes``: the distinct runs; ``counts``: runs x 2, how often ordinary and toxic texts have each."""
         tables = {ORDER: (np.arange(len(codes)), counts.sum(axis=1).astype(np.float64))}
         for k in range(ORDER - 1, 0, -1):
             # Continuation counts, of all texts: in how many longer runs does this one end?
             held = tables[k + 1][0]
-            _, first, n = np.unique(own[k][held], return_index=True, return_counts=True)
+            _, first, n = np.unique(hashed(codes[held], ORDER, k), return_index=True, return_counts=True)
             tables[k] = held[first], n.astype(np.float64)
         self.unseen = -math.log(len(tables[1][0]) + 1.0)
         self.levels, known, p = [], None, None
         for k in range(1, ORDER + 1):
             held, n = tables[k]
-            context, at = np.unique(before[k - 1][held], return_inverse=True)
-            lower = np.full(len(held), math.exp(self.unseen)) if k == 1 else p[np.searchsorted(known, own[k - 1][held])]
+            context, at = np.unique(hashed(codes[held], ORDER - 1, k - 1), return_inverse=True)
+            lower = np.full(len(held), math.exp(self.unseen)) if k == 1 else p[np.searchsorted(known, hashed(codes[held], ORDER, k - 1))]
             p, weight = discounted(n, at, len(context), lower)
             if k == ORDER:
                 by_class = [discounted(counts[:, c].astype(np.float64), at, len(context), p) for c in (0, 1)]
                 p, weight = np.stack([x for x, _ in by_class], axis=1), np.stack([w * weight for _, w in by_class], axis=1)
-            order = np.argsort(own[k][held])
-            known, p = own[k][held][order], p[order]
+            own = hashed(codes[held], ORDER, k)
+            order = np.argsort(own)
+            known, p = own[order], p[order]
             self.levels.append((known, np.log(p).astype(np.float32), context, np.log(weight).astype(np.float32)))
 
     def state(self) -> tuple:
@@ -171,24 +175,31 @@ class Scorer:
     """Models with a bounded memory of words, for one task."""
 
     def __init__(self, state: tuple):
-        self.models, self.seen = Models.restored(state), {}
+        self.models = Models.restored(state)
+        self.forget()
+
+    def forget(self) -> None:
+        self.places, self.known = {}, np.zeros((0, 2))
+
+    def learn(self, words: set[str]) -> None:
+        """Scores words that are not remembered, together."""
+        new = list(words.difference(self.places))
+        if len(self.places) + len(new) > CACHE:
+            self.forget()
+            new = list(words)
+        if new:
+            self.places.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+            self.known = np.concatenate([self.known, mixed(self.models.score(new))])
 
     def means(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Words of each text, and both log-likelihoods per word (texts x 2)."""
         n, mean = np.zeros(len(texts), np.int64), np.zeros((len(texts), 2))
-        for i, text in enumerate(texts):
-            words = collections.Counter(tokens(text))
-            if len(self.seen) + len(words) > CACHE:
-                self.seen.clear()
-            new = [w for w in words if w not in self.seen]
-            self.seen.update(zip(new, mixed(self.models.score(new)).tolist()))
-            if words:
-                own = np.array([self.seen[w] for w in words])
-                times = np.fromiter(words.values(), np.float64, len(words))
-                n[i] = times.sum()
-                mean[i] = times @ own / n[i]
-            if len(self.seen) > CACHE:
-                self.seen.clear()
+        words = [tokens(text) for text in texts]
+        self.learn(set().union(*words))
+        for i, own in enumerate(words):
+            if own:
+                at = np.fromiter(map(self.places.__getitem__, own), np.int64, len(own))
+                n[i], mean[i] = len(own), self.known[at].mean(axis=0)
         return n, mean
 
 
@@ -269,15 +280,17 @@ def train(docs: DataFrame, labels: DataFrame, *, id="doc_id", text="text", label
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("toxic")).toArrow()
     if not counted.num_rows:
         return None, None, share
+    counted = counted.sort_by("run").combine_chunks()
     counts = np.stack([np.asarray(counted.column("ordinary")), np.asarray(counted.column("toxic"))], axis=1)
-    order = np.argsort(np.array(counted.column("run").to_pylist(), object))
-    runs = counted.column("run").take(pa.array(order)).to_pylist()
-    state = Models(runs, counts[order]).state()
+    codes = codes_of(pa.concat_arrays(counted.column("run").chunks).cast(pa.string()))
+    del counted
+    state = Models(codes, counts).state()
+    del codes, counts
     shared = spark.sparkContext.broadcast(state)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Scorer(shared.value)
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE):
             n, mean = own.means(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_pydict({"toxic": batch.column(0), "n": n, "ordinary": mean[:, 0], "gap": mean[:, 1]})
 
@@ -303,7 +316,7 @@ def score_texts(docs: DataFrame, model: tuple, *, text="text") -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Scorer(shared.value) if shared.value is not None else None
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE):
             texts = batch.column(OWN + "text").to_pylist()
             if own is None:
                 n, mean = np.array([len(tokens(t)) for t in texts], np.int64), np.zeros((len(texts), 2))

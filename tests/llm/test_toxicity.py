@@ -4,7 +4,7 @@ import collections
 import math
 
 import numpy as np
-from pyspark.sql import functions as F
+import pyarrow as pa
 
 from sentilake.llm import toxicity as T
 from sentilake.llm.common import fold_column
@@ -58,7 +58,7 @@ def test_against_definition():
     for f, words in zip(found, (ordinary, toxic)):
         T.count_runs(f, collections.Counter(words))
     runs = sorted(found[0] | found[1])
-    models = T.Models(runs, np.array([[found[0][r], found[1][r]] for r in runs]))
+    models = T.Models(T.codes_of(pa.array(runs)), np.array([[found[0][r], found[1][r]] for r in runs]))
     words = ["the", "vile", "vilely", "cat", "zebra", "x", "sentencewise", "ñandú"]
     got = T.Models.restored(models.state()).score(words)
     for word, own in zip(words, got):
@@ -71,7 +71,7 @@ def test_steps_do_not_matter(monkeypatch):
     for f, words in zip(found, (["plain", "words"], ["vile", "words"])):
         T.count_runs(f, collections.Counter(words))
     runs = sorted(found[0] | found[1])
-    models = T.Models.restored(T.Models(runs, np.array([[found[0][r], found[1][r]] for r in runs])).state())
+    models = T.Models.restored(T.Models(T.codes_of(pa.array(runs)), np.array([[found[0][r], found[1][r]] for r in runs])).state())
     words = ["plain" * 9, "vile", "w", "words", "o" * 50]
     whole = models.score(words)
     monkeypatch.setattr(T, "STEP", 7)
