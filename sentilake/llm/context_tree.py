@@ -41,7 +41,7 @@ from sentilake.session import materialize
 DEPTH, END = 5, 0
 #: Unit of the probabilities that are kept and sent: a millionth of a decimal digit.
 SCALE = 1e6
-STEP = 1 << 21
+STEP = 1 << 20
 #: Runs from which a block of the tree is built by itself; the runs of one third byte stay together.
 BLOCK = 1 << 16
 
@@ -54,14 +54,16 @@ def text_runs(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """The run of ``depth + 1`` bytes that ends at each byte of each text (padded in
     front with end bytes), and the number of runs of each text."""
     pad = bytes([END]) * depth
-    data = np.frombuffer(b"".join(x for t in texts for x in (pad, t)), np.uint8)
+    # Eight bytes from each place on, read as a number; a run is the first ``depth + 1`` of them.
+    data = b"".join(x for t in texts for x in (pad, t)) + bytes(8)
     size = np.fromiter(map(len, texts), np.int64, len(texts))
-    out = np.zeros(max(0, len(data) - depth), np.uint64)
-    for k in range(depth + 1):
-        out = (out << np.uint64(8)) | data[k : k + len(out)]
-    starts = np.concatenate([[0], np.cumsum(size + depth)])[:-1]
-    at = np.repeat(starts - np.concatenate([[0], np.cumsum(size)])[:-1], size) + np.arange(size.sum())
-    return out[at], size
+    starts = np.concatenate([[0], np.cumsum(size + depth)])
+    out = np.ndarray((starts[-1],), ">u8", data, strides=(1,)).astype(np.uint64)
+    out >>= np.uint64(8 * (7 - depth))
+    keep = np.ones(len(out), bool)
+    for back in range(1, depth + 1):
+        keep[starts[1:] - back] = False
+    return out[keep], size
 
 
 def in_steps(texts: list[bytes]) -> Iterator[list[int]]:
@@ -174,9 +176,10 @@ def blocks(runs: np.ndarray) -> Iterator[np.ndarray]:
             start = end
 
 
-def build_two(runs: np.ndarray, counts: np.ndarray, depth: int, p_one: np.ndarray | None = None):
-    """The level of two bytes, from trees of a block each below the level of three. ``p_one``
-    (8 x runs) gets the probabilities that the longer contexts give."""
+def sums_of_two(runs: np.ndarray, counts: np.ndarray, depth: int, p_one: np.ndarray | None = None):
+    """``(node, zeros, ones, log probability of what is below)`` of the contexts of two bytes, from
+    trees of a block each below the level of three. ``p_one`` (8 x runs) gets the
+    probabilities that the longer contexts give."""
     threes = []
     for at in blocks(runs):
         n = counts[at]
@@ -186,9 +189,10 @@ def build_two(runs: np.ndarray, counts: np.ndarray, depth: int, p_one: np.ndarra
             if p_one is not None:
                 p_one[:, at] = mix(levels, runs[at], range(depth, 2, -1), p_one[:, at].ravel()).reshape(8, -1)
     if not threes:
-        return None
+        return [np.zeros(0)] * 4
     node, z, o, below = (np.concatenate(x) for x in zip(*threes))
-    return level(shorter(node, 2), z, o, below)
+    short, at = np.unique(shorter(node, 2), return_inverse=True)
+    return short, *(np.bincount(at, x, len(short)) for x in (z, o, below))
 
 
 def mix(levels: dict, runs: np.ndarray, depths: range, p_one: np.ndarray) -> np.ndarray:
@@ -210,7 +214,7 @@ def log10_of(runs: np.ndarray, p_one: np.ndarray) -> np.ndarray:
 
 
 def score_documents(docs: DataFrame, *, id="doc_id", text="text", folds: int = 7, held_fold: int = 2, depth: int = DEPTH,
-                    part_bytes: int = 6 << 20, table_size: int = 1 << 20, seed: int = 19) -> tuple[DataFrame, DataFrame]:
+                    part_bytes: int = 5 << 20, table_size: int = 1 << 20, seed: int = 19) -> tuple[DataFrame, DataFrame]:
     """``(id, held_out, n_bytes, n_tokens, n_known, sum_log10_count, score)`` of each document,
     and the values that ``base_scores`` needs.
 
@@ -234,7 +238,7 @@ def score_documents(docs: DataFrame, *, id="doc_id", text="text", folds: int = 7
             for key, n in (count_part([stream(t) for t in tokens], learn, depth), count_words(tokens, learn)):
                 keys.append(key), counts.append(n)
                 size += len(key)
-            if size > 3 << 20:
+            if size > 3 << 19:
                 key, n = merged(keys, counts)
                 keys, counts, size = [key], [n], len(key)
                 if size > 1 << 20:
@@ -248,7 +252,7 @@ def score_documents(docs: DataFrame, *, id="doc_id", text="text", folds: int = 7
     values = _probabilities(counted.where("key >= 0"), depth).union(
         counted.where("key < 0").select("key", F.col("n").alias("value"), "asked"))
     values = materialize(values, "run_values")
-    shared = docs.sparkSession.sparkContext.broadcast(_common(values, table_size))
+    shared = docs.sparkSession.sparkContext.broadcast({"common": _common(values, table_size)})
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
@@ -278,33 +282,34 @@ def score_documents(docs: DataFrame, *, id="doc_id", text="text", folds: int = 7
 
     def ask(group: pa.Table) -> pa.Table:
         _, texts = unpacked(group)
-        keys = np.concatenate([count_part(texts, np.zeros(len(texts), bool), depth)[0], word_keys(distinct_words(texts))])
-        keys = keys[~np.isin(keys, shared.value[0], kind="sort")]
+        common, rare = Values.shared(shared.value), []
+        for part in in_steps(texts):
+            runs, _ = text_runs([texts[i] for i in part], depth)
+            rare.append(np.unique(runs[common.places(runs) < 0]))
+        words_here = word_keys(distinct_words(texts))
+        keys = np.concatenate([np.unique(np.concatenate(rare)) if rare else np.zeros(0, np.uint64), words_here[common.places(words_here) < 0]])
         return pa.table({"part": np.full(len(keys), group.column("part")[0].as_py(), np.int32), "key": keys.astype(np.int64)})
 
     asked = dealt.groupBy("part").applyInArrow(ask, "part int, key long")
     answers = asked.join(values.select("key", "value").hint("shuffle_hash"), "key").select("part", "key", "value")
 
     def score(group: pa.Table, answers: pa.Table) -> pa.Table:
-        keys = np.concatenate([shared.value[0], np.asarray(answers.column("key")).astype(np.uint64)])
-        value = np.concatenate([shared.value[1], np.asarray(answers.column("value"))])
-        spread = mix64(keys)
-        order = np.argsort(spread)
-        table, value = SortedHashes(spread[order]), value[order]
-        cost = value / -SCALE
+        common = Values.shared(shared.value)
+        own = Values(*in_order(np.asarray(answers.column("key")).astype(np.uint64), np.asarray(answers.column("value"))))
         ids, texts = unpacked(group)
         n, result = len(texts), np.zeros(len(texts))
         for part in in_steps(texts):
             runs, size = text_runs([texts[i] for i in part], depth)
             at = np.repeat(np.arange(len(part)), size)
-            result[part] = np.bincount(at, cost[found(table, runs)], len(part))
+            result[part] = np.bincount(at, looked_up(common, own, runs), len(part)) / -SCALE
         distinct = distinct_words(texts)
-        count_of = value[found(table, word_keys(distinct))]
+        count_of = looked_up(common, own, word_keys(distinct))
         logs_of = dict(zip(distinct, np.log10(count_of + 1.0).tolist()))
-        end, n_tokens, known, logs = math.log10(count_of[-1] + 1.0), np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n)
-        for i, t in enumerate(texts):
-            own = [*map(logs_of.__getitem__, t[:-1].split()), end]
-            n_tokens[i], logs[i], known[i] = len(own), math.fsum(own), len(own) - own.count(0.0)
+        end = math.log10(count_of[-1] + 1.0)
+        n_words = np.array([t.count(b" ") + 1 if len(t) > 1 else 0 for t in texts], np.int64)
+        each, of = np.fromiter(map(logs_of.__getitem__, split_all(texts)), np.float64, n_words.sum()), np.repeat(np.arange(n), n_words)
+        logs, known = np.bincount(of, each, n) + end, np.bincount(of, each > 0, n).astype(np.int64) + (end > 0)
+        n_tokens = n_words + 1
         return pa.table({
             "id": pa.array(ids, group.column("ids").type.value_type), "held_out": ~learnt(ids), "n_bytes": np.array([len(t) for t in texts]),
             "n_tokens": n_tokens, "n_known": known, "sum_log10_count": logs, "score": result})
@@ -313,18 +318,50 @@ def score_documents(docs: DataFrame, *, id="doc_id", text="text", folds: int = 7
         score, f"id {kind}, held_out boolean, n_bytes long, n_tokens long, n_known long, sum_log10_count double, score double"), values
 
 
-def found(table: SortedHashes, keys: np.ndarray) -> np.ndarray:
-    at = table.find(mix64(keys))
-    if (at < 0).any():
-        raise ValueError("a part was not answered in full")
-    return at
+def in_order(keys: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed keys, sorted, and their values."""
+    spread = mix64(keys)
+    order = np.argsort(spread)
+    return spread[order], value[order]
+
+
+class Values:
+    """Values by hashed key."""
+
+    def __init__(self, spread: np.ndarray, value: np.ndarray):
+        self.table, self.value = SortedHashes(spread), value
+
+    @classmethod
+    def shared(cls, held: dict) -> Values:
+        """Those of a broadcast, indexed once in each Python worker: the broadcast's value stays with it."""
+        if "indexed" not in held:
+            held["indexed"] = cls(*held["common"])
+        return held["indexed"]
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        return self.table.find(mix64(keys))
+
+
+def looked_up(common: Values, own: Values, keys: np.ndarray) -> np.ndarray:
+    """The value of each key, from the common ones or a part's own answers."""
+    at = common.places(keys)
+    rare = np.flatnonzero(at < 0)
+    out = common.value[at] if len(common.value) else np.zeros(len(keys), np.int64)
+    if len(rare):
+        answered = own.places(keys[rare])
+        if (answered < 0).any():
+            raise ValueError("a part was not answered in full")
+        out[rare] = own.value[answered]
+    return out
 
 
 def distinct_words(texts: list[bytes]) -> list[bytes]:
-    seen: set[bytes] = set()
+    return list(set(split_all(texts)))
+
+
+def split_all(texts: list[bytes]) -> Iterator[bytes]:
     for t in texts:
-        seen.update(t[:-1].split())
-    return list(seen)
+        yield from t[:-1].split()
 
 
 def word_keys(distinct: list[bytes]) -> np.ndarray:
@@ -350,30 +387,52 @@ def _common(values: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
             break
         least = asked
     rows = values.where(F.col("asked") >= least if least is not None else F.lit(False)).select("key", "value").toArrow()
-    return np.asarray(rows.column("key")).astype(np.uint64), np.asarray(rows.column("value"))
+    return in_order(np.asarray(rows.column("key")).astype(np.uint64), np.asarray(rows.column("value")))
 
 
-def _probabilities(counted: DataFrame, depth: int) -> DataFrame:
+def _probabilities(counted: DataFrame, depth: int, group_runs: int = 1 << 17) -> DataFrame:
     """``(key, value, asked)``; value: minus the log10 probability of the last byte of each
-    run, given those before, in units of 1 / ``SCALE``."""
-    ending = F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF))
+    run, given those before, in units of 1 / ``SCALE``.
+
+    The trees below the contexts of three bytes are independent, so an ending of two bytes
+    that holds more than ``group_runs`` runs is dealt to several groups by the byte before.
+    """
+    ending, third = F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF)), F.shiftright("key", 24).bitwiseAND(F.lit(0xFF))
+    sizes = counted.groupBy(ending.alias("e")).agg(F.least(F.ceil(F.count("*") / group_runs), F.lit(256)).cast("int").alias("groups"))
+    sizes = F.broadcast(materialize(sizes, "tree_endings"))  # at most 2^16 endings
+    placed = counted.withColumn("e", ending).join(sizes, "e").select("key", "n", "asked", "e", F.pmod(third, F.col("groups")).cast("int").alias("g"))
 
     def upper(group: pa.Table) -> pa.Table:
         runs, n = np.asarray(group.column("key")).astype(np.uint64), np.asarray(group.column("n"))
-        node, z, o, below, _ = build_two(runs, n, depth) or [np.zeros(0)] * 5
+        node, z, o, below = sums_of_two(runs, n, depth)
         return pa.table({"node": node.astype(np.int64), "z": z, "o": o, "below": below})
 
-    # Nodes of two bytes: at most 2^24 for any corpus; of one byte or none, 2^16: small enough to hold.
-    two = counted.groupBy(ending.alias("e")).applyInArrow(upper, "node long, z double, o double, below double")
-    one = two.select(F.expr("node & 65535").alias("node"), "z", "o", "below").groupBy("node").agg(
-        F.sum("z").alias("z"), F.sum("o").alias("o"), F.sum("below").alias("below")).toArrow()
-    one = {c: np.asarray(one.column(c)) for c in one.column_names}
-    shared = counted.sparkSession.sparkContext.broadcast(_top(one))
+    # Nodes of two bytes: sums over the groups of an ending, a row for each ending.
+    names = ["node", "z", "o", "below"]
+    summed = placed.groupBy("e", "g").applyInArrow(upper, "node long, z double, o double, below double").groupBy("node").agg(
+        *[F.sum(c).alias(c) for c in names[1:]])
+    summed = materialize(summed, "tree_nodes")
 
-    def finish(group: pa.Table) -> pa.Table:
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            z, o, below = (np.asarray(batch.column(c)) for c in names[1:])
+            mixed = np.logaddexp(log_kt(z, o), below) - math.log(2)
+            yield pa.RecordBatch.from_pydict({"node": np.asarray(batch.column(0)) & 0xFFFF, "z": z, "o": o, "below": mixed})
+
+    # Nodes of one byte or none: at most 2^16 for any corpus.
+    one = summed.select(*names).mapInArrow(weigh, "node long, z double, o double, below double").groupBy("node").agg(
+        *[F.sum(c).alias(c) for c in names[1:]]).toArrow()
+    shared = counted.sparkSession.sparkContext.broadcast(_top({c: np.asarray(one.column(c)) for c in one.column_names}))
+    context = F.shiftright("node", 8).bitwiseAND(F.lit(0xFFFF))
+    nodes = summed.withColumn("e", context).join(sizes, "e").withColumn("g", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+
+    def finish(group: pa.Table, nodes: pa.Table) -> pa.Table:
         runs, n = np.asarray(group.column("key")).astype(np.uint64), np.asarray(group.column("n"))
         p_one, value = np.full((8, len(runs)), 0.5), np.zeros(len(runs), np.int64)
-        two = build_two(runs, n, depth, p_one)
+        sums_of_two(runs, n, depth, p_one)
+        order = np.argsort(np.asarray(nodes.column("node")))
+        node, z, o, below = (np.asarray(nodes.column(c))[order] for c in names)
+        two = level(node.astype(np.uint64), z, o, below) if len(node) else None
         for at in blocks(runs):
             p = p_one[:, at].ravel()
             if two:
@@ -381,9 +440,12 @@ def _probabilities(counted: DataFrame, depth: int) -> DataFrame:
             if len(shared.value[0][0]):
                 p = mix(shared.value, runs[at], range(1, -1, -1), p)
             value[at] = np.rint(log10_of(runs[at], p) * -SCALE).astype(np.int64)
-        return pa.table({"key": group.column("key"), "value": value, "asked": group.column("asked")})
+        return pa.table({"key": group.column("key"), "value": value, "asked": group.column("asked")}) if len(runs) else EMPTY
+
+    return placed.groupBy("e", "g").cogroup(nodes.groupBy("e", "g")).applyInArrow(finish, "key long, value long, asked long")
+
 
-    return counted.groupBy(ending.alias("e")).applyInArrow(finish, "key long, value long, asked long")
+EMPTY = pa.table({c: pa.array([], pa.int64()) for c in ("key", "value", "asked")})
 
 
 def _top(one: dict) -> dict:
