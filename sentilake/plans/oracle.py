@@ -305,6 +305,8 @@ def queries() -> dict[str, str]:
         "q_dedupe_posts": f"WITH {COPIES} SELECT post_id, id, n_comments FROM uniq",
         "q_dataset_stats": f"""WITH {COPIES} SELECT count(*) AS n_rows, count(DISTINCT post_id) AS n_ids, 'archives' AS stage FROM copies
             UNION ALL SELECT count(*), count(DISTINCT post_id), 'dataset' FROM uniq""",
+        "q_split_archive": """SELECT CAST(doc_id AS VARCHAR) AS post_id, source AS post_subreddit, n_chars AS post_score,
+            md5(text) AS text_md5 FROM documents""",
         "q_build_dataset": f"""SELECT CAST(doc_id AS VARCHAR) AS post_id, n_chars % 997 - 20 AS post_score,
             {shown(f"{NOW} - to_hours(1)")} AS processed, md5(text) AS text_md5 FROM documents""",
         "q_shard_manifest": f"""WITH {manifest(256)} SELECT shard_id, 'PENDING' AS status, start_idx, end_idx,

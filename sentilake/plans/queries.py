@@ -7,7 +7,7 @@ SQL. Limits appear only where they are the operator's own.
 from collections.abc import Callable
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from sentilake.functions.keys import iso_timestamp, output_prefix
 from sentilake.functions.parsing import parse_scores
@@ -400,6 +400,20 @@ def q_archive_read(spark: SparkSession, sf_dir: str) -> DataFrame:
         shown(F.max("post_created_ts")).alias("newest"), F.round(F.sum("sentiment.joy"), 4).alias("joy"))
 
 
+def q_split_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON array per community, each read in pieces and put together again."""
+    path = shared_dir(use_utc(spark), "arrays")
+    docs = I.table(spark, sf_dir, "documents")
+    w = Window.partitionBy("source").orderBy("doc_id")
+    record = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), "text", F.col("source").alias("subreddit"), F.col("n_chars").alias("score")))
+    begin = F.when(F.lag("doc_id").over(w).isNull(), "[").otherwise(",")
+    end = F.when(F.lead("doc_id").over(w).isNull(), "]").otherwise("")
+    docs.select("source", "doc_id", F.concat(begin, record, end).alias("value")).repartition("source") \
+        .sortWithinPartitions("source", "doc_id").select("value", "source").write.partitionBy("source").text(path)
+    posts = A.posts_from_records(RA.read_archives(spark, f"{path}/*", split_bytes=1 << 12))
+    return posts.select("post_id", "post_subreddit", "post_score", F.md5("post_text").alias("text_md5"))
+
+
 def q_ingest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One archive file per document and per page; pages are no JSON and count as failed."""
     path = shared_dir(use_utc(spark), "mixed")

@@ -26,7 +26,7 @@ from sentilake.session import materialize, path_exists
 from sentilake.sinks.archives import publish_dataset, write_archive
 from sentilake.sinks.labelling import write_annotations, write_manifest
 from sentilake.sinks.summaries import append_warehouse, upsert_history, write_current
-from sentilake.sources.archives import read_documents, require_min_archives
+from sentilake.sources.archives import SPLIT_BYTES, read_records, require_min_archives
 from sentilake.sources.stores import read_dataset, read_history, read_latest, read_shard_tasks, read_warehouse
 
 
@@ -105,17 +105,18 @@ def warehouse_days(spark: SparkSession, root: str, start: date, end: date, limit
 
 
 def build_dataset(spark: SparkSession, archives: str, target: str, revision: str,
-                  min_files: int = 1, lines: bool = False, ordered: bool = True) -> DataFrame:
+                  min_files: int = 1, lines: bool = False, ordered: bool = True, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Archives to one published row per post; returns the report of the build.
 
+    Archives above ``split_bytes`` that hold one JSON array are read by many tasks.
+
     Fields outside the post layout go along as JSON in ``extra``. Posts without an id go
     to the folder ``quarantine`` beside the revisions. Every record is accounted for:
     ``records = published + copies + quarantined + non_objects``; broken documents are
     counted by ``failed``. ``ordered`` sorts by number of comments.
     """
     found = require_min_archives(spark, archives, min_files, lines)
-    documents = read_documents(spark, archives, lines)
-    records = documents.select(F.col("records").isNull().alias("failed"), F.explode_outer("records").alias("record"))
+    records = read_records(spark, archives, lines, split_bytes=split_bytes)
     state = F.when(F.col("failed"), "failed").when(F.col("record").isNull(), "empty") \
         .when(~is_object(F.col("record")), "non_object").otherwise("post")
     parsed = posts_from_records(records.withColumns({"state": state, "extra": other_fields(F.col("record"))}), keep=("state", "extra"))

@@ -3,6 +3,10 @@
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sentilake.operators.archives import is_object
+from sentilake.sources.arrays import read_large_documents, splittable
+
+#: Archives above this size are read by several tasks.
+SPLIT_BYTES = 64 << 20
 
 
 def parse_document(text: Column) -> Column:
@@ -29,7 +33,8 @@ def read_documents(
     """Rows (file_path, file_size, records); ``records`` is NULL for a broken document.
 
     An archive file is one JSON document and is read whole by one task; files spread
-    over tasks. Archives written here hold a document per line (``lines``) and split.
+    over tasks, and :func:`read_records` splits large ones. Archives written here hold a
+    document per line (``lines``) and split.
     As a stream, ``clean_source`` ("delete" or "archive") removes a file once its
     records have been committed; it is off by default.
     """
@@ -46,10 +51,38 @@ def read_documents(
         document_records(parse_document(F.col("value"))).alias("records"))
 
 
+def read_records(spark: SparkSession, path: str, lines: bool = False, glob: str | None = None,
+                 split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Rows (file_path, failed, record): one per record, and one without a record for each
+    broken or empty document.
+
+    Files above ``split_bytes`` that hold one JSON array are read by many tasks, with the
+    records that reading them whole would give.
+    """
+    docs = read_documents(spark, path, lines, glob)
+    if not lines:
+        docs = docs.where(~splittable(F.col("file_path"), F.col("file_size"), split_bytes))
+    whole = docs.select("file_path", F.col("records").isNull().alias("failed"), F.explode_outer("records").alias("record"))
+    if lines or not any_larger(spark, path, glob, split_bytes):
+        return whole
+    return whole.unionByName(read_large_documents(spark, path, split_bytes, parse_document, document_records, glob))
+
+
+def any_larger(spark: SparkSession, path: str, glob: str | None, size: int) -> bool:
+    """Is there a file above a size? From a listing of names and lengths alone."""
+    listing = spark.read.format("binaryFile")
+    if glob:
+        listing = listing.option("pathGlobFilter", glob)
+    return not listing.load(path).select("path", "length").where(splittable(F.col("path"), F.col("length"), size)).isEmpty()
+
+
 def read_archives(spark: SparkSession, path: str, lines: bool = False, **options) -> DataFrame:
-    """Rows (file_path, record) from every readable document; options as above."""
-    docs = read_documents(spark, path, lines, **options)
-    return docs.select("file_path", F.explode("records").alias("record"))
+    """Rows (file_path, record) from every readable document; as a stream, options are
+    those of :func:`read_documents`, else of :func:`read_records`."""
+    if options.get("streaming"):
+        docs = read_documents(spark, path, lines, **options)
+        return docs.select("file_path", F.explode("records").alias("record"))
+    return read_records(spark, path, lines, **options).where("record is not null").select("file_path", "record")
 
 
 def count_archives(spark: SparkSession, path: str, lines: bool = False, glob: str | None = None) -> int:
