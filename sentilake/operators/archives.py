@@ -4,9 +4,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from sentilake.functions.content import content_tie
 from sentilake.functions.keys import epoch_or_timestamp
 from sentilake.functions.sentiment import emotion_struct
-from sentilake.operators.summaries import content_tie
 from sentilake.schemas import LEGACY_POST_NAMES, POST
 
 

@@ -2,11 +2,15 @@
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sentilake.functions.keys import chunk_name, shard_name
+from sentilake.operators.numbering import running_offsets
 from sentilake.schemas import CHUNK_SIZE, LEASE_WINDOW, SHARD_SIZE, WORKER_CHUNK_SIZE
+from sentilake.session import materialize
 
+#: Bytes of a bitmap, and of all bitmaps together up to which they are sent to every task.
+BITMAP_BYTES, BROADCAST_BYTES = 4096, 64 << 20
 PENDING, IN_PROGRESS, COMPLETED = "PENDING", "IN_PROGRESS", "COMPLETED"
 
 
@@ -15,14 +19,13 @@ def index_rows(dataset: DataFrame) -> DataFrame:
 
     A row's number is its place in its file plus the rows of the files before it.
     Both come from file metadata, so nothing is sorted or shuffled and a retried
-    task finds the same numbers. Only the per-file counts are put in order: one
-    small row per file.
+    task finds the same numbers. Only the per-file counts are put in order, one small
+    row per file, in groups.
     """
     rows = dataset.withColumns({
         "_file": F.col("_metadata.file_path"), "_place": F.col("_metadata.row_index")})
     counts = dataset.groupBy(F.col("_metadata.file_path").alias("_file")).agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    offsets = running_offsets(counts, ["_file"], "_n", "_before").drop("_n")
     return rows.join(offsets, "_file") \
         .withColumn("row_idx", F.col("_before") + F.col("_place")).drop("_file", "_place", "_before")
 
@@ -75,10 +78,40 @@ def lease_candidates(tasks: DataFrame, now: datetime, n: int = LEASE_WINDOW) ->
 
 
 def pending_rows(dataset: DataFrame, done: DataFrame, key: str = "post_id") -> DataFrame:
-    """Rows without an annotation yet."""
+    """Rows without an annotation yet, by id. Rows without an id are always pending; see
+    :func:`pending_by_index`."""
     return dataset.join(done.select(key), key, "left_anti")
 
 
+def finished_bitmaps(records: DataFrame, index_col: str = "row_idx") -> DataFrame:
+    """``(bucket, bits)``: the row numbers of the records, a bit each, 32,768 to a bitmap."""
+    place = F.col(index_col) + 1
+    return records.where(F.col(index_col).isNotNull()).groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+
+
+def has_bit(bits: Column, position: Column) -> Column:
+    byte = F.ascii(F.decode(F.substring(bits, F.floor(position / 8).cast("int") + 1, F.lit(1)), "ISO-8859-1"))
+    return F.get(F.array(*[F.shiftright(byte, i) for i in range(8)]), (position % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
+def pending_by_index(indexed: DataFrame, records: DataFrame, index_col: str = "row_idx",
+                     broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Rows of a numbered dataset whose number no record has yet, with or without an id.
+
+    A bitmap has a bit per row, so half a billion finished rows fit under the default
+    bound and are tested where the rows are read; no row is shuffled. Above it the rows
+    meet the bitmaps in a join.
+    """
+    bitmaps = materialize(finished_bitmaps(records, index_col), "bitmaps")
+    if bitmaps.count() * BITMAP_BYTES <= broadcast_bytes:
+        bitmaps = F.broadcast(bitmaps)
+    place = F.col(index_col) + 1
+    met = indexed.withColumn("bucket", F.bitmap_bucket_number(place)).join(bitmaps, "bucket", "left")
+    done = F.coalesce(has_bit(F.col("bits"), F.bitmap_bit_position(place)), F.lit(False))
+    return met.where(~done).select(*indexed.columns)
+
+
 def annotation_records(scored: DataFrame, run_id: str, model_id: str, worker_id: str,
                        id_col: str = "post_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """Output records; an unusable answer keeps its row with NULL scores."""

@@ -1,9 +1,11 @@
 """Projections, quality filters and validation of posts."""
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from sentilake.functions.content import content_tie
 from sentilake.functions.keys import epoch_or_timestamp
 from sentilake.functions.sentiment import in_unit_range
 from sentilake.functions.text import is_blank
@@ -44,9 +46,9 @@ def listing_head(
     """First ``n`` rows of each community's listing, numbered in ``listing_pos``.
 
     The rank filter becomes a group limit before the shuffle, so each task sends at
-    most ``n`` rows per community however many rows the community holds.
+    most ``n`` rows per community however many rows the community holds. NULL comes last.
     """
-    w = Window.partitionBy(community_col).orderBy(*order_cols)
+    w = Window.partitionBy(community_col).orderBy(*[F.col(c).asc_nulls_last() for c in order_cols])
     return df.withColumn("listing_pos", F.row_number().over(w)).filter(F.col("listing_pos") <= n)
 
 
@@ -202,12 +204,18 @@ def quality_posts(
     flat table (``id``, ``comment_order`` and the comment fields); then only comments
     of posts that passed the other filters are shuffled.
     """
-    landed = order_listing(listings, method)
-    # Ranked without bodies; the few winners fetch theirs. Ties go by id, so the rank is
-    # the same wherever it is computed; rows equal in all of these share a rank.
-    order = ("listing_order", "id")
-    winners = listing_head(landed.select("subreddit", *order).distinct(), fetch_buffer, order_cols=order)
-    head = landed.join(winners, ["subreddit", *order])
+    ordered = order_listing(listings, method)
+    landed = ordered.withColumn("_tie", content_tie(ordered))
+    # Ranked without bodies; the few winners fetch theirs, NULL or not. Ties go by id and
+    # content, so the rank is the same wherever it is computed. Rows equal in everything
+    # count as rows of the buffer and are one post.
+    order = ("listing_order", "id", "_tie")
+    keys = ["subreddit", *order]
+    winners = listing_head(landed.select(*keys), fetch_buffer, order_cols=order).groupBy(*keys).agg(F.min("listing_pos").alias("listing_pos"))
+    won = winners.select(*[F.col(c).alias(f"_w{c}") for c in keys], "listing_pos")
+    same = [F.col(c).eqNullSafe(F.col(f"_w{c}")) for c in keys]
+    head = landed.join(won, reduce(lambda a, b: a & b, same)).dropDuplicates(["subreddit", "listing_pos"])
+    head = head.drop(*[f"_w{c}" for c in keys])
     head = head.filter(has_content(F.col("title"), F.col("selftext"))) \
         .filter(within_max_age(epoch_or_timestamp(F.col("created_utc")), now, max_post_age_days))
     if comments is None:
@@ -220,7 +228,7 @@ def quality_posts(
             valid_comment(F.col("body"), F.col("author")), normalize_comment(fields))
         kept = head.drop("comments").join(nested.withColumnRenamed("post_comments", "comments"), "id")
     kept = kept.filter(min_comments(F.col("comments"), comment_limit))
-    return normalize_post(listing_head(kept, required_posts, order_cols=order))
+    return normalize_post(listing_head(kept, required_posts, order_cols=order).drop("_tie"))
 
 
 # ---- validation ---------------------------------------------------------------

@@ -3,8 +3,9 @@
 from datetime import date, datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
+from sentilake.functions.content import content_tie
 from sentilake.functions.keys import day_key, hour_key, utc_midnight
 from sentilake.functions.text import text_preview
 from sentilake.operators.posts import valid_post_struct
@@ -46,10 +47,20 @@ def valid_contributors(tc: Column) -> Column:
     return F.coalesce(ok, F.lit(False))
 
 
+def valid_summary() -> Column:
+    return valid_averages() & valid_contributors(F.col("top_contributors"))
+
+
 def validate_summaries(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split into (good, skipped)."""
-    ok = valid_averages() & valid_contributors(F.col("top_contributors"))
-    return df.filter(ok), df.filter(~ok)
+    return df.filter(valid_summary()), df.filter(~valid_summary())
+
+
+def valid_counted(df: DataFrame, counts: Observation | None = None) -> DataFrame:
+    """The good rows; ``counts`` gets ``rows`` and ``skipped`` when they are evaluated."""
+    if counts is not None:
+        df = df.observe(counts, F.count("*").alias("rows"), F.count_if(~valid_summary()).alias("skipped"))
+    return df.filter(valid_summary())
 
 
 # ---- time ---------------------------------------------------------------------
@@ -64,12 +75,6 @@ def _prune(df: DataFrame, low: Column, high: Column | None = None) -> DataFrame:
     return df
 
 
-def content_tie(df: DataFrame) -> Column:
-    """A hash of a row's content, to put rows of equal rank in the same order every time."""
-    plain = [F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    return F.xxhash64(*plain)
-
-
 def recent_history(df: DataFrame, now: datetime, num_days: int) -> DataFrame:
     """Rows of the last ``num_days`` days, oldest first.
 

@@ -135,9 +135,57 @@ def sentiment_summary(
     keys = list(group_cols)
     averages = normalize_totals(emotion_totals(posts, keys, temperature))
     winners = top_contributors(posts, keys, temperature, k, position_col)
-    full = with_details(winners, posts, keys, position_col, details, key_col)
+    return _nested(averages, with_details(winners, posts, keys, position_col, details, key_col), keys)
+
+
+def _nested(averages: DataFrame, full: DataFrame, keys: Sequence[str]) -> DataFrame:
     nested = nest_contributors(full, keys, post_struct(full))
     shape = [*keys, *EMOTIONS]
     if keys:
         return averages.join(nested, keys, "left").select(*shape, "top_contributors")
     return averages.select(*shape, nested.select("top_contributors").scalar().alias("top_contributors"))
+
+
+def community_partials(
+    posts: DataFrame, temperature: float = TEMPERATURE, k: int = TOP_K, position_col: str = "listing_pos",
+    community_col: str = "post_subreddit", key_col: str = "post_id",
+) -> tuple[DataFrame, DataFrame]:
+    """(sums, top ``k`` posts per emotion) of each community; both can be merged over any
+    set of communities, also with one of them twice."""
+    keys = [community_col]
+    top = rank_strengths(strengths(posts, keys, temperature, position_col, [key_col]), keys, k, position_col)
+    return emotion_totals(posts, keys, temperature), top.drop("rank")
+
+
+def category_summary(
+    posts: DataFrame, taxonomy: DataFrame, group_cols: Sequence[str] = (), temperature: float = TEMPERATURE,
+    k: int = TOP_K, position_col: str = "listing_pos", run_order: bool = True, details: DataFrame | None = None,
+    community_col: str = "post_subreddit", key_col: str = "post_id",
+) -> DataFrame:
+    """:func:`sentiment_summary` of posts under their categories, by the taxonomy's columns
+    ``group_cols``; without any, of all of them together.
+
+    A community in two categories weighs in both. Only its sums and its top posts meet the
+    taxonomy, never its posts. Equal strengths rank by the run's order (category, community,
+    ``position_col``) or, without ``run_order``, by ``position_col`` alone. ``posts`` has one
+    row per ``key_col``.
+    """
+    keys = list(group_cols)
+    sums, top = community_partials(posts, temperature, k, position_col, community_col, key_col)
+    tax = taxonomy.withColumnRenamed("subreddit", community_col)
+    merged = sums.join(tax, community_col).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("weight_total", *EMOTIONS)])
+    averages = normalize_totals(merged.where("weight_total is not null"))
+    place = F.struct("category_pos", "community_pos", position_col) if run_order else F.col(position_col)
+    best = rank_strengths(top.join(tax, community_col).withColumn("_place", place), keys, k, "_place")
+    live = averages.filter("has_emotion").select(*keys, "weight_total")
+    if keys:
+        winners = best.join(live, keys)
+    else:
+        winners = best.withColumn("weight_total", live.select("weight_total").scalar()).filter("weight_total is not null")
+    winners = winners.select(*keys, "emotion", "rank", key_col, (F.col("strength") / F.col("weight_total")).alias("contribution"))
+    bounded = (lambda df: df) if keys else F.broadcast  # at most 6 * k rows without groups
+    full = posts.join(bounded(winners), key_col)
+    if details is not None:
+        extra = [c for c in details.columns if c not in full.columns]
+        full = details.select(key_col, *extra).join(bounded(full), key_col)
+    return _nested(averages, full, keys)

@@ -305,6 +305,8 @@ def queries() -> dict[str, str]:
         "q_dedupe_posts": f"WITH {COPIES} SELECT post_id, id, n_comments FROM uniq",
         "q_dataset_stats": f"""WITH {COPIES} SELECT count(*) AS n_rows, count(DISTINCT post_id) AS n_ids, 'archives' AS stage FROM copies
             UNION ALL SELECT count(*), count(DISTINCT post_id), 'dataset' FROM uniq""",
+        "q_clean_up": """SELECT DISTINCT stage, source FROM documents, (VALUES ('failed'), ('built'), ('cleaned'), ('again')) s(stage)
+            WHERE stage IN ('failed', 'built') OR CAST(regexp_extract(source, '[0-9]+') AS INTEGER) % 2 = 0""",
         "q_split_archive": """SELECT CAST(doc_id AS VARCHAR) AS post_id, source AS post_subreddit, n_chars AS post_score,
             md5(text) AS text_md5 FROM documents""",
         "q_build_dataset": f"""SELECT CAST(doc_id AS VARCHAR) AS post_id, n_chars % 997 - 20 AS post_score,
@@ -323,6 +325,8 @@ def queries() -> dict[str, str]:
         "q_annotation_progress": f"""WITH {manifest(16)} SELECT status, count(*) AS n_shards, CAST(sum(chunk_done) AS BIGINT) AS records_done,
             count(*) FILTER (status = 'IN_PROGRESS' AND (lease IS NULL OR lease < {NOW})) AS expired_leases,
             CAST(sum(attempts) AS BIGINT) AS attempts FROM tasks GROUP BY 1""",
+        "q_resume_rows": """WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_idx, source FROM documents)
+            SELECT * FROM r WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
         "q_pending_rows": "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
         "q_parse_scores": f"WITH {PARSED} SELECT * FROM parsed",
         "q_annotation_records": f"""WITH {PREPARED}, n AS (SELECT doc_id, length({PROMPT}) AS len FROM prep)
@@ -333,6 +337,8 @@ def queries() -> dict[str, str]:
         "q_combine_annotations": f"""WITH {PARSED} SELECT d.doc_id, CASE WHEN p.conv_id IS NOT NULL THEN 'run1:' || p.turn END AS run_id,
             {each("p.{e}")} FROM documents d LEFT JOIN parsed p ON p.conv_id = d.doc_id""",
         "q_stream_dedupe": "SELECT DISTINCT user_id FROM events",
+        "q_stream_best_copy": f"""WITH {COPIES} SELECT post_id, id, doc_id AS position, {shown(created("doc_id"))} AS created,
+            n_chars % 997 - 20 AS post_score, source AS post_subreddit, n_comments FROM uniq JOIN documents USING (doc_id)""",
         "q_stream_annotate": f"""WITH {PREPARED}, n AS (SELECT doc_id, length({PROMPT}) AS len FROM prep)
             SELECT CAST(doc_id AS VARCHAR) AS id, 'run1' AS run_id, {generated("len")} FROM n""",
         "q_stream_listings": f"""SELECT CAST(doc_id AS VARCHAR) AS post_id, source AS post_subreddit, n_chars % 997 - 20 AS post_score,

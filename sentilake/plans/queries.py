@@ -6,6 +6,7 @@ SQL. Limits appear only where they are the operator's own.
 
 from collections.abc import Callable
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -15,11 +16,9 @@ from sentilake.functions.sentiment import labels_to_struct, normalize_sentiment
 from sentilake.functions import text as X
 from sentilake.operators import archives as A, labelling as L, posts as P
 from sentilake.operators import scoring as S, summaries as H, taxonomy as T
-from sentilake.operators.summary import (
-    sentiment_summary, softmax_weights, top_contributors,
-)
+from sentilake.operators.summary import category_summary, sentiment_summary, softmax_weights, top_contributors
 from sentilake.plans import inputs as I
-from sentilake.plans.runs import build_dataset, label_records, label_run, past_days, sentiment_run, warehouse_days
+from sentilake.plans.runs import build_dataset, clean_up_source, label_records, label_run, past_days, sentiment_run, warehouse_days
 from sentilake.schemas import EMOTIONS, SCORES, SENTIMENT
 from sentilake.session import materialize, shared_dir, spread, use_utc
 from sentilake.sinks import archives as KA, labelling as KL, summaries as KS
@@ -76,15 +75,13 @@ def q_top_contributors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_summary_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = T.join_taxonomy(written_scores(spark, sf_dir), I.taxonomy(spark, sf_dir))
-    return flatten_summary(sentiment_summary(flat, ["category"]), "category")
+    summary = category_summary(written_scores(spark, sf_dir), I.taxonomy(spark, sf_dir), ["category"], position_col="position", run_order=False)
+    return flatten_summary(summary, "category")
 
 
 def q_flattened_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One summary in which posts of a community in two categories weigh twice."""
-    flat = T.flatten_categories(
-        written_scores(spark, sf_dir).withColumn("listing_pos", F.col("position")), I.taxonomy(spark, sf_dir))
-    return flatten_summary(sentiment_summary(flat))
+    return flatten_summary(category_summary(written_scores(spark, sf_dir), I.taxonomy(spark, sf_dir), position_col="position"))
 
 
 def q_summary_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -477,7 +474,7 @@ def q_build_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs.select(F.when(n == 0, new).when(n == 1, old).when(n == 2, unnamed).otherwise(F.concat(F.lit("["), "doc_id", F.lit("]"))).alias("value")) \
         .unionByName(docs.filter(n == 1).select(new.alias("value"))).unionByName(docs.filter(n == 3).select(F.lit("{broken").alias("value"))) \
         .write.text(f"{root}/archives/a1")
-    report = build_dataset(spark, f"{root}/archives/*", f"{root}/dataset", "r1", lines=True)
+    report = build_dataset(spark, f"{root}/archives/*", f"{root}/dataset", "r1", lines=True).drop("bytes")
     extra = R.read_dataset(spark, f"{root}/dataset", "r1").agg(F.count("extra").alias("with_extra"))
     return report.withColumn("with_extra", extra.scalar())
 
@@ -495,6 +492,35 @@ def q_build_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.md5("post_text").alias("text_md5"))
 
 
+def q_clean_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives left after a build that failed, a build, its clean-up and a second clean-up.
+
+    A file per community; those of even number end in a broken document and are kept.
+    """
+    root = shared_dir(use_utc(spark), "clean-up")
+    docs = I.table(spark, sf_dir, "documents")
+    record = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), "text"))
+    broken = docs.select("source").distinct().where(F.regexp_extract("source", "[0-9]+", 0).cast("int") % 2 == 0)
+    lines = docs.select("source", record.alias("value")).unionByName(broken.withColumn("value", F.lit("{broken")))
+    lines.repartition("source").write.partitionBy("source").text(f"{root}/archives")
+
+    def left(stage: str) -> DataFrame:
+        files = RA.list_files(spark, f"{root}/archives/*").select(F.regexp_extract("file_path", "source=([^/]*)/", 1).alias("source"))
+        return materialize(files.select(F.lit(stage).alias("stage"), "source"), "left")
+
+    stages = []
+    try:
+        build_dataset(spark, f"{root}/archives/*", f"{root}/dataset", "r1", min_files=10**6, lines=True)
+    except ValueError:
+        stages.append(left("failed"))
+    build_dataset(spark, f"{root}/archives/*", f"{root}/dataset", "r1", lines=True)
+    stages.append(left("built"))
+    for stage in ("cleaned", "again"):
+        clean_up_source(spark, f"{root}/dataset", "r1")
+        stages.append(left(stage))
+    return reduce(DataFrame.unionByName, stages)
+
+
 # ---- labelling ----------------------------------------------------------------
 
 def _manifest(spark: SparkSession, sf_dir: str, shard_size: int = 256) -> DataFrame:
@@ -560,6 +586,15 @@ def q_pending_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "source")
 
 
+def q_resume_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a published dataset left to label, from a bit per labelled row number."""
+    root = shared_dir(use_utc(spark), "resume")
+    KA.publish_dataset(I.table(spark, sf_dir, "documents").orderBy("doc_id"), root, "r1")
+    rows = L.index_rows(R.read_dataset(spark, root, "r1"))
+    done = rows.join(I.table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id").select("row_idx")
+    return L.pending_by_index(rows, done).select("doc_id", "row_idx", "source")
+
+
 def raw_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Generated text for every turn: plain, fenced, out of range, quoted, broken, with null."""
     n = F.col("turn").cast("string")
@@ -654,6 +689,24 @@ def q_stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(unique.schema).parquet(f"{root}/out").select("user_id")
 
 
+def q_stream_best_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of equal texts the most discussed one, once no copy can follow; every column is compared.
+
+    The last event, far later, lets the watermark pass all others.
+    """
+    root = shared_dir(use_utc(spark), "stream-best")
+    copies = _copies(spark, sf_dir).select("post_id", "id", "position", "post_created_ts", "post_score", "post_subreddit", "n_comments")
+    copies.repartition(3).write.parquet(f"{root}/landed/1")
+    end = copies.limit(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in copies.schema])
+    end.withColumns({"post_id": F.lit("end"), "post_created_ts": F.lit(I.NOW + timedelta(days=400))}).write.parquet(f"{root}/landed/2")
+    landed = spark.readStream.schema(copies.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed/*")
+    best = TP.stream_best_copy(landed, "post_created_ts", "60 days", F.col("n_comments"), ("position",))
+    best.writeStream.format("parquet").option("checkpointLocation", f"{root}/ckpt").option("path", f"{root}/out") \
+        .trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.schema(best.schema).parquet(f"{root}/out")
+    return rows.select("post_id", "id", "position", shown(F.col("post_created_ts")).alias("created"), "post_score", "post_subreddit", "n_comments")
+
+
 def q_stream_annotate(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(use_utc(spark), "stream-annotate")
     posts = _landed_stream(_discussed(spark, sf_dir), root, 2)

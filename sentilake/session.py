@@ -31,6 +31,29 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none where there is no folder."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in system.listStatus(jpath)] if system.exists(jpath) else []
+
+
+def file_state(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """Length and modification time (milliseconds) of a file, None where there is none."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(jpath):
+        return None
+    status = system.getFileStatus(jpath)
+    return status.getLen(), status.getModificationTime()
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a file or a folder with all in it; tells whether it was there."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write once to the shared folder and read back.
 

@@ -85,6 +85,16 @@ def read_archives(spark: SparkSession, path: str, lines: bool = False, **options
     return read_records(spark, path, lines, **options).where("record is not null").select("file_path", "record")
 
 
+def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """``(file_path, length, modified)`` of archive files, without reading them; times in milliseconds."""
+    listing = spark.read.format("binaryFile")
+    if glob:
+        listing = listing.option("pathGlobFilter", glob)
+    meta = F.col("_metadata")
+    return listing.load(path).select(meta["file_path"].alias("file_path"), meta["file_size"].alias("length"),
+                                     F.unix_millis(meta["file_modification_time"]).alias("modified"))
+
+
 def count_archives(spark: SparkSession, path: str, lines: bool = False, glob: str | None = None) -> int:
     """Number of archives, from a listing of names alone.
 

@@ -1,22 +1,21 @@
 """Readers of what the sinks write."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from sentilake.operators.summaries import to_warehouse_shape
 from sentilake.schemas import SUMMARY
-from sentilake.session import path_exists
+from sentilake.session import child_names, path_exists
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """The current snapshot; no rows when there is none."""
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], SUMMARY)
-    stored = spark.read.parquet(path)
-    if "version" not in stored.columns:
-        return stored
-    stored = stored.withColumn("version", F.col("version").cast("string"))
-    last = stored.agg(F.max("version").alias("version"))
-    return stored.join(last, "version", "left_semi").drop("version")
+    """The current snapshot, the version written last; no rows when there is none.
+
+    Only that version's folder is read.
+    """
+    versions = sorted(n for n in child_names(spark, path) if n.startswith("version="))
+    if versions:
+        return spark.read.parquet(f"{path}/{versions[-1]}")
+    return spark.read.parquet(path) if path_exists(spark, path) else spark.createDataFrame([], SUMMARY)
 
 
 def read_warehouse(spark: SparkSession, path: str) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sentilake.operators import archives as A
-from sentilake.plans.runs import build_dataset
+from sentilake.plans.runs import build_dataset, clean_up_source
 from sentilake.schemas import POST
 from sentilake.sinks import archives as KA
 from sentilake.sources import archives as RA, stores as R
@@ -101,6 +101,22 @@ def test_archives_round_trip_into_a_dataset(spark, tmp_path):
         build_dataset(spark, str(tmp_path / "runs" / "*"), str(tmp_path / "set"), "r1", lines=True)
 
 
+def test_clean_up_takes_only_what_was_published(spark, tmp_path):
+    source, target = tmp_path / "in", str(tmp_path / "set")
+    source.mkdir()
+    for name, text in {"a": '[{"id": "1"}]', "b": '{"id": "2"}', "bad": "[{", "grown": '{"id": "3"}', "empty": "[]"}.items():
+        (source / f"{name}.json").write_text(text)
+    with pytest.raises(ValueError, match="no finished build"):
+        clean_up_source(spark, target, "r1")
+    report = build_dataset(spark, str(source), target, "r1").first()
+    assert report["bytes"] == sum(p.stat().st_size for p in source.glob("*.json"))
+    (source / "grown.json").write_text('[{"id": "3"}, {"id": "4"}]')
+    (source / "a.json").unlink()  # as if an earlier call had been interrupted
+    assert clean_up_source(spark, target, "r1") == {"removed": 2, "kept": 2, "gone": 1}
+    assert sorted(p.name for p in source.glob("*.json")) == ["bad.json", "grown.json"]
+    assert clean_up_source(spark, target, "r1") == {"removed": 0, "kept": 2, "gone": 3}
+
+
 def test_hourly_archive(spark, tmp_path):
     df, path = posts(spark, [("a", 1, 0), ("b", 0, 0), ("c", 0, 2)]), str(tmp_path / "h")
     KA.write_hourly_post_archive(df, path, NOW)

@@ -1,6 +1,6 @@
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from sentilake.operators import summaries as H
 from sentilake.plans.runs import latest_sentiment, past_days, warehouse_days
@@ -43,6 +43,37 @@ def test_snapshot_is_replaced_and_guarded(spark, tmp_path):
     assert [p["id"] for p in old["_top_contributor"]["joy"]] == ["p1"]
 
 
+def test_snapshot_written_last_is_current(spark, tmp_path):
+    """Also when its time is an earlier one; old versions do not pile up."""
+    path = str(tmp_path / "current")
+    for hours, joy in ((0, 0.5), (3, 0.6), (1, 0.7), (-5, 0.8)):
+        assert KS.write_current(one(spark, (joy, 0.1, 0.1, 0.1, 0.05, 0.05)), path, NOW + timedelta(hours=hours))
+        assert R.read_latest(spark, path).first()["joy"] == joy
+    assert len([p for p in (tmp_path / "current").iterdir() if p.name.startswith("version=")]) == 2
+
+
+def test_invalid_rows_are_counted_in_the_same_pass(spark, tmp_path):
+    root = str(tmp_path)
+    times = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            times.add(b.num_rows)
+            yield b
+
+    rows = summaries(spark, [(FLAT, [], NOW), ((2.0, 0, 0, 0, 0, 0), [], NOW), (FLAT, [], NOW + timedelta(hours=1))])
+    rows = rows.withColumn("hour_key", F.date_format("timestamp", "yyyy-MM-dd'T'HH"))
+    watched = rows.mapInArrow(seen, rows.schema)
+    assert KS.upsert_history(watched, f"{root}/history") == 1 and times.value == 3
+    assert KS.append_warehouse(one(spark, (2.0, 0, 0, 0, 0, 0)), f"{root}/warehouse", NOW) == 1
+    rows.drop("hour_key").withColumnRenamed("updatedAt", "updated_at").write.mode("overwrite").parquet(f"{root}/warehouse")
+    counts = Observation()
+    found = warehouse_days(spark, root, NOW.date(), NOW.date(), counts=counts).collect()
+    assert len(found) == 2 and counts.get == {"rows": 3, "skipped": 1}
+    counts = Observation()
+    assert past_days(spark, root, NOW + timedelta(hours=2), 1, "current", counts=counts).count() == 2 and counts.get["skipped"] == 0
+
+
 def test_history_keeps_the_last_write_of_an_hour(spark, tmp_path):
     path = str(tmp_path / "history")
     KS.upsert_history(one(spark), path, NOW - timedelta(days=3))

@@ -4,6 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from sentilake.operators import labelling as L
+from sentilake.operators.numbering import running_offsets
+from sentilake.operators.posts import conform_posts
+from sentilake.plans.runs import label_records, label_run
 from sentilake.schemas import SCORES
 from sentilake.sinks import archives as KA, labelling as KL
 from sentilake.sources import stores as R
@@ -74,3 +77,42 @@ def test_manifest_is_replaced(spark, tmp_path):
         KL.write_manifest(run, L.shard_manifest(spark, n, NOW), str(tmp_path), "r")
     assert R.read_shard_tasks(spark, str(tmp_path), "r").count() == 1
     assert R.read_run(spark, str(tmp_path), "r").first()["model"] == "m"
+
+
+def test_row_numbers_over_many_files(spark, tmp_path):
+    """Offsets add up in groups of files; no window runs over all of them."""
+    spark.range(0, 900, 1, 300).select((F.col("id") * 7).alias("k")).write.parquet(f"{tmp_path}/revision=r1")
+    stored = R.read_dataset(spark, str(tmp_path), "r1")
+    rows = L.index_rows(stored)
+    assert rows.where("k <> 7 * row_idx").isEmpty() and rows.count() == 900
+    assert "SinglePartition" not in rows._jdf.queryExecution().executedPlan().toString()
+    counts = spark.range(0, 1000, 1, 9).select("id", (F.col("id") % 5).alias("n")).withColumn("tie", -F.col("id"))
+    for groups in ("1", "13"):
+        spark.conf.set("spark.sql.shuffle.partitions", groups)
+        got = {r["id"]: r["before"] for r in running_offsets(counts, ["tie", "id"], "n", "before").collect()}
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        assert got == {i: sum(k % 5 for k in range(i + 1, 1000)) for i in range(1000)}
+
+
+@pytest.mark.parametrize("broadcast_bytes", [L.BROADCAST_BYTES, 0])
+def test_resume_by_bitmap(spark, broadcast_bytes):
+    rows = spark.range(70_000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("post_id"), F.col("id").alias("row_idx"), F.lit("text").alias("post_text"))
+    done = [0, 1, 2, 7, 8, 32_766, 32_767, 32_768, 65_535, 65_536, 69_999]
+    records = spark.createDataFrame([(i,) for i in done * 2] + [(None,)], "row_idx long")
+    left = L.pending_by_index(rows, records, broadcast_bytes=broadcast_bytes)
+    assert left.columns == rows.columns
+    assert {r["row_idx"] for r in left.select("row_idx").collect()} == set(range(70_000)) - set(done)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    if broadcast_bytes:
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert L.pending_by_index(rows, records.limit(0)).count() == 70_000
+
+
+def test_rows_without_an_id_are_labelled_once(spark, tmp_path):
+    posts = spark.createDataFrame([(None, "a"), ("x", "b"), (None, "c")], "post_id string, post_text string")
+    KA.publish_dataset(conform_posts(posts), f"{tmp_path}/set", "r1")
+    load = lambda: lambda prompts: ['{"joy": 1}'] * len(prompts)
+    for _ in range(3):
+        metrics = label_run(spark, f"{tmp_path}/set", "r1", f"{tmp_path}/run", "run", NOW, load, "m", "w", only=F.col("row_idx") < 9)
+    assert metrics.first()["items_annotated"] == 3
+    assert sorted(r["row_idx"] for r in label_records(spark, f"{tmp_path}/run", "run").collect()) == [0, 1, 2]

@@ -141,3 +141,19 @@ def test_read_listings(spark, tmp_path):
     rows.write.json(str(tmp_path / "l"))
     assert read_listings(spark, str(tmp_path / "l")).collect() == rows.collect()
     assert read_listings(spark, str(tmp_path / "l"), streaming=True).isStreaming
+
+
+def test_landed_rows_without_a_rank_are_kept(spark):
+    rows = [listing(1), (*listing(2)[:9], None, listing(2)[10]), listing(3), (None, *listing(4)[1:]), listing(5), listing(5)]
+    df = spark.createDataFrame(rows, LISTING).repartition(3)
+    got = P.quality_posts(df, NOW, comment_limit=2).orderBy("listing_pos").collect()
+    # NULL comes last, rows equal in everything are one post.
+    assert [r["post_id"] for r in got] == ["p1", "p3", None, "p5", "p2"]
+    assert [r["post_id"] for r in P.quality_posts(df, NOW, comment_limit=2, fetch_buffer=2).orderBy("listing_pos").collect()] == ["p1", "p3"]
+
+
+def test_listings_send_a_few_rows_per_community(spark):
+    df = spark.createDataFrame([listing(i, sub="s") for i in range(50)], LISTING)
+    plan = P.quality_posts(df, NOW)._jdf.queryExecution().executedPlan().toString()
+    first = plan.split("WindowGroupLimit")[-1]
+    assert "Final" in plan and "Partial" in plan and plan.count("WindowGroupLimit") >= 2 and "HashAggregate" not in first

@@ -1,10 +1,14 @@
+import glob
 from datetime import datetime, timedelta, timezone
 
+from pyspark.sql import functions as F
+
+from sentilake.operators.archives import dedupe_posts
 from sentilake.operators.summary import sentiment_summary
 from sentilake.plans import inputs as I
 from sentilake.schemas import EMOTIONS
 from sentilake.streaming import history as TH
-from sentilake.streaming.posts import stream_dedupe
+from sentilake.streaming.posts import stream_best_copy, stream_dedupe
 
 
 def shown(df):
@@ -25,6 +29,22 @@ def test_batches_add_up_and_replays_change_nothing(spark, sf_dir, tmp_path):
     assert shown(spark.read.parquet(f"{path}/history")) == shown(sentiment_summary(posts, ["hour_key"]))
 
 
+def test_states_stay_as_many_over_many_batches(spark, sf_dir, tmp_path):
+    """Twenty batches that all touch the same days; now and then one is replayed."""
+    posts = I.event_posts(spark, sf_dir).where("hour_key < '2024-01-03'")
+    posts.withColumn("n", F.pmod(F.xxhash64("position"), F.lit(20))).write.partitionBy("n").parquet(f"{tmp_path}/in")
+    path, files = str(tmp_path / "out"), []
+    for n in range(20):
+        for _ in range(2 if n % 7 == 3 else 1):
+            TH.merge_batch(spark.read.schema(posts.schema).parquet(f"{tmp_path}/in/n={n}"), n, path)
+        files.append(len(glob.glob(f"{path}/**/*.parquet", recursive=True)))
+    assert max(files[2:]) <= files[2] <= 2 * 2 * 2 + 2
+    assert shown(spark.read.parquet(f"{path}/history")) == shown(sentiment_summary(posts, ["hour_key"]))
+    TH.merge_batch(posts.where("1 = 0"), 20, path)
+    TH.merge_batch(posts.limit(5), 0, path, run="other")
+    assert len(glob.glob(f"{path}/state/sums/day=*/run=other/upto=0/*.parquet")) >= 1
+
+
 def test_stream_picks_up_late_files(spark, sf_dir, tmp_path):
     events = I.table(spark, sf_dir, "events")
     early, late = events.filter("event_id >= 100"), events.filter("event_id < 100")
@@ -46,3 +66,21 @@ def test_stream_dedupe(spark, tmp_path):
     unique.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).option("path", str(tmp_path / "o")) \
         .trigger(availableNow=True).start().awaitTermination()
     assert sorted(r["post_id"] for r in spark.read.parquet(str(tmp_path / "o")).collect()) == ["p0", "p1", "p2"]
+
+
+def test_most_discussed_copy(spark, tmp_path):
+    """Every column equals the batch choice; an id stays open until no copy can come."""
+    at = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    rows = [(f"p{i % 5}", at + timedelta(minutes=7 * i), (i * 7) % 4, f"text {i}", i) for i in range(40)]
+    rows += [("p0", at + timedelta(days=9), 0, "again", 100), ("late", at + timedelta(days=30), 1, "open", 101)]
+    schema = "post_id string, ts timestamp, n int, text string, place int"
+    for k, part in enumerate((rows[:20], rows[20:40], rows[40:])):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{tmp_path}/part{k}")
+    landed = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/part*")
+    best = stream_best_copy(landed, "ts", "2 days", F.col("n"), ("place",))
+    best.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).option("path", str(tmp_path / "o")) \
+        .trigger(availableNow=True).start().awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.schema(best.schema).parquet(str(tmp_path / "o")).collect())
+    batch = dedupe_posts(spark.createDataFrame(rows[:40], schema), size=F.col("n"), tie_cols=("place",))
+    want = sorted([tuple(r) for r in batch.select(*best.columns).collect()] + [("p0", at.replace(tzinfo=None) + timedelta(days=9), 0, "again", 100)])
+    assert [(g[0], *g[2:]) for g in got] == [(w[0], *w[2:]) for w in want] and best.columns == schema.replace(",", "").split()[::2]

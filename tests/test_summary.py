@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sentilake.functions.sentiment import labels_to_struct, normalize_sentiment
-from sentilake.operators.summary import sentiment_summary, softmax_weights, top_contributors
+from sentilake.operators.summary import category_summary, community_partials, sentiment_summary, softmax_weights, top_contributors
 from sentilake.operators.taxonomy import flatten_categories
 from sentilake.schemas import EMOTIONS
 
@@ -127,6 +127,27 @@ def test_communities_in_two_categories_weigh_twice(spark):
     assert [p for p, _ in got[1]["sadness"]] == ["p0", "p0", "p1"]
 
 
+@pytest.mark.parametrize("keys", [["category"], []])
+def test_categories_from_community_partials(spark, keys):
+    """The same as a summary of all posts joined to their categories."""
+    posts = spark.createDataFrame(random_posts(400, 9), SCHEMA).withColumnRenamed("g", "post_subreddit").withColumn("listing_pos", F.col("position"))
+    tax = spark.createDataFrame([("c0", "hot", 0, 0), ("c0", "g1", 0, 1), ("c1", "hot", 1, 0), ("c1", "g2", 1, 1), ("c2", "none", 2, 0)],
+                                "category string, subreddit string, category_pos int, community_pos int")
+    want = {r["category"] if keys else 0: as_result(r) for r in sentiment_summary(flatten_categories(posts, tax), keys).collect()}
+    got = {r["category"] if keys else 0: as_result(r) for r in category_summary(posts.drop("post_text"), tax, keys, details=posts).collect()}
+    assert got.keys() == want.keys() and len(want) == (2 if keys else 1)
+    for key, result in want.items():
+        assert_same(got[key], result)
+    assert category_summary(posts.limit(0), tax, keys).count() == 0
+
+
+def test_only_community_rows_meet_the_taxonomy(spark):
+    posts = spark.createDataFrame(random_posts(50, 9), SCHEMA).withColumnRenamed("g", "post_subreddit").withColumn("listing_pos", F.col("position"))
+    sums, top = community_partials(posts)
+    assert sums.count() == posts.where("sentiment is not null and post_score > 0").select("post_subreddit").distinct().count()
+    assert top.groupBy("post_subreddit", "emotion").count().agg(F.max("count")).first()[0] <= 3
+
+
 def test_weights_of_a_power_law(spark):
     scores = [s for s, n in [(0, 100), (100, 50), (200, 25), (300, 12), (400, 6), (500, 3)] for _ in range(n)]
     df = spark.createDataFrame([(i, s) for i, s in enumerate(scores)], "i int, post_score long")
