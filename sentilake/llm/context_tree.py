@@ -43,7 +43,7 @@ DEPTH, END = 5, 0
 SCALE = 1e6
 STEP = 1 << 20
 #: Runs from which a block of the tree is built by itself; the runs of one third byte stay together.
-BLOCK = 1 << 16
+BLOCK = 1 << 15
 
 
 def stream(tokens: list[bytes]) -> bytes:
@@ -390,7 +390,7 @@ def _common(values: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     return in_order(np.asarray(rows.column("key")).astype(np.uint64), np.asarray(rows.column("value")))
 
 
-def _probabilities(counted: DataFrame, depth: int, group_runs: int = 1 << 17) -> DataFrame:
+def _probabilities(counted: DataFrame, depth: int, group_runs: int = 1 << 16) -> DataFrame:
     """``(key, value, asked)``; value: minus the log10 probability of the last byte of each
     run, given those before, in units of 1 / ``SCALE``.
 

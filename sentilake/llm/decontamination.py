@@ -3,7 +3,7 @@
 Words are lower-cased runs between white space and ASCII punctuation. A first pass over
 all documents counts in how many of them each n-gram of a test item occurs. Of every few
 neighbouring n-grams of an item the rarest is a seed, so that seeds lie all along the
-item, also where the whole item is common. A second pass finds the seeds in documents,
+item, also where the whole item is common; of a short item all are. A second pass finds the seeds in documents,
 cuts a passage around each hit and aligns it with the item by words: a match scores 1, a
 substitution, insertion or deletion -1. A document is a copy of an item if its best score
 reaches ``share`` of the item's words, and ``least_words`` (or the whole of a shorter
@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame, functions as F
 from sentilake.llm.common import mix64
 
 GRAM, SPREAD = 3, 4
+#: Words up to which all n-grams of an item are seeds, as edits leave few of them whole.
+SHORT = 48
 UPPER = bytes(range(65, 91))
 TABLE = bytes(32 if c < 48 or 58 <= c < 65 or 91 <= c < 97 or 123 <= c < 128 else c + 32 * (c in UPPER) for c in range(256))
 MOST = 1 << 20
@@ -115,9 +117,9 @@ def seeds(items: Items, df: dict[int, int], n: int, spread: int) -> tuple[np.nda
     """Sorted seed hashes with the item and place of each."""
     rows = set()
     for i, w in enumerate(items.words):
-        g = grams(w, n).tolist()
-        for k in range(max(1, len(g) - spread + 1)) if g else ():
-            at = min(range(k, min(k + spread, len(g))), key=lambda p: (df.get(g[p], 0), g[p], p))
+        g, near = grams(w, n).tolist(), 1 if len(w) <= SHORT else spread
+        for k in range(max(1, len(g) - near + 1)) if g else ():
+            at = min(range(k, min(k + near, len(g))), key=lambda p: (df.get(g[p], 0), g[p], p))
             rows.add((g[at], i, at))
     rows = sorted(rows)
     return (np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows], np.int64),

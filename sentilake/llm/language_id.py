@@ -13,7 +13,8 @@ above the mean by more than ``tolerance`` times the excess that 99.5 % stay unde
 that allow for its length.
 
 Training takes about ``sample_rows`` whole documents of each language, chosen by a hash
-of id and text; that is the documented bound of the models.
+of id and text; that is the documented bound of the models. They are dense in the
+languages, of which there may be ``MAX_LANGUAGES``; more are an error.
 
 Rules: NULL texts and texts without a letter are ``und``, with score 0, and are not
 accepted; so is everything if there is nothing to learn from. Rows without a language
@@ -36,17 +37,24 @@ from sentilake.llm.common import OWN, SortedHashes, mix64, slices
 ORDER = 4
 UNKNOWN = "und"
 SPACE = 32
+#: Set in the code of a combining mark, which stays where it follows a letter.
+MARK = 1 << 20
+#: Languages that models are made for at most: the models are dense in them.
+MAX_LANGUAGES = 1024
 #: Characters counted at most by the score's posterior, and assumed part of mean cross-entropy as noise.
 EVIDENCE, NOISE = 40, 0.1
 
 
 def folding() -> np.ndarray:
-    """For each code below 65,536 the lower-case letter, or the space."""
+    """For each code below 65,536 the lower-case letter, the combining mark with ``MARK``, or the space."""
     table = np.full(1 << 16, SPACE, np.uint32)
     for code in range(1 << 16):
-        if unicodedata.category(chr(code)).startswith("L"):
+        category = unicodedata.category(chr(code))[0]
+        if category == "L":
             low = chr(code).lower()
             table[code] = ord(low) if len(low) == 1 and ord(low) < 1 << 16 else code
+        elif category == "M":
+            table[code] = code | MARK
     return table
 
 
@@ -60,6 +68,10 @@ def fold_texts(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndar
     if wide.any():
         letter = np.fromiter((chr(c).isalpha() for c in codes[wide]), bool)
         folded[wide] = np.where(letter, codes[wide] & 0xFFFF, SPACE)
+    mark = folded >= MARK
+    if mark.any():
+        letter = np.maximum.accumulate(np.where(mark, 0, np.arange(len(folded))))
+        folded = np.where(mark, np.where(folded[letter] == SPACE, SPACE, folded & 0xFFFF), folded)
     starts = np.concatenate([[0], np.cumsum(lengths)])
     of = np.repeat(np.arange(len(texts)), lengths)
     keep = (folded != SPACE) | np.concatenate([[True], folded[:-1] != SPACE])
@@ -213,8 +225,12 @@ def train(docs: DataFrame, *, text="text", lang="lang", id="doc_id", where: Colu
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (where if where is not None else F.lit(True)))
     rows = rows.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"),
                        F.xxhash64(F.lit(seed), F.col(id), F.col(text)).alias("key"))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    chosen = rows.join(sizes, "lang").where(F.col("key") / F.lit(2.0**64) + 0.5 < F.lit(float(sample_rows)) / F.col("n"))
+    # One row per language; texts are chosen where they are read, none is shuffled.
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    sizes = rows.sparkSession.createDataFrame([(r.lang, r.n) for r in sizes], "lang string, n long")
+    chosen = rows.join(F.broadcast(sizes), "lang").where(F.col("key") / F.lit(2.0**64) + 0.5 < F.lit(float(sample_rows)) / F.col("n"))
     # A language of few documents needs all of them to learn from, and is not calibrated.
     kept_out = (F.pmod(F.xxhash64("key"), F.lit(5)) == 0) & (F.col("n") >= 20)
     models = Models(counts_of_runs(chosen.where(~kept_out).select("lang", "text")))

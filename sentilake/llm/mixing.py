@@ -4,9 +4,8 @@ Documents of a source queue up in a shuffled order (seeded hash). A document's v
 finish time is the number of its source's words up to and including it, divided by the
 source's weight. Sorted by that time over all sources, the head of the list holds the
 sources in the ratio of their weights; a source that has been used ``max_repeats``
-times leaves the queue, and the others go on in their ratio. The list ends where the
-words add up to the budget, that is at one virtual time for all sources, computed from
-one row per source.
+times leaves the queue, and the others go on in their ratio. All copies of all sources
+are range-sorted by that time (at a document's middle), and the list ends where its words add up to the budget.
 
 Rules: NULL text has no words. NULL is a source of its own and comes last. Repeated
 rows are documents of their own. A source without words takes no part. Documents are
@@ -21,6 +20,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from sentilake.llm.common import with_columns_last
+from sentilake.operators.numbering import running_offsets
+from sentilake.session import materialize
 
 WEIGHTS = (5.0, 2.0, 1.0)
 WORD = r"[^\x20\x09-\x0D]+"
@@ -85,11 +86,42 @@ def fair_queue(docs: DataFrame, *, text="text", source="source", id="doc_id", we
     block = W.partitionBy("__llm_name", "__llm_block").orderBy("__llm_key").rowsBetween(W.unboundedPreceding, W.currentRow)
     queued = placed.join(ladder.hint("shuffle_merge"), ["__llm_name", "__llm_block"]).withColumn(
         "__llm_finish", F.col("__llm_before") + F.sum("size").over(block))
-    room = F.col("target") - (F.col("__llm_finish") - F.col("size") / 2)
-    copies = F.when(F.col("source_size") == 0, 0).otherwise(
-        F.greatest(F.lit(0), F.least(F.lit(max_repeats), F.floor(room / F.col("source_size")) + 1)))
-    return queued.withColumn("virtual_finish", F.col("__llm_finish") / F.col("weight")).withColumn(
-        "copies", copies.cast("int")).drop("__llm_source", "__llm_name", "__llm_block", "__llm_before", "__llm_finish")
+    queued = queued.withColumn("virtual_finish", F.col("__llm_finish") / F.col("weight")).drop(
+        "__llm_source", "__llm_name", "__llm_block", "__llm_before", "__llm_finish")
+    budget = targets.agg(F.sum("target")).first()[0] or 0.0
+    first_out = _truncate(queued.where("source_size > 0"), max_repeats, budget)
+    taken = [F.lit(True) if first_out is None else entry(F.lit(k)) < F.struct(*map(F.lit, first_out)) for k in range(max_repeats)]
+    copies = F.when(F.col("source_size") == 0, 0).otherwise(sum((t.cast("int") for t in taken), F.lit(0)))
+    return queued.withColumn("copies", copies.cast("int"))
+
+
+def entry(copy: Column) -> Column:
+    """Where a copy of a document stands in the queue: by virtual finish time, less half the
+    document's own time, then a hash. So a source is cut at the nearer end of a document."""
+    at = F.col("virtual_finish") + (copy * F.col("source_size") - F.col("size") / 2) / F.col("weight")
+    return F.struct(at.alias("at"), F.col("__llm_key").alias("key"), copy.alias("copy"))
+
+
+def _truncate(queued: DataFrame, max_repeats: int, budget: float) -> tuple | None:
+    """The first entry that the mix leaves out: all copies of all sources are range-sorted by
+    virtual finish time, and their words added up to the budget, file by file and then
+    within the file that reaches it. None if the budget takes all."""
+    copies = F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1)))
+    entries = queued.select("size", "source_size", "weight", "virtual_finish", "__llm_key", copies.alias("copy")).select(
+        "size", entry(F.col("copy")).alias("entry"))
+    queue = materialize(entries.repartitionByRange("entry").sortWithinPartitions("entry"), "mix_queue").withColumn("file", F.col("_metadata.file_path"))
+    files = queue.groupBy("file").agg(F.sum("size").alias("words"), F.min("entry").alias("first"))
+    placed = materialize(running_offsets(files, ["first"], "words", "before"), "mix_files")
+    here = placed.where(F.col("before") <= budget).orderBy(F.desc("before"), F.desc("first")).first()
+    later = placed.where(F.col("before") > budget).agg(F.min("first")).first()[0]
+    if here is None:
+        return None
+    in_order = W.orderBy("entry").rowsBetween(W.unboundedPreceding, W.currentRow)
+    middle = F.lit(here.before) + F.sum("size").over(in_order) - F.col("size") / 2
+    # One file of the sorted queue, no more than one task wrote.
+    out = queue.where(F.col("file") == here.file).withColumn("middle", middle).where(F.col("middle") > budget).agg(F.min("entry")).first()[0]
+    found = out or later
+    return tuple(found) if found is not None else None
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:

@@ -14,8 +14,8 @@ by shingles, in bounded blocks that report links only. So a pair is left out onl
 members are in one class already.
 
 Rules: NULL and empty texts, and texts without words, have no shingles and no links; a
-text of fewer words than a shingle has one, the whole. Rows without an id are left out.
-Rows that share an id are one document, with the text whose hash is smallest. 64-bit hashes
+text of fewer words than a shingle has one, the whole. Rows that share an id, or have none,
+are documents of their own as far as their texts differ. 64-bit hashes
 stand for shingles in the counts and signatures; the check of a pair compares words.
 """
 
@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sentilake.llm.common import connected_components, mix64, words
+from sentilake.llm.merkle import numbered
 from sentilake.session import materialize
 
 SHINGLE = 5
@@ -78,7 +79,7 @@ def minima(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def versions(docs: DataFrame, id: str, text: str) -> DataFrame:
-    return docs.select(F.col(id).cast("long").alias("id"), F.xxhash64(text).alias("version"), F.col(text).alias("text"))
+    return docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("version"), F.col(text).alias("text"))
 
 
 def signatures(docs: DataFrame, id: str, text: str, bands: int, rows: int, seed: int, n: int) -> DataFrame:
@@ -107,8 +108,9 @@ def signatures(docs: DataFrame, id: str, text: str, bands: int, rows: int, seed:
                  pa.array(keys, pa.list_(pa.int64())), pa.array(marks, pa.binary())],
                 names=["id", "version", "digest", "n_shingles", "keys", "marks"])
 
-    return versions(docs, id, text).mapInArrow(
-        sign, "id long, version long, digest binary, n_shingles long, keys array<long>, marks binary")
+    given = versions(docs, id, text)
+    return given.mapInArrow(
+        sign, f"id {given.schema['id'].dataType.simpleString()}, version long, digest binary, n_shingles long, keys array<long>, marks binary")
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int, n: int) -> DataFrame:
@@ -206,8 +208,10 @@ def cross_class_links(members: DataFrame, least: int, percent: int, n: int) -> D
 
 def near_duplicates(docs: DataFrame, *, id="doc_id", text="text", percent: int = 80, bands: int = 24, rows: int = 4,
                     seed: int = 7, shingle: int = SHINGLE) -> DataFrame:
-    """``(id, version, n_shingles, component_id)`` of every id; component: the smallest id
-    of the class; version: the hash of the text that stands for the id.
+    """``(id, version, n_shingles, component_id, row, component_row, copies)`` of every
+    different pair of id and text; version: the text's hash; component: the smallest id of
+    the class (NULL is the greatest); copies: rows of the pair. Rows are numbered by id, so
+    ids of any type, shared ones and NULL are told apart.
 
     At a similarity of 0.8 a pair misses all of 24 bands of 4 minima in about 3 of a
     million cases, at 0.85 in one of 50 million.
@@ -215,13 +219,15 @@ def near_duplicates(docs: DataFrame, *, id="doc_id", text="text", percent: int =
     share = percent / 100
     size = bands * rows
     least = int(size * share - SLACK * (size * share * (1 - share)) ** 0.5)
-    named = docs.where(F.col(id).isNotNull())
-    signed = materialize(signatures(named, id, text, bands, rows, seed, shingle), "signatures")
-    # One row per id, then one representative for each different text.
-    own = signed.groupBy("id").agg(F.min(F.struct("version", "digest", "n_shingles")).alias("r")).select("id", "r.*")
-    rep = F.min(F.struct("id", "version", "keys", "marks"))
-    reps = signed.groupBy("id").agg(F.min(F.struct("version", "digest", "n_shingles", "keys", "marks")).alias("r")).select("id", "r.*").where("n_shingles > 0")
-    reps = materialize(reps.groupBy("digest").agg(rep.alias("r")).select("digest", "r.*"), "representatives")
+    signed = materialize(signatures(docs, id, text, bands, rows, seed, shingle), "signatures")
+    pairs = signed.groupBy("id", "version", "digest").agg(
+        F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("n_shingles", "keys", "marks")])
+    placed = numbered(pairs.withColumns({"key": F.lit(""), "none": F.col("id").isNull()}), ["none", "id", "version", "digest"])
+    own = materialize(placed.select(F.col("pos").alias("id"), F.col("id").alias("doc"), "version", "digest", "copies", "n_shingles", "keys", "marks"), "numbered")
+    # One representative for each different text.
+    rep = F.min(F.struct("id", "doc", "version", "keys", "marks"))
+    reps = own.where("n_shingles > 0").groupBy("digest").agg(rep.alias("r")).select("digest", "r.*")
+    reps = materialize(reps, "representatives")
 
     met = reps.select("id", F.explode("keys").alias("key"))
     shared = met.groupBy("key").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
@@ -235,8 +241,9 @@ def near_duplicates(docs: DataFrame, *, id="doc_id", text="text", percent: int =
     tested = alike(
         pairs.join(marks.withColumnRenamed("id", "b").withColumnRenamed("marks", "marks_b"), "b")
         .join(marks.withColumnRenamed("id", "a"), "a"), least)
-    wanted = reps.join(bucketed, "id", "left_semi").select("id", "version")
-    texts = versions(named, id, text).join(wanted, ["id", "version"], "left_semi").dropDuplicates(["id"])
+    wanted = reps.join(bucketed, "id", "left_semi").select("id", "doc", F.col("version").alias("wanted"))
+    given = versions(docs, id, text).withColumnRenamed("id", "given")
+    texts = given.join(wanted, F.col("given").eqNullSafe(F.col("doc")) & (F.col("version") == F.col("wanted"))).dropDuplicates(["id"])
     texts = materialize(texts.select("id", "text"), "bucket_texts")
     links = materialize(confirm(tested, texts, percent, shingle), "links")
 
@@ -253,18 +260,24 @@ def near_duplicates(docs: DataFrame, *, id="doc_id", text="text", percent: int =
         classes = connected_components(links.union(more))
 
     of_text = reps.select("id", "digest").join(classes.withColumnRenamed("node", "id"), "id", "left").select(
-        "digest", F.coalesce("component", "id").alias("component_id"))
-    return own.join(of_text, "digest", "left").select(
-        "id", "version", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+        "digest", F.coalesce("component", "id").alias("component_row"))
+    named = of_text.join(reps.select(F.col("id").alias("component_row"), F.col("doc").alias("component_doc")), "component_row")
+    linked = F.col("n_shingles") > 0
+    return own.join(named, "digest", "left").select(
+        F.col("doc").alias("id"), "version", "n_shingles", F.when(linked, F.col("component_doc")).otherwise(F.col("doc")).alias("component_id"),
+        F.col("id").alias("row"), F.when(linked, F.col("component_row")).otherwise(F.col("id")).alias("component_row"), "copies")
 
 
 def keep_one(docs: DataFrame, *, id="doc_id", text="text", **options) -> DataFrame:
     """Rows of ``docs`` with one document of each class, the one with the smallest id.
 
-    Repeated ids leave one row. Rows without an id all stay.
+    Rows that share an id are told apart by their texts. Rows without words are linked with
+    nothing and all stay.
     """
-    kept = near_duplicates(docs, id=id, text=text, **options).where("id = component_id")
-    keys = kept.select(F.col("id").alias("__llm_id"), F.col("version").alias("__llm_version"))
-    marked = docs.withColumn("__llm_id", F.col(id).cast("long")).withColumn("__llm_version", F.xxhash64(text))
-    one = marked.join(keys, ["__llm_id", "__llm_version"], "left_semi").dropDuplicates(["__llm_id", "__llm_version"])
-    return one.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.where(F.col(id).isNull()))
+    kept = near_duplicates(docs, id=id, text=text, **options).where("row = component_row")
+    keys = kept.select(F.col("id").alias("__llm_id"), F.col("version").alias("__llm_version"), (F.col("n_shingles") > 0).alias("__llm_linked"))
+    given = docs.withColumn("__llm_text", F.xxhash64(text))
+    met = given.join(keys, F.col(f"`{id}`").eqNullSafe(F.col("__llm_id")) & (F.col("__llm_text") == F.col("__llm_version")))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    one = met.where("__llm_linked").dropDuplicates(["__llm_id", "__llm_version"]).select(*columns)
+    return one.union(met.where("not __llm_linked").select(*columns))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructType
 
-from sentilake.llm.common import OWN
+from sentilake.llm.common import OWN, slices
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *[f"{p}-{k}" for k in KINDS for p in ("B", "I")])
@@ -93,10 +93,14 @@ CUES = {
 CUE_OF = {w: kind for kind, ws in CUES.items() for w in ws}
 
 
+#: Places (padded) that are decoded together.
+CELLS = 1 << 16
+
+
 def shape(word: str) -> str:
     """Letters as a or A, digits as 9, in runs of one, two or three and more (digits: up to five)."""
     out, last, run = [], "", 0
-    for c in word[:64]:
+    for c in word:
         k = "9" if "0" <= c <= "9" else "A" if c.isupper() else "a" if c.isalpha() else c if c in "@.-+()/:_#%$€=,\"'" else "?"
         run = run + 1 if k == last else 1
         last = k
@@ -344,8 +348,7 @@ def field_spans(texts: list[str], field: Field, margin: float) -> list[list[tupl
         for places, before, after in runs(t):
             work.append((i, places, field.scores(sequence_features([t[a:b] for a, b in places], before, after))))
     work.sort(key=lambda w: len(w[1]))
-    for k in range(0, len(work), 512):
-        part = work[k : k + 512]
+    for part in alike_long(work):
         paths, lead = viterbi([w[2] for w in part], field.steps, field.start)
         for (i, places, _), path, gain in zip(part, paths, lead):
             if gain >= margin:
@@ -353,6 +356,17 @@ def field_spans(texts: list[str], field: Field, margin: float) -> list[list[tupl
     return [sorted(f, key=lambda s: (KINDS.index(s[0]), s[1])) for f in found]
 
 
+def alike_long(work: list) -> Iterator[list]:
+    """Runs in order of length, together so many that their padded scores fit ``CELLS``."""
+    k = 0
+    while k < len(work):
+        end = k + 1
+        while end < len(work) and end - k < 512 and (end + 1 - k) * len(work[end][1]) <= CELLS:
+            end += 1
+        yield work[k:end]
+        k = end
+
+
 def _joined(text: str, places, path) -> Iterator[tuple[str, int, int]]:
     current = None
     for (a, b), label in [*zip(places, path), ((0, 0), 0)]:
@@ -379,7 +393,7 @@ def personal_data(docs: DataFrame, *, text="text", labelled=None, margin: float
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Field(*parts.value)
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("by_pattern", pa.bool_())]))
-        for batch in batches:
+        for batch in slices(batches, 256):
             texts = [t or "" for t in batch.column(OWN + "text").to_pylist()]
             rows = []
             for t, added in zip(texts, field_spans(texts, own, margin)):

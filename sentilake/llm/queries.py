@@ -73,7 +73,8 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates.near_duplicates(read_table(spark, sf_dir, "documents"), percent=85)
-    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+    rows = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return rows.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

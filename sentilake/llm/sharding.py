@@ -7,8 +7,7 @@ so their row counts are at most one apart (the ``rows`` law), and a shard's file
 from few buckets.
 
 Rules: a row's size is its UTF-8 bytes plus 8; NULL text has none. Rows that are equal
-in id and text share a bucket and are told apart by their other columns; rows equal in
-all columns are interchangeable. An empty table gives empty shards. Columns of the
+in all columns share a bucket and are interchangeable. An empty table gives empty shards. Columns of the
 input named like those added here give way to them.
 """
 
@@ -18,10 +17,11 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegerType, LongType, MapType, VariantType
 
 from sentilake.llm.common import with_columns_last
+from sentilake.operators.numbering import running_offsets
 
 OVERHEAD = 8
 
@@ -39,16 +39,15 @@ def external_shuffle(docs: DataFrame, shards: int = 24, *, id="doc_id", text="te
     """
     total = docs.agg(F.count("*"), F.coalesce(F.sum(row_size(text)), F.lit(0))).first()
     n, n_buckets = total[0], max(1, math.ceil(total[1] / bucket_bytes))
-    place = F.xxhash64(F.lit(seed), F.col(id), F.col(text))
     hashable = [F.col(f"`{c.name}`") for c in docs.schema if not isinstance(c.dataType, (MapType, VariantType))]
+    place = F.xxhash64(F.lit(seed), F.col(id), F.col(text), *hashable)
     scattered = with_columns_last(
         docs, size=row_size(text), __llm_bucket=F.pmod(place, F.lit(n_buckets)),
         __llm_place=place, __llm_tie=F.xxhash64(F.lit(seed), *hashable),
     )
     counts = scattered.groupBy("__llm_bucket").agg(F.count("*").alias("__llm_rows"))
     # One row per bucket; its places start after those of all earlier buckets.
-    earlier = W.orderBy("__llm_bucket").rowsBetween(W.unboundedPreceding, -1)
-    starts = counts.select("__llm_bucket", F.coalesce(F.sum("__llm_rows").over(earlier), F.lit(0)).alias("__llm_start"))
+    starts = running_offsets(counts, ["__llm_bucket"], "__llm_rows", "__llm_start").drop("__llm_rows")
 
     def arrange(rows: pa.Table, start: pa.Table) -> pa.Table:
         if rows.num_rows:

@@ -7,8 +7,8 @@ they stood) and ``block`` (bytes). From each response come
   set, the source's digests and all its headers, and its links, made absolute;
 * a ``conversion`` record (``text/plain``): the page's text, for HTML and plain text.
 
-Both name their source in ``WARC-Refers-To`` and keep its URI and date. Their ids are
-made from the source's id and their type, so a rerun makes the same ones. Block digests
+Both name their source in ``WARC-Refers-To`` and each other in ``WARC-Concurrent-To``, and
+keep the source's URI, date, payload digest and content type. Their ids are made from the source's id and their type, so a rerun makes the same ones. Block digests
 are SHA-1 in base 32. A source digest that does not fit the content is kept and reported.
 
 Rules: a NULL or empty block gives a metadata record without a status and no conversion.
@@ -170,6 +170,10 @@ def absolute(base: str | None, link: str) -> str:
         return link
 
 
+#: Comments and white space, then a page's first tag.
+LOOKS_HTML = re.compile(r"\ufeff?(?:\s++|<!--.*?-->|<\?.*?\?>)*+<(?:!doctype\s+html|html)\b", re.IGNORECASE | re.DOTALL)
+
+
 def derive_one(record_id, uri, date, headers, block) -> list[tuple]:
     block = block or b""
     record_id = record_id or made_id(uri, date, block)
@@ -180,7 +184,7 @@ def derive_one(record_id, uri, date, headers, block) -> list[tuple]:
     own = digest(raw)
     media = kind.split(";")[0].strip().lower()
     text, charset = text_of(body, kind) if block else ("", None)
-    is_html = media in ("text/html", "application/xhtml+xml") or not media and text[:512].lstrip().lower().startswith(("<!doctype html", "<html"))
+    is_html = media in ("text/html", "application/xhtml+xml") or not media and bool(LOOKS_HTML.match(text))
     title = language = None
     links: list[str] = []
     if is_html:
@@ -196,15 +200,19 @@ def derive_one(record_id, uri, date, headers, block) -> list[tuple]:
     lines += [("outlink", absolute(uri, link)) for link in links]
     plain = lambda s: " ".join(s.split())  # noqa: E731  no field may end its line
     meta = "".join(f"{plain(n)}: {plain(v)}\r\n" for n, v in lines).encode("utf-8", "replace")
-    out = [_record("metadata", record_id, uri, date, "application/warc-fields", meta, given or own, fits)]
-    if block and (is_html or media.startswith("text/")):
-        out.append(_record("conversion", record_id, uri, date, "text/plain; charset=utf-8", text.encode("utf-8", "replace"), given or own, fits))
+    readable = bool(block) and (is_html or media.startswith("text/"))
+    origin = [("WARC-Source-Payload-Digest", given or own), ("WARC-Source-Content-Type", plain(kind) or None)]
+    beside = lambda other: [("WARC-Concurrent-To", made_id(other, record_id))] if readable else []
+    out = [_record("metadata", record_id, uri, date, "application/warc-fields", meta, given or own, fits, [*beside("conversion"), *origin])]
+    if readable:
+        out.append(_record("conversion", record_id, uri, date, "text/plain; charset=utf-8", text.encode("utf-8", "replace"), given or own, fits,
+                           [*beside("metadata"), *origin]))
     return out
 
 
-def _record(kind, source, uri, date, content_type, block, source_digest, fits) -> tuple:
+def _record(kind, source, uri, date, content_type, block, source_digest, fits, more) -> tuple:
     own, own_digest = made_id(kind, source), digest(block)
-    pairs = [("WARC-Type", kind), ("WARC-Record-ID", own), ("WARC-Refers-To", source), ("WARC-Target-URI", uri), ("WARC-Date", date),
+    pairs = [("WARC-Type", kind), ("WARC-Record-ID", own), ("WARC-Refers-To", source), *more, ("WARC-Target-URI", uri), ("WARC-Date", date),
              ("WARC-Block-Digest", own_digest), ("Content-Type", content_type), ("Content-Length", str(len(block)))]
     headers = [{"name": n, "value": v} for n, v in pairs if v is not None]
     return own, kind, uri, date, headers, block, source, content_type, len(block), own_digest, source_digest, fits
@@ -252,36 +260,78 @@ def responses_from_pages(pages: DataFrame, *, url="url", html_column="html", dat
     return pages.select(F.col(url).cast("string").alias("url"), F.col(html_column).alias("html")).mapInArrow(wrap, SCHEMA)
 
 
+#: Where a gzip member begins, bytes unpacked at once, and the type of rows for what is no record.
+GZIP, PIECE, BROKEN = b"\x1f\x8b", 1 << 16, "broken"
+RECORD = re.compile(rb"(?<![^\n])WARC/[0-9]")
+
+
 def to_bytes(headers: list[tuple[str, str]], block: bytes) -> bytes:
     head = "WARC/1.1\r\n" + "".join(f"{n}: {v}\r\n" for n, v in headers)
     return head.encode("utf-8", "replace") + CRLF + block + CRLF + CRLF
 
 
 def parse(data: bytes) -> Iterator[tuple]:
-    """Records of a WARC file, plain or gzip (one member each or one for all); ends at a broken record."""
-    if data[:2] == b"\x1f\x8b":
-        parts = []
-        while data[:2] == b"\x1f\x8b":
-            member = zlib.decompressobj(31)
-            try:
-                parts.append(member.decompress(data))
-            except zlib.error:
-                break
-            data = member.unused_data
-        data = b"".join(parts)
+    """Records of a WARC file, plain or gzip (one member each or one for all).
+
+    What is no whole record comes as a row of type ``BROKEN`` with its bytes, up to the next
+    place where a record, or a gzip member, begins.
+    """
+    if data[:2] != GZIP:
+        yield from records_in(data)
+        return
+    at, held = 0, []
+    while at < len(data):
+        member, parts, place = zlib.decompressobj(31), [], at
+        try:
+            # In pieces, so that what follows the member is never copied as a whole.
+            while not member.eof and place < len(data):
+                parts.append(member.decompress(data[place : place + PIECE]))
+                place += PIECE
+            whole = member.eof
+        except zlib.error:
+            whole = False
+        if whole:
+            held += parts
+            place = min(place, len(data)) - len(member.unused_data)
+            if data[place : place + 2] == GZIP or place >= len(data):
+                at = place
+                continue
+        yield from records_in(b"".join(held))
+        held = []
+        begin = place if whole else at + 2
+        at = data.find(GZIP + b"\x08", begin)
+        at = len(data) if at < 0 else at
+        yield broken(data[begin if whole else begin - 2 : at])
+    yield from records_in(b"".join(held))
+
+
+def broken(data: bytes) -> tuple:
+    return None, BROKEN, None, None, [], data
+
+
+def records_in(data: bytes) -> Iterator[tuple]:
     at = 0
-    while (at := data.find(b"WARC/", at)) >= 0:
-        end = END_OF_HEAD.search(data, at)
-        if not end:
+    while at < len(data):
+        begin = RECORD.search(data, at)
+        stretch = data[at : begin.start() if begin else len(data)]
+        if stretch.strip():
+            yield broken(stretch)
+        if not begin:
             return
-        pairs = fields(data[at : end.start()].partition(b"\n")[2])
+        at, end = begin.start(), END_OF_HEAD.search(data, begin.start())
+        pairs = fields(data[at : end.start()].partition(b"\n")[2]) if end else []
         size = first(pairs, "Content-Length")
         if size is None or not size.isdecimal() or end.end() + int(size) > len(data):
-            return
-        block = data[end.end() : end.end() + int(size)]
+            # Without a usable length the record ends where the next one begins.
+            following = RECORD.search(data, at + 5)
+            stop = following.start() if following else len(data)
+            yield broken(data[at:stop])
+            at = stop
+            continue
+        stop = end.end() + int(size)
         yield (first(pairs, "WARC-Record-ID"), first(pairs, "WARC-Type"), first(pairs, "WARC-Target-URI"), first(pairs, "WARC-Date"),
-               [{"name": n, "value": v} for n, v in pairs], block)
-        at = end.end() + int(size)
+               [{"name": n, "value": v} for n, v in pairs], data[end.end() : stop])
+        at = stop
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
