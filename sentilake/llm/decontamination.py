@@ -20,6 +20,7 @@ nothing. Repeated rows are matched each. Items with the same text are all report
 
 from __future__ import annotations
 
+import collections
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +48,8 @@ class Items:
         self.ids, self.numbers, self.words = ids, {}, []
         for t in texts:
             self.words.append(np.array([self.numbers.setdefault(w, len(self.numbers) + 1) for w in plain_words(t)], np.int64))
+        self.sizes = np.array([len(w) for w in self.words], np.int64)
+        self.counts = [collections.Counter(w.tolist()) for w in self.words]
 
     def number(self, text: str | None) -> np.ndarray:
         """Word numbers of a text; 0 for words that no item has."""
@@ -131,14 +134,17 @@ def passages(numbers: np.ndarray, items: Items, index, n: int) -> Iterator[tuple
     keys, owners, places = index
     g = grams(numbers, n)
     at = np.flatnonzero(g)
-    at = at[np.isin(g[at], keys)] if len(at) else at
+    if not len(at) or not len(keys):
+        return
+    lo = np.minimum(np.searchsorted(keys, g[at]), len(keys) - 1)
+    hit = keys[lo] == g[at]
+    at, lo = at[hit], lo[hit]
     if not len(at):
         return
-    lo, hi = np.searchsorted(keys, g[at]), np.searchsorted(keys, g[at], "right")
-    count = hi - lo
+    count = np.searchsorted(keys, g[at], "right") - lo
     which = np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     owner, start = owners[which], np.repeat(at, count) - places[which]
-    size = np.array([len(w) for w in items.words])[owner]
+    size = items.sizes[owner]
     pad = size // 3 + 4
     begin, end = np.maximum(start - pad, 0), np.minimum(start + size + pad, len(numbers))
     order = np.lexsort((begin, owner))
@@ -187,7 +193,8 @@ def _found(numbers, items: Items, index, n, share, least_words) -> dict[int, tup
     for item, begin, end in passages(numbers, items, index, n):
         words, passage = items.words[item], numbers[begin:end]
         need = max(share * len(words), min(least_words, len(words)))
-        if np.isin(words, passage).sum() < need:
+        counts = items.counts[item]
+        if sum(counts[w] for w in counts.keys() & set(passage.tolist())) < need:
             continue  # no alignment has more matches than this
         score, first, last = align(words, passage)
         if score >= need and score > best.get(item, (0,))[0]:
