@@ -15,12 +15,12 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a temporary folder.
+    Only a session whose executors are threads of the driver falls back to a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="sentilake-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
