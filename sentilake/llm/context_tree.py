@@ -26,6 +26,7 @@ all decisions cost one bit.
 from __future__ import annotations
 
 import collections
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -92,15 +93,14 @@ def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
 def count_part(texts: list[bytes], learn: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct runs of some texts, and how often the texts to learn from have them."""
     keys, counts = [], []
-    for part in in_steps(texts):
-        runs, size = text_runs([texts[i] for i in part], depth)
-        of = np.repeat(learn[part], size)
-        for used in (True, False):
-            key, n = np.unique(runs[of == used], return_counts=True)
+    for used in (True, False):
+        own = [texts[i] for i in np.flatnonzero(learn == used)]
+        for part in in_steps(own):
+            key, n = np.unique(text_runs([own[i] for i in part], depth)[0], return_counts=True)
             keys.append(key), counts.append(n * used)
-        if len(keys) > 16:
-            key, n = merged(keys, counts)
-            keys, counts = [key], [n]
+            if len(keys) > 16:
+                key, n = merged(keys, counts)
+                keys, counts = [key], [n]
     return merged(keys, counts)
 
 
@@ -300,8 +300,8 @@ def score_documents(docs: DataFrame, *, id="doc_id", text="text", folds: int = 7
         n, result = len(texts), np.zeros(len(texts))
         for part in in_steps(texts):
             runs, size = text_runs([texts[i] for i in part], depth)
-            at = np.repeat(np.arange(len(part)), size)
-            result[part] = np.bincount(at, looked_up(common, own, runs), len(part)) / -SCALE
+            # Every text has at least the run of its end.
+            result[part] = np.add.reduceat(looked_up(common, own, runs), np.cumsum(size) - size) / -SCALE
         distinct = distinct_words(texts)
         count_of = looked_up(common, own, word_keys(distinct))
         logs_of = dict(zip(distinct, np.log10(count_of + 1.0).tolist()))
@@ -356,12 +356,14 @@ def looked_up(common: Values, own: Values, keys: np.ndarray) -> np.ndarray:
 
 
 def distinct_words(texts: list[bytes]) -> list[bytes]:
-    return list(set(split_all(texts)))
+    seen: set[bytes] = set()
+    for t in texts:
+        seen.update(t[:-1].split())
+    return list(seen)
 
 
 def split_all(texts: list[bytes]) -> Iterator[bytes]:
-    for t in texts:
-        yield from t[:-1].split()
+    return itertools.chain.from_iterable(t[:-1].split() for t in texts)
 
 
 def word_keys(distinct: list[bytes]) -> np.ndarray:
