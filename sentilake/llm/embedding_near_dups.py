@@ -2,27 +2,29 @@
 
 Vectors of one label are compared by cosine. A coarse quantiser (k-means) deals unit
 vectors to inverted lists; what remains after subtracting the list's centre is coded in
-subspaces, one of 256 codewords each. A query visits its nearest list and every list
-whose border is within ``reach`` of it, looks the squared distance to each code up in
-its table of subspace distances, and passes on what may lie within the radius, given
-the exact length of the coding error that is stored with each code. What passes is
-reranked by the exact cosine in double precision, which alone decides.
-
-A neighbour of a query at the radius lies ``radius * cos(angle)`` nearer to a list's
-border; ``reach = radius`` would find all of them. The default, 0.6 of it, misses those
-whose difference points within 53 degrees of the border's normal: in 64 dimensions
-directions spread by 7 degrees about 90. Quantisers are fitted to at most about
-``sample_rows`` vectors, chosen by hash; every vector is indexed and is a query.
-
-Equal vectors of a label are one index entry with a count. An inverted list is cut into
-blocks of a bounded number of codes, and the queries that visit a block likewise, so a
-list that holds a third of all vectors is many tasks of one size. A task reports how
-many links each query has and one edge per query, not its pairs.
+subspaces, one of 256 codewords each. A vector goes to its nearest list and to every
+list whose border with that one is within half the radius: the list nearest to the
+middle of two vectors within the radius then holds them both, so no pair is lost. In a
+list a query looks the squared distance to each code up in its table of subspace
+distances and passes on what may lie within the radius, given the exact length of the
+coding error that is stored with each code. What passes is reranked by the exact cosine
+in double precision, which alone decides. Two vectors that meet in several lists are
+linked in the first of them only, and each link counts at both its ends.
+
+The number of lists grows with the vectors, one for ``rows_per_list`` of them, up to
+one for 16 vectors of the sample. Quantisers are fitted to at most about ``sample_rows``
+vectors, chosen by hash; every vector is indexed and is a query.
+
+Equal vectors of a label are one index entry with a count. A list is cut into blocks of
+a bounded number of entries, and a task compares two blocks, so a list that holds a
+third of all vectors is many tasks of one size. A task reports how many links each
+vector has and one edge per vector, not its pairs.
 
 Rules: NULL, empty and zero vectors, vectors with NULL, infinite or NaN components, and
 vectors without a label link with nothing. Vectors of different lengths are compared
-with those of their own length only. Rows without an id are left out; rows that share
-an id are one vector, the one whose values sort first.
+with those of their own length only. Every row is a vector of its own and gives a row,
+also rows that share an id or have none; a component is named by its smallest id, by
+NULL when none of its rows has one. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,10 +35,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sentilake.llm.common import connected_components
+from sentilake.llm.common import connected_components, slices
 from sentilake.session import materialize
 
-LISTS, SUBSPACES, CODEWORDS = 64, 8, 256
+ROWS_PER_LIST, SUBSPACES, CODEWORDS = 512, 8, 256
 BLOCK = 2048
 SLACK = 1e-9
 
@@ -100,13 +102,13 @@ class Quantiser:
         """Squared distance of each query's residual to every codeword, by subspace."""
         return [squared(self.part(q, j), b) for j, b in enumerate(self.books)]
 
-    def probes(self, x: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
-        """(vector, list) of every list whose border with the nearest one is within reach."""
+    def probes(self, x: np.ndarray, reach: float) -> np.ndarray:
+        """For each vector and list: is it the nearest one, or is their border within reach?"""
         d = squared(x, self.coarse)
         home = d.argmin(1)
         apart = np.sqrt(squared(self.coarse, self.coarse))[home]
         gap = (d - d[np.arange(len(x)), home][:, None]) / np.maximum(2 * apart, 1e-12)
-        return np.nonzero((gap <= reach) | (np.arange(len(self.coarse)) == home[:, None]))
+        return (gap <= reach) | (np.arange(len(self.coarse)) == home[:, None])
 
 
 def flat(roots: np.ndarray) -> np.ndarray:
@@ -117,86 +119,87 @@ def flat(roots: np.ndarray) -> np.ndarray:
 
 
 def near_vectors(vectors: DataFrame, *, id="vec_id", vector="embedding", label="label", least: float = 0.98,
-                 lists: int = LISTS, subspaces: int = SUBSPACES, sample_rows: int = 16384,
-                 reach: float | None = None, block: int = BLOCK, seed: int = 3) -> DataFrame:
-    """``(id, n_links, component_id)`` of every id."""
+                 lists: int | None = None, rows_per_list: int = ROWS_PER_LIST, subspaces: int = SUBSPACES,
+                 sample_rows: int = 16384, block: int = BLOCK, seed: int = 3) -> DataFrame:
+    """``(id, n_links, component_id)`` of every row."""
     radius = float(np.sqrt(2 - 2 * least))
-    reach = 0.6 * radius if reach is None else reach
-    rows = vectors.where(F.col(id).isNotNull()).select(
-        F.col(id).cast("long").alias("id"), F.col(label).cast("string").alias("label"),
-        F.col(vector).cast("array<double>").alias("v"))
-    rows = rows.groupBy("id").agg(F.min(F.struct("v", "label")).alias("r")).select("id", "r.v", "r.label")
+    kind = vectors.schema[vector].dataType.simpleString()
+    kind = kind if kind in ("array<float>", "array<double>") else "array<double>"
+    rows = vectors.select(F.col(id).cast("long").alias("id"), F.col(label).cast("string").alias("label"),
+                          F.col(vector).cast(kind).alias("v"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     sound = F.col("label").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0) & ~bad & F.exists("v", lambda x: x != 0)
     rows = materialize(rows.withColumn("sound", F.coalesce(sound, F.lit(False))), "vectors")
     good = rows.where("sound")
     # One index entry for equal vectors.
-    entries = good.groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("n"))
-    entries = materialize(entries.withColumn("width", F.size("v")), "entries")
+    entries = good.groupBy("label", "v").agg(F.min("id").alias("low_id"), F.count("*").alias("n"))
+    entries = materialize(entries.withColumns({"width": F.size("v"), "key": F.monotonically_increasing_id()}), "entries")
     links = None
     for width, n in sorted(tuple(r) for r in entries.groupBy("width").count().collect()):
-        found = materialize(_search(entries.where(F.col("width") == width), n, radius, reach, least, lists,
-                                    subspaces, sample_rows, block, seed), "pq_links")
+        k = lists or max(1, min(n // rows_per_list, sample_rows // 16))
+        found = materialize(_search(entries.where(F.col("width") == width), n, radius, least, k, subspaces,
+                                    sample_rows, block, seed), "pq_links")
         links = found if links is None else links.union(found)
     if links is None:
-        links = entries.select("id", F.lit(0).cast("long").alias("partners"), F.col("id").alias("low"))
-    classes = connected_components(links.select(F.col("id").alias("a"), F.col("low").alias("b")))
-    partners = links.groupBy("id").agg(F.sum("partners").alias("partners"))
-    entry = entries.join(partners, "id", "left").join(classes.withColumnRenamed("node", "id"), "id", "left").select(
+        links = entries.select("key", F.lit(0).cast("long").alias("partners"), F.col("key").alias("low"))
+    classes = materialize(connected_components(links.select(F.col("key").alias("a"), F.col("low").alias("b"))), "classes")
+    classes = classes.withColumnRenamed("node", "key")
+    lowest = entries.join(classes, "key").groupBy("component").agg(F.min("low_id").alias("component_id"))
+    partners = links.groupBy("key").agg(F.sum("partners").alias("partners"))
+    entry = entries.join(partners, "key", "left").join(classes.join(lowest, "component"), "key", "left").select(
         "label", "v", (F.coalesce("partners", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-        F.coalesce("component", "id").alias("component_id"))
+        F.coalesce("component_id", "low_id").alias("component_id"))
     return good.join(entry, ["label", "v"]).select("id", "n_links", "component_id").union(
         rows.where("not sound").select("id", F.lit(0).cast("long"), "id"))
 
 
-def _search(entries, n, radius, reach, least, lists, subspaces, sample_rows, block, seed) -> DataFrame:
-    """``(id, partners, low)`` rows: per query and block the links found, and an id it is linked with."""
-    chosen = entries.where(F.xxhash64(F.lit(seed), "id") / F.lit(2.0**64) + 0.5 < F.lit(min(1.0, sample_rows / n) + 1e-12))
-    quantiser = Quantiser.fit(unit(matrix(chosen.select("v").toArrow().column(0))), lists, subspaces, CODEWORDS, seed) if n else None
-    if quantiser is None or not len(quantiser.coarse):
+def _search(entries, n, radius, least, lists, subspaces, sample_rows, block, seed) -> DataFrame:
+    """``(key, partners, low)`` rows: for each entry and block the links found, and an entry it is linked with."""
+    chosen = entries.where(F.xxhash64(F.lit(seed), "v") / F.lit(2.0**64) + 0.5 < F.lit(min(1.0, sample_rows / n) + 1e-12))
+    quantiser = Quantiser.fit(unit(matrix(chosen.select("v").toArrow().column(0))), lists, subspaces, CODEWORDS, seed)
+    if not len(quantiser.coarse):
         quantiser = Quantiser.fit(unit(matrix(entries.select("v").limit(1).toArrow().column(0))), 1, 1, 1, seed)
     shared = entries.sparkSession.sparkContext.broadcast((quantiser.coarse, quantiser.books))
+    kind = entries.schema["v"].dataType.simpleString()
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Quantiser(*shared.value)
-        for b in batches:
-            for k in range(0, b.num_rows, 4096):
-                batch = b.slice(k, 4096)
-                if not batch.num_rows:
-                    continue
-                x = unit(matrix(batch.column(3)))
-                which, at = own.probes(x, reach)
-                home = nearest(x, own.coarse)
-                side = np.concatenate([np.zeros(len(x), np.int8), np.ones(len(which), np.int8)])
-                take = pa.array(np.concatenate([np.arange(len(x)), which]))
-                part = batch.take(take)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(side), pa.array(np.concatenate([home, at]).astype(np.int32)), *part.columns],
-                    names=["side", "list", "label", "id", "n", "v"])
-
-    dealt = entries.select("label", "id", "n", "v").mapInArrow(
-        deal, "side byte, list int, label string, id long, n long, v array<double>")
+        for part in slices(batches, 1024):
+            if not part.num_rows:
+                continue
+            x = unit(matrix(part.column(3)))
+            visits = own.probes(x, radius / 2 + SLACK)
+            which, at = np.nonzero(visits)
+            codes, error = own.encode(x[which] - own.coarse[at])
+            seen = pa.array([bits.tobytes() for bits in np.packbits(visits, axis=1)], pa.binary())
+            copies = part.take(pa.array(which))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at.astype(np.int32)), *copies.columns, pa.array([c.tobytes() for c in codes], pa.binary()),
+                 pa.array(error), seen.take(pa.array(which))],
+                names=["list", "label", "key", "n", "v", "codes", "error", "seen"])
+
+    dealt = entries.select("label", "key", "n", "v").mapInArrow(
+        deal, f"list int, label string, key long, n long, v {kind}, codes binary, error double, seen binary")
     dealt = materialize(dealt, "dealt")
-    counts = dealt.groupBy("label", "list").agg(
-        F.ceil(F.sum(F.expr("if(side = 0, 1, 0)")) / block).cast("int").alias("code_blocks"),
-        F.ceil(F.sum(F.expr("if(side = 1, 1, 0)")) / block).cast("int").alias("query_blocks")).where("code_blocks > 0")
-    placed = dealt.join(counts, ["label", "list"])
-    spot = F.xxhash64(F.lit(seed), "id", "side")
-    placed = placed.withColumn("c", F.when(F.col("side") == 0, F.array(F.pmod(spot, F.col("code_blocks")).cast("int"))).otherwise(
-        F.sequence(F.lit(0), F.col("code_blocks") - 1))).withColumn(
-        "q", F.when(F.col("side") == 1, F.array(F.pmod(spot, F.col("query_blocks")).cast("int"))).otherwise(
-            F.sequence(F.lit(0), F.col("query_blocks") - 1)))
-    placed = placed.withColumn("c", F.explode("c")).withColumn("q", F.explode("q"))
+    counts = dealt.groupBy("label", "list").agg(F.count("*").alias("members")).where("members > 1").select(
+        "label", "list", F.ceil(F.col("members") / block).cast("int").alias("blocks"))
+    placed = dealt.join(counts, ["label", "list"]).withColumn(
+        "own", F.pmod(F.xxhash64(F.lit(seed), "key"), F.col("blocks")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = placed.withColumn("c", F.greatest("own", "other")).withColumn("q", F.least("own", "other"))
 
     def scan(group: pa.Table) -> pa.Table:
-        own = Quantiser(*shared.value)
-        side, ids, n = (np.asarray(group.column(c)) for c in ("side", "id", "n"))
+        quantiser = Quantiser(*shared.value)
+        keys, n, own, error = (np.asarray(group.column(c)) for c in ("key", "n", "own", "error"))
         x = unit(matrix(group.column("v")))
-        codes_of, asks = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        centre = own.coarse[group.column("list")[0].as_py()]
-        codes, error = own.encode(x[codes_of] - centre)
-        partners, low = np.zeros(len(asks), np.int64), ids[asks].copy()
-        roots = np.arange(len(ids))  # links inside this task, as a forest
+        at, c, q = (group.column(name)[0].as_py() for name in ("list", "c", "q"))
+        codes, seen = (np.frombuffer(b"".join(group.column(name).to_pylist()), np.uint8).reshape(len(keys), -1)
+                       for name in ("codes", "seen"))
+        # Bits of the lists before this one: who shares one of them has met there.
+        earlier = np.packbits(np.arange(8 * seen.shape[1]) < at)
+        asks, answers = np.flatnonzero(own == q), np.flatnonzero(own == c)
+        partners = np.zeros(len(keys), np.int64)
+        roots = np.arange(len(keys))  # links inside this task, as a forest
 
         def root(i):
             while roots[i] != i:
@@ -204,38 +207,34 @@ def _search(entries, n, radius, reach, least, lists, subspaces, sample_rows, blo
                 i = roots[i]
             return i
 
-        place = np.unique(ids, return_index=True, return_inverse=True)
-        place = place[1][place[2]]  # a vector may be here as a code and as a query
         for k in range(0, len(asks), 256):
-            q = asks[k : k + 256]
-            tables = own.tables(x[q] - centre)
-            distance = np.zeros((len(q), len(codes)))
-            for j, table in enumerate(tables):
-                distance += table[:, codes[:, j]]
+            some = asks[k : k + 256]
+            against = answers[k:] if c == q else answers
+            distance = np.zeros((len(some), len(against)))
+            for j, table in enumerate(quantiser.tables(x[some] - quantiser.coarse[at])):
+                distance += table[:, codes[against, j]]
             # |q - x| >= |q - code| - error: nothing within the radius is passed over.
-            a, b = np.nonzero(np.sqrt(np.maximum(distance, 0)) <= radius + error[None, :] + 1e-6)
-            for m in range(0, len(a), 1 << 16):
-                i, j = q[a[m : m + (1 << 16)]], codes_of[b[m : m + (1 << 16)]]
-                good = ((x[i] * x[j]).sum(1) >= least - SLACK) & (ids[i] != ids[j])
-                i, j = i[good], j[good]
-                exact = (x[i] * x[j]).sum(1) >= least
-                i, j = i[exact], j[exact]
-                np.add.at(partners, np.searchsorted(asks, i), n[j])
-                s, t = flat(roots)[place[i]], roots[place[j]]
+            near = np.sqrt(np.maximum(distance, 0)) <= radius + error[against][None, :] + 1e-6
+            if c == q:
+                near &= some[:, None] < against[None, :]
+            a, b = np.nonzero(near)
+            for m in range(0, len(a), 1 << 15):
+                i, j = some[a[m : m + (1 << 15)]], against[b[m : m + (1 << 15)]]
+                linked = (x[i] * x[j]).sum(1) >= least
+                i, j = i[linked], j[linked]
+                first = ~(seen[i] & seen[j] & earlier).any(1)
+                i, j = i[first], j[first]
+                np.add.at(partners, i, n[j])
+                np.add.at(partners, j, n[i])
+                s, t = flat(roots)[i], roots[j]
                 new = np.unique(np.stack([s, t], 1)[s != t], axis=0)
                 for s, t in new.tolist():
                     s, t = root(s), root(t)
                     roots[max(s, t)] = min(s, t)
-        heads = flat(roots)[place]
-        smallest = {}
-        for h, i in zip(heads.tolist(), ids.tolist()):
-            smallest[h] = min(i, smallest.get(h, i))
-        tree = np.array([smallest[h] for h in heads.tolist()], np.int64)
-        # Codes that queries tied together are tied for other tasks as well.
-        used = np.concatenate([asks, codes_of[tree[codes_of] != ids[codes_of]]])
-        found = np.concatenate([partners, np.zeros(len(used) - len(asks), np.int64)])
-        keep = (found > 0) | (tree[used] != ids[used])
-        return pa.table({"id": ids[used][keep], "partners": found[keep], "low": tree[used][keep]})
-
-    return placed.select("side", "list", "label", "id", "n", "v", "c", "q").groupBy("label", "list", "c", "q").applyInArrow(
-        scan, "id long, partners long, low long")
+        heads, low = flat(roots), keys.copy()
+        np.minimum.at(low, heads, keys)
+        keep = partners > 0
+        return pa.table({"key": keys[keep], "partners": partners[keep], "low": low[heads][keep]})
+
+    return placed.select("list", "label", "key", "n", "v", "codes", "error", "seen", "own", "c", "q").groupBy(
+        "label", "list", "c", "q").applyInArrow(scan, "key long, partners long, low long")

@@ -13,6 +13,9 @@ from sentilake.llm import (
 from sentilake.llm.common import fold_column, read_table
 from sentilake.session import shared_dir
 
+#: How far a vector is turned towards its mirror image in turned_embeddings; the second is about the limit.
+TURNS = (0.1, 0.205)
+
 
 def op1_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored, values = context_tree.score_documents(read_table(spark, sf_dir, "documents"))
@@ -46,7 +49,21 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embedding_near_dups.near_vectors(read_table(spark, sf_dir, "embeddings"))
-    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def turned_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op5's operator over each vector, its double and two turned copies, so that there are links on both sides of the limit."""
+    table = read_table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e"), "label")
+
+    def turned(by: float):
+        return F.zip_with("e", F.reverse("e"), lambda x, y: x + y * F.lit(by))
+
+    copies = [F.col("e"), F.transform("e", lambda x: x * 2.0), *map(turned, TURNS)]
+    each = table.select("vec_id", "label", F.posexplode(F.array(*copies)).alias("copy", "embedding"))
+    each = each.select((F.col("vec_id") * 4 + F.col("copy")).alias("vec_id"), "embedding", "label")
+    found = embedding_near_dups.near_vectors(each)
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,7 +147,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = {f.__name__: f for f in (
-        op1_context_tree, op2_derivatives, op3_shards, op4_language, op5_embeddings, op6_tokens, op7_leaks, op8_personal_data,
+        op1_context_tree, op2_derivatives, op3_shards, op4_language, op5_embeddings, turned_embeddings, op6_tokens, op7_leaks, op8_personal_data,
         op9_near_duplicates, op10_mix, op11_repair, op12_merkle, op13_toxicity, pipeline)}
     return named
 
@@ -153,7 +170,8 @@ SELECT s.doc_id, any_value(s.n) AS n_shingles, min(r.seen) AS component_id, s.do
 FROM s JOIN r ON s.doc_id = r.doc_id GROUP BY s.doc_id
 """
 EMBEDDINGS_SQL = """
-WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+WITH RECURSIVE o AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+v AS (SELECT * FROM o),
 u AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0
   AND list_bool_and(list_transform(e, lambda x: coalesce(isfinite(x), false))) AND list_bool_or(list_transform(e, lambda x: x <> 0))),
 l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
@@ -164,10 +182,17 @@ FROM v JOIN r ON v.vec_id = r.vec_id GROUP BY v.vec_id
 """
 
 
+#: The same over each vector, its double and two turned copies.
+TURNED_SQL = EMBEDDINGS_SQL.replace("v AS (SELECT * FROM o)", """v AS (SELECT vec_id * 4 AS vec_id, label, e FROM o
+  UNION ALL SELECT vec_id * 4 + 1, label, list_transform(e, lambda x: x * 2) FROM o""" + "".join(f"""
+  UNION ALL SELECT vec_id * 4 + {k}, label, list_transform(e, lambda x, i: x + e[len(e) + 1 - i] * CAST({turn} AS DOUBLE)) FROM o"""
+  for k, turn in enumerate(TURNS, 2)) + ")", 1)
+
+
 def oracle_sql() -> dict[str, str]:
     import corpus_pipeline
 
-    found = {"op5_embeddings": EMBEDDINGS_SQL, "op9_near_duplicates": NEAR_DUPLICATES_SQL,
+    found = {"op5_embeddings": EMBEDDINGS_SQL, "turned_embeddings": TURNED_SQL, "op9_near_duplicates": NEAR_DUPLICATES_SQL,
              "op11_repair": oracle.repair_sql(), "op12_merkle": oracle.merkle_sql()}
     if corpus_pipeline.ORACLE_SQL:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -1,5 +1,7 @@
 """Every operator on nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,9 +116,11 @@ def test_vectors(spark):
             (7, [0.0, 0.0], 0), (8, [nan, 1.0], 0), (9, [inf, 1.0], 0), (10, [None, 1.0], 0), (11, [], 0), (12, [1.0, 0.0, 0.0], 0),
             (2, [2.0, 0.0], 0), (None, [1.0, 0.0], 0), (13, [1e-300, 0.0], 0), (14, [-1.0, 0.0], 0)]
     table = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, label int, n_links string")
-    got = {r.id: (r.n_links, r.component_id) for r in embedding_near_dups.near_vectors(table).collect()}
-    assert {i: got[i] for i in (1, 2, 3, 13)} == {i: (3, 1) for i in (1, 2, 3, 13)}
-    assert all(got[i] == (0, i) for i in (4, 5, 6, 7, 8, 9, 10, 11, 12, 14)) and len(got) == 14
+    got = [(r.id, r.n_links, r.component_id) for r in embedding_near_dups.near_vectors(table).collect()]
+    assert Counter(got) == Counter([(i, 5, 1) for i in (1, 2, 2, 3, 13, None)] + [(i, 0, i) for i in (4, 5, 6, 7, 8, 9, 10, 11, 12, 14)])
+    nameless = table.where("vec_id is null").union(table.where("vec_id is null")).union(table.where("vec_id = 14"))
+    got = [(r.id, r.n_links, r.component_id) for r in embedding_near_dups.near_vectors(nameless).collect()]
+    assert Counter(got) == Counter([(None, 1, None), (None, 1, None), (14, 0, 14)])
     assert embedding_near_dups.near_vectors(table.limit(0)).count() == 0
 
 
