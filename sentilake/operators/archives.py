@@ -7,8 +7,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from sentilake.functions.content import content_tie
 from sentilake.functions.keys import epoch_or_timestamp
 from sentilake.functions.sentiment import emotion_struct
+from sentilake.operators.labelling import BROADCAST_BYTES
+from sentilake.operators.positions import FILE, ROW, keep_rows, with_position
 from sentilake.schemas import LEGACY_POST_NAMES, POST
 
+#: Columns of a stored table that decide between copies.
+SIZE, TIE = "_comments", "_content"
+
 
 def is_object(v: Column) -> Column:
     return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
@@ -83,6 +88,32 @@ def dedupe_posts(
     return known.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
+def with_rank_columns(posts: DataFrame, size: Column | None = None) -> DataFrame:
+    """Add what decides between copies, so that a stored table can be deduplicated without
+    its texts: the number of comments and a hash of the whole row."""
+    n = comment_total(F.col("post_comments")) if size is None else size
+    return posts.withColumns({SIZE: n, TIE: content_tie(posts)})
+
+
+def best_places(stored: DataFrame, id_col: str = "post_id", tie_cols: Sequence[str] = ("processing_timestamp",),
+                only: Column | None = None) -> DataFrame:
+    """Where the copies that stay are, in a Parquet table written by :func:`with_rank_columns`."""
+    rows = with_position(stored)
+    narrow = (rows if only is None else rows.where(only)).select(*dict.fromkeys((id_col, *tie_cols, SIZE, TIE, FILE, ROW)))
+    return dedupe_posts(narrow, id_col, F.col(SIZE), (*tie_cols, TIE)).select(FILE, ROW)
+
+
+def dedupe_stored(stored: DataFrame, id_col: str = "post_id", tie_cols: Sequence[str] = ("processing_timestamp",),
+                  only: Column | None = None, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """:func:`dedupe_posts` of a Parquet table written by :func:`with_rank_columns`.
+
+    Copies are ranked by those columns, the id and ``tie_cols`` alone; texts are read once,
+    for the rows that stay, and neither shuffled nor sorted unless there are more rows than
+    ``broadcast_bytes`` of bitmaps hold. ``only`` restricts the rows.
+    """
+    return keep_rows(stored, best_places(stored, id_col, tie_cols, only), broadcast_bytes).drop(SIZE, TIE)
+
+
 def order_by_comments(posts: DataFrame, id_col: str = "post_id") -> DataFrame:
     """Most comments first; the id splits large runs of equal counts over tasks."""
     return posts.orderBy(comment_total(F.col("post_comments")).desc(), F.col(id_col))

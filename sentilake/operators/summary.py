@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sentilake.functions.sentiment import popularity
+from sentilake.operators.positions import FILE, ROW, fetch_rows, with_position
 from sentilake.operators.posts import post_struct
 from sentilake.schemas import EMOTIONS, TEMPERATURE, TOP_K
 
@@ -41,11 +42,13 @@ def softmax_weights(posts: DataFrame, group_cols: Sequence[str] = (),
 
 
 def emotion_totals(posts: DataFrame, group_cols: Sequence[str] = (),
-                   temperature: float = TEMPERATURE) -> DataFrame:
-    """Per group: sum of weights and of weighted emotion values, both mergeable."""
+                   temperature: float = TEMPERATURE, count: str | None = None) -> DataFrame:
+    """Per group: sum of weights and of weighted emotion values, both mergeable; ``count``
+    names a column for the number of posts."""
     u = popularity(F.col("post_score"), temperature)
     sums = [F.sum(u * F.col(f"sentiment.{e}")).alias(e) for e in EMOTIONS]
-    totals = scorable(posts).groupBy(*group_cols).agg(F.sum(u).alias("weight_total"), *sums)
+    number = [F.count("*").alias(count)] if count else []
+    totals = scorable(posts).groupBy(*group_cols).agg(*number, F.sum(u).alias("weight_total"), *sums)
     return totals.filter(F.col("weight_total").isNotNull())
 
 
@@ -148,19 +151,19 @@ def _nested(averages: DataFrame, full: DataFrame, keys: Sequence[str]) -> DataFr
 
 def community_partials(
     posts: DataFrame, temperature: float = TEMPERATURE, k: int = TOP_K, position_col: str = "listing_pos",
-    community_col: str = "post_subreddit", key_col: str = "post_id",
+    community_col: str = "post_subreddit", carry: Sequence[str] = ("post_id",),
 ) -> tuple[DataFrame, DataFrame]:
     """(sums, top ``k`` posts per emotion) of each community; both can be merged over any
     set of communities, also with one of them twice."""
     keys = [community_col]
-    top = rank_strengths(strengths(posts, keys, temperature, position_col, [key_col]), keys, k, position_col)
+    top = rank_strengths(strengths(posts, keys, temperature, position_col, carry), keys, k, position_col)
     return emotion_totals(posts, keys, temperature), top.drop("rank")
 
 
 def category_summary(
     posts: DataFrame, taxonomy: DataFrame, group_cols: Sequence[str] = (), temperature: float = TEMPERATURE,
     k: int = TOP_K, position_col: str = "listing_pos", run_order: bool = True, details: DataFrame | None = None,
-    community_col: str = "post_subreddit", key_col: str = "post_id",
+    community_col: str = "post_subreddit", key_col: str = "post_id", stored: bool = False,
 ) -> DataFrame:
     """:func:`sentiment_summary` of posts under their categories, by the taxonomy's columns
     ``group_cols``; without any, of all of them together.
@@ -168,10 +171,12 @@ def category_summary(
     A community in two categories weighs in both. Only its sums and its top posts meet the
     taxonomy, never its posts. Equal strengths rank by the run's order (category, community,
     ``position_col``) or, without ``run_order``, by ``position_col`` alone. ``posts`` has one
-    row per ``key_col``.
+    row per ``key_col``. With ``stored`` it is a Parquet table as written: winners carry their
+    places in it, texts are read from the winners' files only, and keys need not be unique.
     """
     keys = list(group_cols)
-    sums, top = community_partials(posts, temperature, k, position_col, community_col, key_col)
+    carry = [key_col, FILE, ROW] if stored else [key_col]
+    sums, top = community_partials(with_position(posts) if stored else posts, temperature, k, position_col, community_col, carry)
     tax = taxonomy.withColumnRenamed("subreddit", community_col)
     merged = sums.join(tax, community_col).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("weight_total", *EMOTIONS)])
     averages = normalize_totals(merged.where("weight_total is not null"))
@@ -182,9 +187,9 @@ def category_summary(
         winners = best.join(live, keys)
     else:
         winners = best.withColumn("weight_total", live.select("weight_total").scalar()).filter("weight_total is not null")
-    winners = winners.select(*keys, "emotion", "rank", key_col, (F.col("strength") / F.col("weight_total")).alias("contribution"))
+    winners = winners.select(*keys, "emotion", "rank", *carry, (F.col("strength") / F.col("weight_total")).alias("contribution"))
     bounded = (lambda df: df) if keys else F.broadcast  # at most 6 * k rows without groups
-    full = posts.join(bounded(winners), key_col)
+    full = fetch_rows(posts, winners.drop(key_col)) if stored else posts.join(bounded(winners), key_col)
     if details is not None:
         extra = [c for c in details.columns if c not in full.columns]
         full = details.select(key_col, *extra).join(bounded(full), key_col)

@@ -286,6 +286,11 @@ def queries() -> dict[str, str]:
             QUALIFY row_number() OVER (PARTITION BY hour_key ORDER BY ts DESC) = 1""",
         "q_history_rollup": f"""WITH {HISTORY} SELECT {shown("date_trunc('day', ts)")} AS day, count(*) AS n_rows,
             {each("round(avg({e}), 6) AS {e}")} FROM hist GROUP BY 1""",
+        "q_history_totals": f"""WITH {SCORED}, k AS (SELECT *, pow(1 + score, 1 / 1.5) AS u, {created("doc_id")} AS made FROM scored WHERE score > 0),
+            p AS (SELECT *, unnest(['hour', 'day', 'week', 'month']) AS level FROM k),
+            s AS (SELECT level, date_trunc(level, made) AS start, count(*) AS n_posts, {each("sum(u * {e}) AS {e}")} FROM p GROUP BY 1, 2)
+            SELECT level, {shown("start")} AS period, n_posts,
+                {each("round({e} / CASE WHEN " + each("{e}", " + ") + " = 0 THEN 1 ELSE " + each("{e}", " + ") + " END, 6) AS {e}")} FROM s""",
         "q_fix_timestamps": f"""SELECT event_id, {shown("ts")} AS ts,
             CASE WHEN event_type IN ('click', 'view') THEN {shown(NOW)} ELSE {shown("ts")} END AS updated FROM events""",
         "q_warehouse_shape": f"""{SENTIMENT} SELECT emotion, rank, post_id, CAST(least(length(text), 1024) AS INTEGER) AS preview_chars,
@@ -303,6 +308,11 @@ def queries() -> dict[str, str]:
             SELECT strftime(made, '%Y%m%d%H') AS hour_id, count(*) AS n_posts,
                    strftime(max(made), '%Y-%m-%dT%H:%M:%S+00:00') AS archived_at, count(*) AS n_stored FROM p GROUP BY 1""",
         "q_dedupe_posts": f"WITH {COPIES} SELECT post_id, id, n_comments FROM uniq",
+        "q_dedupe_stored": f"""WITH {COPIES} SELECT post_id, id, n_comments, post_id AS text_md5 FROM uniq""",
+        "q_dataset_sketch": f"""WITH {COPIES}, n AS (SELECT post_id, CAST(regexp_extract(source, '[0-9]+') AS INTEGER) AS n
+                FROM copies JOIN documents USING (doc_id))
+            SELECT 'all' AS archives, count(*) AS n_rows, count(DISTINCT post_id) AS n_ids, true AS within_error FROM n
+            UNION ALL SELECT 'even', count(*), count(DISTINCT post_id), true FROM n WHERE n % 2 = 0""",
         "q_dataset_stats": f"""WITH {COPIES} SELECT count(*) AS n_rows, count(DISTINCT post_id) AS n_ids, 'archives' AS stage FROM copies
             UNION ALL SELECT count(*), count(DISTINCT post_id), 'dataset' FROM uniq""",
         "q_clean_up": """SELECT DISTINCT stage, source FROM documents, (VALUES ('failed'), ('built'), ('cleaned'), ('again')) s(stage)

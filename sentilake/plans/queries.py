@@ -15,7 +15,7 @@ from sentilake.functions.parsing import parse_scores
 from sentilake.functions.sentiment import labels_to_struct, normalize_sentiment
 from sentilake.functions import text as X
 from sentilake.operators import archives as A, labelling as L, posts as P
-from sentilake.operators import scoring as S, summaries as H, taxonomy as T
+from sentilake.operators import scoring as S, sketches as K, summaries as H, taxonomy as T, totals as HT
 from sentilake.operators.summary import category_summary, sentiment_summary, softmax_weights, top_contributors
 from sentilake.plans import inputs as I
 from sentilake.plans.runs import build_dataset, clean_up_source, label_records, label_run, past_days, sentiment_run, warehouse_days
@@ -340,6 +340,17 @@ def q_history_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.select(shown(F.col("period_start")).alias("day"), "n_rows", *[r6(e).alias(e) for e in EMOTIONS])
 
 
+def q_history_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours, days, weeks and months from hourly sums, some of which came late."""
+    path = shared_dir(use_utc(spark), "totals")
+    posts = scored(spark, sf_dir).select("post_id", "post_created_ts", "post_score", "sentiment")
+    late = F.col("post_id").cast("long") % 3 == 0
+    for part in (~late, late):
+        HT.append_totals(HT.hourly_totals(posts.where(part)), path)
+    rolled = HT.rollup_totals(spark.read.parquet(path))
+    return rolled.select("level", shown(F.col("period_start")).alias("period"), "n_posts", *[r6(e).alias(e) for e in EMOTIONS])
+
+
 def q_fix_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clicks and views were stored as text two hours ahead of UTC."""
     as_text = F.col("event_type").isin("click", "view")
@@ -455,6 +466,29 @@ def q_dedupe_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _unique(spark, sf_dir).select("post_id", "id", "n_comments")
 
 
+def q_dedupe_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies ranked without their texts, which are read for the rows that stay."""
+    ranked = A.with_rank_columns(_copies(spark, sf_dir), F.col("n_comments"))
+    kept = A.dedupe_stored(materialize(ranked, "copies"), tie_cols=("position",))
+    return kept.select("post_id", "id", "n_comments", F.md5("post_text").alias("text_md5"))
+
+
+def q_dataset_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct ids of all archives and of one in two, from a stored sketch per archive."""
+    path = shared_dir(use_utc(spark), "sketches")
+    copies = _copies(spark, sf_dir)
+    K.id_sketches(copies, ["post_subreddit"]).write.parquet(path)
+    n = F.regexp_extract("post_subreddit", "[0-9]+", 0).cast("int")
+
+    def one(name: str, chosen: Column) -> DataFrame:
+        exact = copies.where(chosen).agg(F.count_distinct("post_id"))
+        got = K.sketched_stats(spark.read.parquet(path).where(chosen)).withColumn("exact", exact.scalar())
+        near = F.abs(F.col("n_ids") - F.col("exact")) <= 4 * K.STANDARD_ERROR * F.col("exact")
+        return got.select(F.lit(name).alias("archives"), "n_rows", F.col("exact").alias("n_ids"), near.alias("within_error"))
+
+    return one("all", n.isNotNull()).unionByName(one("even", n % 2 == 0))
+
+
 def q_dataset_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(use_utc(spark), "dataset")
     KA.publish_dataset(_unique(spark, sf_dir), root, "r1")

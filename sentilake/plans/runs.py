@@ -1,20 +1,22 @@
 """Whole jobs: the sentiment run, the history reads, the dataset build and the labelling run."""
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from sentilake.functions.text import comment_bodies, prepare_for_input
 from sentilake.operators.archives import (
-    dedupe_posts, is_object, order_by_comments, other_fields, posts_from_records, split_missing_ids,
+    SIZE, TIE, dedupe_stored, is_object, order_by_comments, other_fields, posts_from_records, split_missing_ids, with_rank_columns,
 )
 from sentilake.operators.labelling import (
     COMPLETED, IN_PROGRESS, PENDING, annotation_metrics, annotation_progress, annotation_records, assign_shards,
     index_rows, pending_by_index, shard_manifest,
 )
 from sentilake.operators.posts import quality_posts, stamp_run
+from sentilake.operators.sketches import id_sketches, sketched_stats
 from sentilake.operators.scoring import Generator, Scorer, annotate_posts, lexicon_scores, score_emotions
 from sentilake.operators.summaries import (
     history_by_day_range, recent_history, to_legacy_summary, to_new_summary, valid_counted,
@@ -64,7 +66,7 @@ def sentiment_run(
     listings = listings.join(taxonomy.select("subreddit"), "subreddit", "left_semi")
     kept = quality_posts(listings, now, method, num_posts, num_comments, buffer, comments=comments)
     scored = materialize(stamp_run(score_posts(kept, scorer, **limits), now), "scored")
-    summary = materialize(category_summary(scored, taxonomy), "summary")
+    summary = materialize(category_summary(scored, taxonomy, stored=True), "summary")
     if snapshot:
         write_current(summary, f"{root}/current", now)
     if hourly:
@@ -124,12 +126,13 @@ def build_dataset(spark: SparkSession, archives: str, target: str, revision: str
     state = F.when(F.col("failed"), "failed").when(F.col("record").isNull(), "empty") \
         .when(~is_object(F.col("record")), "non_object").otherwise("post")
     parsed = posts_from_records(records.withColumns({"state": state, "extra": other_fields(F.col("record"))}), keep=("file_path", "state", "extra"))
-    parsed = materialize(parsed, "parsed")
-    posts = parsed.filter("state = 'post'").drop("state", "file_path")
-    known, unnamed = split_missing_ids(posts)
-    unique = dedupe_posts(known)
+    parsed = materialize(with_rank_columns(parsed), "parsed")
+    _, unnamed = split_missing_ids(parsed.filter("state = 'post'").drop("state", "file_path", SIZE, TIE))
+    unique = dedupe_stored(parsed, only=F.col("state") == "post").drop("state", "file_path")
     publish_dataset(order_by_comments(unique) if ordered else unique, target, revision)
     unnamed.write.mode("overwrite").parquet(f"{target}/quarantine/revision={revision}")
+    # One small row per archive, so that counts over any set of them need no second read.
+    id_sketches(parsed.filter("state = 'post'"), ["file_path"]).write.mode("overwrite").parquet(f"{target}/sketches/revision={revision}")
     published = read_dataset(spark, target, revision).agg(F.count("*").alias("published"))
     whole = parsed.groupBy("file_path").agg(F.max(F.col("state") == "failed").alias("failed"))
     journal.join(whole, "file_path", "left").write.mode("overwrite").parquet(f"{target}/journal/revision={revision}")
@@ -146,6 +149,16 @@ def build_dataset(spark: SparkSession, archives: str, target: str, revision: str
     return spark.read.schema(report.schema).parquet(f"{target}/reports/revision={revision}")
 
 
+def archive_stats(spark: SparkSession, target: str, revisions: Sequence[str], only: Column | None = None) -> DataFrame:
+    """Posts and distinct ids in all archives of some builds, from their stored sketches alone.
+
+    An archive that several builds read counts once; ``only`` chooses archives by ``file_path``.
+    """
+    parts = reduce(DataFrame.unionByName, [spark.read.parquet(f"{target}/sketches/revision={r}") for r in revisions])
+    once = parts.groupBy("file_path").agg(F.max_by(F.struct("n_rows", "ids"), "n_rows").alias("s")).select("file_path", "s.*")
+    return sketched_stats(once if only is None else once.where(only))
+
+
 def clean_up_source(spark: SparkSession, target: str, revision: str) -> dict[str, int]:
     """Delete the archives of a published build; returns how many were removed and kept.
 
