@@ -2,11 +2,14 @@
 
 Everything is built-in regular-expression work except NFKC and HTML5 entity
 decoding, which Spark has no function for. Those two share one Arrow UDF hop, and
-only texts that can change are sent through it: pure ASCII text without an
-ampersand is handed over as NULL and taken from the original column.
+only texts that can change are sent through it, of an array only those elements: text
+without an ampersand or a character that NFKC changes, joins to others or puts in another
+order is handed over as NULL and taken from the original column.
 """
 
+import functools
 import html
+import sys
 import unicodedata
 
 import pandas as pd
@@ -30,7 +33,6 @@ QUOTE_MARKS = f"(?mdU)^>+{WS}*"
 MARKDOWN_LINK = r"\[([^\]]+)\]\([^)]+\)"
 BARE_URL = f"(?U)https?://{NOT_WS}+"
 NON_PRINTABLE = r"[^\x20-\x7e]+"
-NON_ASCII = r"[^\x00-\x7f]"
 
 # Text put to the annotator.
 PROMPT_INTRO = "You are an expert annotator of emotional tone in Reddit content."
@@ -76,10 +78,40 @@ def _decoder(nfkc: bool, nbsp: bool, entities: bool, many: bool = False):
     return decode_one
 
 
+@functools.cache
+def unstable_characters(gap: int = 4) -> str:
+    """A pattern for characters without which a text is its own NFKC form.
+
+    They are those that NFKC replaces, those that combine and so may change places, and
+    those that may join to the character before. Ranges that lie close together are put
+    together, which sends a few texts more. ASCII and C1 characters are stable.
+    """
+    joining = {*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)}  # Hangul vowels and finals, composed by rule
+    changed = set()
+    for code in range(0xA0, sys.maxunicode + 1):
+        c = chr(code)
+        if 0xD800 <= code <= 0xDFFF:
+            continue
+        if unicodedata.combining(c) or unicodedata.normalize("NFKC", c) != c:
+            changed.add(code)
+        parts = unicodedata.decomposition(c).split()
+        if len(parts) == 2 and not parts[0].startswith("<"):
+            joining.add(int(parts[1], 16))
+    ranges = []
+    for code in sorted(changed | joining):
+        # Letters with accents lie between the first ones, so those stay apart.
+        if ranges and code - ranges[-1][1] <= (gap if ranges[-1][0] > 0x250 else 1):
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    inside = "".join(rf"\x{{{low:x}}}-\x{{{high:x}}}" for low, high in ranges)
+    return rf"[\x{{a0}}-\x{{10ffff}}&&[{inside}]]"
+
+
 def _may_change(c: Column, nfkc: bool, entities: bool) -> Column:
     touched = F.lit(False)
     if nfkc:
-        touched = touched | c.rlike(NON_ASCII)
+        touched = touched | c.rlike(unstable_characters())
     if entities:
         touched = touched | c.contains("&")
     return touched
@@ -171,8 +203,10 @@ def clean_text(
 
 def clean_texts(texts: Column) -> Column:
     """``clean_text`` with default flags on every element, in one UDF hop per row."""
-    send = F.when(F.exists(texts, lambda t: _may_change(t, True, True)), texts)
-    decoded = F.coalesce(_decoder(True, True, True, many=True)(send), texts)
+    send = F.transform(texts, lambda t: F.when(_may_change(t, True, True), t))
+    some = F.when(F.exists(send, lambda t: t.isNotNull()), send)
+    changed = _decoder(True, True, True, many=True)(some)
+    decoded = F.coalesce(F.zip_with(changed, texts, lambda new, old: F.coalesce(new, old)), texts)
     return F.transform(decoded, lambda t: _clean_decoded(t, True, True, True, False, True))
 
 

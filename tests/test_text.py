@@ -1,5 +1,8 @@
 """Cleaning rules on inputs of our own, with literal results."""
 
+import random
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,3 +71,33 @@ def test_lengths_count_characters(spark):
     assert [len(x) for x in column(spark, X.truncate_chars, ["ß" * 700, "short"])] == [512, 5]
     assert column(spark, lambda c: X.truncate_chars(c, None), ["ß" * 700]) == ["ß" * 700]
     assert [x and len(x) for x in column(spark, X.text_preview, ["ö" * 1500, "", None])] == [1024, None, None]
+
+
+STABLE = ["naïve Straße “quoted” — ‘x’ • €5", "Ωμέγα και άλφα".replace("ά", "ά"), "Привет, мир", "日本語のテキスト", "한국어", "żółw", "é", "👍🏽 ok", ""]
+UNSTABLE = ["Ⅷ", "ｶﾞ", "e\u0301", "½", "a\u00a0b", "ﬁ", "\u1100\u1161", "x\u0323\u0307", "²", "\u2026", "\u212b", "\U0001d400"]
+
+
+def test_only_texts_that_nfkc_can_change_are_sent(spark):
+    df = spark.createDataFrame([(t,) for t in STABLE + UNSTABLE], "t string")
+    sent = {r.t for r in df.where(X._may_change(F.col("t"), True, False)).collect()}
+    assert set(UNSTABLE) <= sent and not sent & set(STABLE[:1] + STABLE[2:])
+    assert {r.t: r.n for r in df.select("t", X.normalize_unicode(F.col("t")).alias("n")).collect()} == \
+        {t: unicodedata.normalize("NFKC", t) for t in STABLE + UNSTABLE}
+
+
+def test_texts_that_are_not_sent_are_their_own_nfkc_form(spark):
+    """Every character alone, and mixtures of letters, marks and Hangul parts in any order."""
+    rng = random.Random(4)
+    every = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c <= 0xDFFF]
+    marks = [c for c in every if unicodedata.category(c)[0] == "M"]
+    pools = [marks, every, [chr(c) for c in range(0x41, 0x600)], [chr(c) for c in range(0x1100, 0x1200)], [chr(c) for c in range(0x900, 0xE00)]]
+    mixed = ["".join(rng.choice(rng.choice(pools)) for _ in range(rng.choice([2, 3]))) for _ in range(60_000)]
+    df = spark.createDataFrame([(t,) for t in every + mixed], "t string").repartition(8)
+    kept = [r.t for r in df.where(~X._may_change(F.col("t"), True, False)).collect()]
+    assert len(kept) > 100_000 and [t for t in kept if unicodedata.normalize("NFKC", t) != t] == []
+
+
+def test_elements_of_an_array_are_sent_one_by_one(spark):
+    rows = [(["plain", "½ &amp; é", None, "ｶﾞ"],), ([None],), ([],), (None,), (["é", "no change"],)]
+    got = [r[0] for r in spark.createDataFrame(rows, "t array<string>").coalesce(1).select(X.clean_texts(F.col("t"))).collect()]
+    assert got == [["plain", "1⁄2 & é", None, "ガ"], [None], [], None, ["é", "no change"]]
