@@ -265,6 +265,14 @@ def queries() -> dict[str, str]:
         "q_label_run": f"""WITH {PREPARED}, n AS (SELECT doc_id, length({PROMPT.replace("|| t ||", "|| whole ||")}) AS len FROM prep)
             SELECT CAST(doc_id AS VARCHAR) AS id, printf('shard-%06d', CAST((row_number() OVER (ORDER BY doc_id) - 1) // 256 + 1 AS INTEGER)) AS shard_id,
                    'fixed' AS model_id, 'w0' AS worker_id, {generated("len")} FROM n""",
+        "q_label_progress": """WITH r AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents),
+            s AS (SELECT i // 64 AS shard, count(*) AS n, count(*) FILTER (i < 64 OR i % 3 = 0 AND i < 320) AS done FROM r GROUP BY 1)
+            SELECT CASE WHEN done = n THEN 'COMPLETED' WHEN done > 0 THEN 'IN_PROGRESS' ELSE 'PENDING' END AS status,
+                   count(*) AS n_shards, CAST(sum(done) AS BIGINT) AS records_done FROM s GROUP BY 1""",
+        "q_finish_labels": f"""WITH {PREPARED}, n AS (SELECT doc_id, length({PROMPT.replace("|| t ||", "|| whole ||")}) AS len FROM prep)
+            SELECT CAST(doc_id AS VARCHAR) AS post_id, printf('shard-%06d', CAST((row_number() OVER (ORDER BY doc_id) - 1) // 256 + 1 AS INTEGER)) AS shard_id,
+                   md5(text) AS text_md5, {generated("len")} FROM n JOIN documents USING (doc_id)""",
+        "q_published_order": f"""WITH {COPIES} SELECT row_number() OVER (ORDER BY n_comments DESC, doc_id) - 1 AS row_idx, id, n_comments FROM copies""",
         "q_build_report": """WITH d AS (SELECT doc_id % 4 AS n FROM documents)
             SELECT 1 AS archives, count(*) FILTER (n = 3) AS failed, count(*) + count(*) FILTER (n = 1) AS records,
                    count(*) FILTER (n = 3) AS non_objects, count(*) FILTER (n = 2) AS quarantined,

@@ -18,7 +18,7 @@ from sentilake.operators import archives as A, labelling as L, posts as P
 from sentilake.operators import scoring as S, sketches as K, summaries as H, taxonomy as T, totals as HT
 from sentilake.operators.summary import category_summary, sentiment_summary, softmax_weights, top_contributors
 from sentilake.plans import inputs as I
-from sentilake.plans.runs import build_dataset, clean_up_source, label_records, label_run, past_days, sentiment_run, warehouse_days
+from sentilake.plans.runs import build_dataset, clean_up_source, finish_labels, label_progress, label_records, label_run, past_days, sentiment_run, warehouse_days
 from sentilake.schemas import EMOTIONS, SCORES, SENTIMENT
 from sentilake.session import materialize, shared_dir, spread, use_utc
 from sentilake.sinks import archives as KA, labelling as KL, summaries as KS
@@ -473,6 +473,14 @@ def q_dedupe_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("post_id", "id", "n_comments", F.md5("post_text").alias("text_md5"))
 
 
+def q_published_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row numbers of a dataset published by number of comments, most first."""
+    root = shared_dir(use_utc(spark), "ordered")
+    posts = _copies(spark, sf_dir).withColumn("post_comments", F.expr("array_repeat(named_struct('body', 'c'), cast(n_comments as int))"))
+    KA.publish_dataset(A.order_by_comments(posts, "position"), root, "r1")
+    return L.index_rows(R.read_dataset(spark, root, "r1")).select("row_idx", "id", "n_comments")
+
+
 def q_dataset_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct ids of all archives and of one in two, from a stored sketch per archive."""
     path = shared_dir(use_utc(spark), "sketches")
@@ -682,6 +690,26 @@ def q_label_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", "shard_id", "model_id", "worker_id", *[F.col(f"scores.{e}").alias(e) for e in EMOTIONS])
 
 
+def q_label_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Progress of a run whose first shard is done and whose others have a row in three."""
+    root = shared_dir(use_utc(spark), "label-progress")
+    KA.publish_dataset(P.conform_posts(I.posts(spark, sf_dir)).orderBy(F.col("post_id").cast("bigint")), f"{root}/dataset", "r1")
+    label_run(spark, f"{root}/dataset", "r1", f"{root}/run", RUN_ID, I.NOW, load_length_generator, MODEL_ID, WORKER_ID,
+              shard_size=64, chunk_size=16, only=F.expr("row_idx < 64 or row_idx % 3 = 0 and row_idx < 320"), post_limit=None)
+    return label_progress(spark, f"{root}/run", RUN_ID, I.NOW).select("status", "n_shards", "records_done")
+
+
+def q_finish_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posts of a run made in two calls, each with its scores."""
+    root = shared_dir(use_utc(spark), "finish-labels")
+    KA.publish_dataset(P.conform_posts(_discussed(spark, sf_dir)).orderBy(F.col("post_id").cast("bigint")), f"{root}/dataset", "r1")
+    for only in (F.col("row_idx") % 2 == 0, None):
+        label_run(spark, f"{root}/dataset", "r1", f"{root}/run", RUN_ID, I.NOW, load_length_generator, MODEL_ID, WORKER_ID,
+                  shard_size=256, chunk_size=64, only=only, post_limit=None)
+    return finish_labels(spark, f"{root}/dataset", "r1", f"{root}/run", RUN_ID).select(
+        "post_id", "shard_id", F.md5("post_text").alias("text_md5"), *[F.col(f"scores.{e}").alias(e) for e in EMOTIONS])
+
+
 def q_annotation_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = parse_scores(F.col("raw"))
     return L.annotation_metrics(raw_answers(spark, sf_dir).select(scores.alias("scores")))

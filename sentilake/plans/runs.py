@@ -218,6 +218,26 @@ def label_records(spark: SparkSession, target: str, run_id: str) -> DataFrame:
     return spark.read.schema(layout).json(f"{target}/records/run_id={run_id}").withColumn("run_id", F.lit(run_id))
 
 
+def finish_labels(spark: SparkSession, dataset: str, revision: str, target: str, run_id: str) -> DataFrame:
+    """The posts of a finished run with their scores, published as one dataset.
+
+    Rows meet their records by number, so posts without an id get theirs and posts that
+    share one get their own. A row that a lost worker left two records of takes one of
+    them, an answer that could be used before one that could not. While a shard has rows
+    without a record nothing is written.
+    """
+    one = label_records(spark, target, run_id).where("row_idx is not null").groupBy("row_idx").agg(
+        F.max(F.struct("scores", "model_id", "worker_id")).alias("r"), F.min("shard_id").alias("shard_id"))
+    one = materialize(one.select("row_idx", "shard_id", "r.*"), "answers")
+    tasks = read_shard_tasks(spark, target, run_id).join(one.groupBy("shard_id").agg(F.count("*").alias("n")), "shard_id", "left")
+    short = tasks.where(F.coalesce("n", F.lit(0)) < F.col("end_idx") - F.col("start_idx") + 1).count()
+    if short:
+        raise ValueError(f"run {run_id} has {short} unfinished shards")
+    rows = index_rows(read_dataset(spark, dataset, revision)).join(one, "row_idx", "left")
+    publish_dataset(rows, f"{target}/combined", run_id)
+    return read_dataset(spark, f"{target}/combined", run_id)
+
+
 def label_progress(spark: SparkSession, target: str, run_id: str, now: datetime) -> DataFrame:
     """Progress of a labelling run: the manifest with the records written so far."""
     counts = label_records(spark, target, run_id).groupBy("shard_id").agg(F.count("*").alias("n"))

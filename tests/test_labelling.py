@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from sentilake.operators import labelling as L
 from sentilake.operators.numbering import running_offsets
 from sentilake.operators.posts import conform_posts
-from sentilake.plans.runs import label_records, label_run
+from sentilake.plans.runs import finish_labels, label_progress, label_records, label_run
 from sentilake.schemas import SCORES
 from sentilake.sinks import archives as KA, labelling as KL
 from sentilake.sources import stores as R
@@ -116,3 +116,25 @@ def test_rows_without_an_id_are_labelled_once(spark, tmp_path):
         metrics = label_run(spark, f"{tmp_path}/set", "r1", f"{tmp_path}/run", "run", NOW, load, "m", "w", only=F.col("row_idx") < 9)
     assert metrics.first()["items_annotated"] == 3
     assert sorted(r["row_idx"] for r in label_records(spark, f"{tmp_path}/run", "run").collect()) == [0, 1, 2]
+
+
+def test_a_finished_run_is_published_once(spark, tmp_path):
+    posts = spark.createDataFrame([(None, "a"), ("x", "b"), (None, "c"), ("x", "d"), ("y", "e")], "post_id string, post_text string")
+    KA.publish_dataset(conform_posts(posts.coalesce(1)), f"{tmp_path}/set", "r1")
+    load = lambda: lambda prompts: ['{"joy": %d}' % (2 + "abcde".index(p[p.index("POST: ") + 6])) if "POST: " in p else "none" for p in prompts]
+    step = lambda only: label_run(spark, f"{tmp_path}/set", "r1", f"{tmp_path}/run", "run", NOW, load, "m", "w", shard_size=2, only=only)
+    step(F.col("row_idx") < 3)
+    assert {r["status"]: r["n_shards"] for r in label_progress(spark, f"{tmp_path}/run", "run", NOW).collect()} == \
+        {"COMPLETED": 1, "IN_PROGRESS": 1, "PENDING": 1}
+    with pytest.raises(ValueError, match="2 unfinished"):
+        finish_labels(spark, f"{tmp_path}/set", "r1", f"{tmp_path}/run", "run")
+    step(None)
+    # A second record of a row, as a lost worker leaves it.
+    label_records(spark, f"{tmp_path}/run", "run").where("row_idx = 1").withColumn("scores", F.lit(None).cast(SCORES)).drop("run_id") \
+        .write.mode("append").json(f"{tmp_path}/run/records/run_id=run")
+    rows = finish_labels(spark, f"{tmp_path}/set", "r1", f"{tmp_path}/run", "run").orderBy("row_idx").collect()
+    assert [(r["post_id"], r["post_text"], r["shard_id"]) for r in rows] == [
+        (None, "a", "shard-000001"), ("x", "b", "shard-000001"), (None, "c", "shard-000002"), ("x", "d", "shard-000002"), ("y", "e", "shard-000003")]
+    assert len({r["scores"]["joy"] for r in rows}) == 5 and all(r["model_id"] == "m" for r in rows)
+    with pytest.raises(Exception, match="(?i)exist"):
+        finish_labels(spark, f"{tmp_path}/set", "r1", f"{tmp_path}/run", "run")
