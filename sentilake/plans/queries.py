@@ -20,7 +20,7 @@ from sentilake.operators.summary import category_summary, sentiment_summary, sof
 from sentilake.plans import inputs as I
 from sentilake.plans.runs import build_dataset, clean_up_source, finish_labels, label_progress, label_records, label_run, past_days, sentiment_run, warehouse_days
 from sentilake.schemas import EMOTIONS, SCORES, SENTIMENT
-from sentilake.session import materialize, shared_dir, spread, use_utc
+from sentilake.session import input_bytes, materialize, shared_dir, spread, use_utc
 from sentilake.sinks import archives as KA, labelling as KL, summaries as KS
 from sentilake.sources import archives as RA, listings as RL, stores as R
 from sentilake.sources.taxonomy import read_taxonomy
@@ -28,6 +28,7 @@ from sentilake.streaming import history as TH, posts as TP
 
 SHOWN_TS = "yyyy-MM-dd HH:mm:ss"
 RUN_ID, MODEL_ID, WORKER_ID = "run1", "fixed", "w0"
+LANDED_FILE = 8 << 20
 
 
 def r6(c: Column) -> Column:
@@ -726,10 +727,16 @@ def q_combine_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- streams ------------------------------------------------------------------
 
-def _landed_stream(df: DataFrame, root: str, files: int) -> DataFrame:
-    """``df`` written as several files and read back as a stream, one file per batch."""
-    df.repartition(files).write.parquet(f"{root}/landed")
-    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed")
+def files_per_batch(df: DataFrame, batches: int) -> int:
+    """Files to land for each batch of a stream: one for every ``LANDED_FILE`` bytes that ``df`` is made from."""
+    return max(1, -(-input_bytes(df) // (batches * LANDED_FILE)))
+
+
+def _landed_stream(df: DataFrame, root: str, batches: int) -> DataFrame:
+    """``df`` written as files and read back as a stream in several batches, each a mixture of all rows."""
+    n = files_per_batch(df, batches)
+    df.repartition(batches * n).write.parquet(f"{root}/landed")
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", n).parquet(f"{root}/landed")
 
 
 def q_stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -758,10 +765,11 @@ def q_stream_best_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     root = shared_dir(use_utc(spark), "stream-best")
     copies = _copies(spark, sf_dir).select("post_id", "id", "position", "post_created_ts", "post_score", "post_subreddit", "n_comments")
-    copies.repartition(3).write.parquet(f"{root}/landed/1")
+    n = files_per_batch(copies, 3)
+    copies.repartition(3 * n).write.parquet(f"{root}/landed/1")
     end = copies.limit(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in copies.schema])
     end.withColumns({"post_id": F.lit("end"), "post_created_ts": F.lit(I.NOW + timedelta(days=400))}).write.parquet(f"{root}/landed/2")
-    landed = spark.readStream.schema(copies.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed/*")
+    landed = spark.readStream.schema(copies.schema).option("maxFilesPerTrigger", n).parquet(f"{root}/landed/*")
     best = TP.stream_best_copy(landed, "post_created_ts", "60 days", F.col("n_comments"), ("position",))
     best.writeStream.format("parquet").option("checkpointLocation", f"{root}/ckpt").option("path", f"{root}/out") \
         .trigger(availableNow=True).start().awaitTermination()

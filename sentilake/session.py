@@ -48,6 +48,15 @@ def file_state(spark: SparkSession, path: str) -> tuple[int, int] | None:
     return status.getLen(), status.getModificationTime()
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Length of the files that a table is made from."""
+    spark, total = df.sparkSession, 0
+    for name in df.inputFiles():
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))
+        total += jpath.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(jpath).getLen()
+    return total
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     """Delete a file or a folder with all in it; tells whether it was there."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)

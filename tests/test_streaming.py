@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from sentilake.operators.archives import dedupe_posts
 from sentilake.operators.summary import sentiment_summary
-from sentilake.plans import inputs as I
+from sentilake.plans import inputs as I, queries as Q
 from sentilake.schemas import EMOTIONS
 from sentilake.streaming import history as TH
 from sentilake.streaming.posts import stream_best_copy, stream_dedupe
@@ -84,3 +84,17 @@ def test_most_discussed_copy(spark, tmp_path):
     batch = dedupe_posts(spark.createDataFrame(rows[:40], schema), size=F.col("n"), tie_cols=("place",))
     want = sorted([tuple(r) for r in batch.select(*best.columns).collect()] + [("p0", at.replace(tzinfo=None) + timedelta(days=9), 0, "again", 100)])
     assert [(g[0], *g[2:]) for g in got] == [(w[0], *w[2:]) for w in want] and best.columns == schema.replace(",", "").split()[::2]
+
+
+def test_landed_files_grow_with_the_input_and_batches_do_not(spark, tmp_path, monkeypatch):
+    """The table takes about eight of the files that a batch may consist of."""
+    spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("t")).repartition(2).write.parquet(f"{tmp_path}/in")
+    table = spark.read.parquet(f"{tmp_path}/in")
+    monkeypatch.setattr(Q, "LANDED_FILE", Q.input_bytes(table) // 8 + 1)
+    assert Q.files_per_batch(table, 2) == 4 and Q.files_per_batch(table.where("id < 0"), 100) == 1
+    Q._landed_stream(table, str(tmp_path), 2).writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/c") \
+        .option("path", f"{tmp_path}/o").trigger(availableNow=True).start().awaitTermination()
+    landed = spark.read.parquet(f"{tmp_path}/landed").groupBy(F.input_file_name()).count().collect()
+    assert len(landed) == 8 and max(r["count"] for r in landed) <= 2600
+    assert len(glob.glob(f"{tmp_path}/c/commits/[0-9]*")) == 2
+    assert spark.read.parquet(f"{tmp_path}/o").exceptAll(table).isEmpty() and spark.read.parquet(f"{tmp_path}/o").count() == 20_000
