@@ -791,8 +791,9 @@ def q_stream_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed listing files as a stream; committed files go to an archive folder."""
     root = shared_dir(use_utc(spark), "stream-listings")
     landed = I.listings(spark, sf_dir).withColumn("method", F.lit("hot"))
-    landed.repartition(2).write.json(f"{root}/landed")
-    stream = RL.read_listings(spark, f"{root}/landed", streaming=True, max_files=1, clean_source="archive",
+    n = files_per_batch(landed, 2)
+    landed.repartition(2 * n).write.json(f"{root}/landed")
+    stream = RL.read_listings(spark, f"{root}/landed", streaming=True, max_files=n, clean_source="archive",
                               archive_dir=f"{root}/archived")
     posts = P.conform_posts(P.normalize_post(stream))
     posts.writeStream.format("parquet").option("checkpointLocation", f"{root}/ckpt") \

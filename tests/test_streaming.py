@@ -98,3 +98,11 @@ def test_landed_files_grow_with_the_input_and_batches_do_not(spark, tmp_path, mo
     assert len(landed) == 8 and max(r["count"] for r in landed) <= 2600
     assert len(glob.glob(f"{tmp_path}/c/commits/[0-9]*")) == 2
     assert spark.read.parquet(f"{tmp_path}/o").exceptAll(table).isEmpty() and spark.read.parquet(f"{tmp_path}/o").count() == 20_000
+
+
+def test_listings_land_in_more_files_when_there_are_more(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(Q, "LANDED_FILE", Q.input_bytes(I.listings(spark, sf_dir)) // 6 + 1)
+    monkeypatch.setattr(Q, "shared_dir", lambda _, name: f"{tmp_path}/{name}")
+    assert Q.q_stream_listings(spark, sf_dir).count() == I.listings(spark, sf_dir).count()
+    names = {f.rpartition("/")[2] for f in glob.glob(f"{tmp_path}/stream-listings/**/part-*.json", recursive=True)}
+    assert len(names) == 6 and len(glob.glob(f"{tmp_path}/stream-listings/ckpt/commits/[0-9]*")) == 2
