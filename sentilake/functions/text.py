@@ -12,7 +12,7 @@ import html
 import sys
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, functions as F, types as T
 
 from sentilake.functions.sentiment import bind
@@ -45,6 +45,9 @@ INPUT_INDENT = " " * 16
 PROMPT_INDENT = " " * 12
 COMMENT_SEPARATOR = " | "
 
+# Fixed value: texts that a Python worker holds as objects at a time.
+SLICE = 128
+
 
 def _decode(text: str | None, nfkc: bool, nbsp: bool, entities: bool) -> str | None:
     if text is None:
@@ -56,24 +59,29 @@ def _decode(text: str | None, nfkc: bool, nbsp: bool, entities: bool) -> str | N
     return html.unescape(text) if entities else text
 
 
+def _in_slices(values: pa.Array, use, kind: pa.DataType) -> pa.Array:
+    """``use`` of every value, a few at a time: only those are Python objects at once."""
+    cut = [values.slice(k, SLICE) for k in range(0, len(values), SLICE)]
+    return pa.concat_arrays([pa.array([use(v) for v in part.to_pylist()], kind) for part in cut] or [pa.array([], kind)])
+
+
 def _decoder(nfkc: bool, nbsp: bool, entities: bool, many: bool = False):
     """Arrow UDF for one text, or for every text of an array."""
 
+    def decode(text: str | None) -> str | None:
+        return _decode(text, nfkc, nbsp, entities)
+
     if many:
 
-        @F.pandas_udf(T.ArrayType(T.StringType()))
-        def decode_all(texts: pd.Series) -> pd.Series:
-            return texts.map(
-                lambda row: None
-                if row is None
-                else [_decode(t, nfkc, nbsp, entities) for t in row]
-            )
+        @F.arrow_udf(T.ArrayType(T.StringType()))
+        def decode_all(texts: pa.Array) -> pa.Array:
+            return _in_slices(texts, lambda row: None if row is None else [decode(t) for t in row], pa.list_(pa.string()))
 
         return decode_all
 
-    @F.pandas_udf(T.StringType())
-    def decode_one(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: _decode(t, nfkc, nbsp, entities))
+    @F.arrow_udf(T.StringType())
+    def decode_one(texts: pa.Array) -> pa.Array:
+        return _in_slices(texts, decode, pa.string())
 
     return decode_one
 

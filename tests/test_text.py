@@ -1,8 +1,10 @@
 """Cleaning rules on inputs of our own, with literal results."""
 
 import random
+import tracemalloc
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,3 +103,14 @@ def test_elements_of_an_array_are_sent_one_by_one(spark):
     rows = [(["plain", "½ &amp; é", None, "ｶﾞ"],), ([None],), ([],), (None,), (["é", "no change"],)]
     got = [r[0] for r in spark.createDataFrame(rows, "t array<string>").coalesce(1).select(X.clean_texts(F.col("t"))).collect()]
     assert got == [["plain", "1⁄2 & é", None, "ガ"], [None], [], None, ["é", "no change"]]
+
+
+def test_a_worker_holds_a_few_texts_at_a_time():
+    """20 MB of texts in one batch, of which a slice is Python objects at once."""
+    texts = pa.array([None, *(f"{i} &amp; " + "x" * 10_000 for i in range(2000))], pa.string())
+    tracemalloc.start()
+    got = X._in_slices(texts, lambda t: X._decode(t, True, True, True), pa.string())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.to_pylist() == [None, *(f"{i} & " + "x" * 10_000 for i in range(2000))] and peak < 8 << 20
+    assert X._in_slices(pa.array([], pa.string()), str, pa.string()).to_pylist() == []
