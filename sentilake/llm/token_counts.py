@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import collections
 import json
+import os
 import re
 from collections.abc import Iterator
 
@@ -31,6 +32,26 @@ VOCABULARY = "word_bpe_49k.json"
 #: Characters that the normalizer only lower-cases.
 SIMPLE = re.compile("[\t\n\r\x20-\x7e\u00a0-\u012f\u0131-\u0148\u014a-\u017e]*")
 TOP_OF_TASK = 1 << 14
+#: Texts cut at a time, and characters that the library encodes at a time (one text at least).
+SLICE, ENCODED = 128, 1 << 18
+
+
+def one_thread() -> None:
+    """A task has one core; the library would start a thread, with memory of its own, for every core of the machine."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+
+
+def portions(texts: list[str], characters: int) -> Iterator[list[str]]:
+    """The texts in order, cut where ``characters`` are reached."""
+    part, size = [], 0
+    for t in texts:
+        part.append(t)
+        size += len(t) + 1
+        if size >= characters:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
 
 
 class PreTokens:
@@ -49,7 +70,7 @@ class PreTokens:
         return SIMPLE.fullmatch(text) is not None and not any(s in text for s in self.special)
 
     def lengths(self, texts: list[str]) -> list[int]:
-        return [len(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [len(e) for part in portions(texts, ENCODED) for e in self.tokenizer.encode_batch(part, add_special_tokens=False)]
 
 
 def frequent(docs: DataFrame, spec: str, text: str, id: str, tier_one: int, one_in: int) -> dict[str, int]:
@@ -58,8 +79,9 @@ def frequent(docs: DataFrame, spec: str, text: str, id: str, tier_one: int, one_
     A task reports its commonest ones only; the driver gets ``tier_one`` rows.
     """
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one_thread()
         pre, seen = PreTokens(spec), collections.Counter()
-        for batch in batches:
+        for batch in slices(batches, SLICE):
             for t in batch.column(0).to_pylist():
                 if t and pre.simple(t):
                     seen.update(pre.cut(t.lower()))
@@ -84,10 +106,11 @@ def count_tokens(docs: DataFrame, *, text="text", id="doc_id", vocabulary: str |
     shared_table = context.broadcast(frequent(docs, spec, text, id, tier_one, one_in))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one_thread()
         pre, table = PreTokens(shared_spec.value), shared_table.value
         known = dict(table)
-        for batch in slices(batches, 1024):
-            texts = [t or "" for t in batch.column(OWN + "text").to_pylist()]
+        for batch in slices(batches, SLICE):
+            texts = [t or "" for t in batch.column(given_text).to_pylist()]
             n_tokens, cut, odd, missing = [0] * len(texts), {}, [], set()
             for i, t in enumerate(texts):
                 if pre.simple(t):
@@ -106,12 +129,15 @@ def count_tokens(docs: DataFrame, *, text="text", id="doc_id", vocabulary: str |
                 n_tokens[i] = sum(map(known.__getitem__, tokens))
             for i, n in zip(odd, pre.lengths([texts[i] for i in odd]) if odd else ()):
                 n_tokens[i] = n
-            rest = batch.drop_columns([OWN + "text"])
+            rest = batch.select(kept)
             yield pa.RecordBatch.from_arrays(
                 [*rest.columns, pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(n_tokens, pa.int64())],
                 names=[*rest.schema.names, "n_bytes", "n_tokens"])
 
     kept = [c for c in docs.columns if c.lower() not in ("n_bytes", "n_tokens")]
-    given = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text).alias(OWN + "text"))
-    schema = StructType(given.schema.fields[:-1]).add("n_bytes", LongType()).add("n_tokens", LongType())
+    # A text that is kept crosses to Python once.
+    given_text = text if text in kept else OWN + "text"
+    own = [] if text in kept else [F.col(text).alias(given_text)]
+    given = docs.select(*[F.col(f"`{c}`") for c in kept], *own)
+    schema = StructType(given.schema.fields[:len(kept)]).add("n_bytes", LongType()).add("n_tokens", LongType())
     return given.mapInArrow(count, schema)

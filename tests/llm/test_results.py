@@ -358,3 +358,28 @@ def test_pipeline(spark, sf_dir, texts):
     assert {r.doc_id for r in found} <= kept & clean and max(collections.Counter(r.doc_id for r in found).values()) <= 2
     per = collections.Counter(r.shard for r in found)
     assert max(per.values()) - min(per.values()) <= 1 and len(set((r.shard, r.slot) for r in found)) == len(found)
+
+
+def test_tokens_are_encoded_in_portions():
+    from sentilake.llm.token_counts import portions
+
+    texts = ["a" * 10, "", "b" * 50, "c", "d" * 3]
+    assert list(portions(texts, 20)) == [["a" * 10, "", "b" * 50], ["c", "d" * 3]] and list(portions([], 20)) == []
+    assert [len(p) for p in portions(["x" * 1000] * 100, 10_000)] == [10] * 10
+
+
+def test_token_counts_send_a_kept_text_once(spark):
+    """Texts across slices and portions; the kept text is the only text column that goes to Python."""
+    from tokenizers import Tokenizer
+    import public_tokenizers
+    from sentilake.llm import token_counts
+
+    texts = [None, "", "Ünïcode ½ ｶﾞ", "日本語 " * 30] + [f"Word{i} is, of course, {'longer ' * (i % 40)}!" for i in range(600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").coalesce(1)
+    found = token_counts.count_tokens(docs, one_in=4)
+    assert token_counts.OWN + "text" not in found._jdf.queryExecution().optimizedPlan().toString()
+    library = Tokenizer.from_file(str(public_tokenizers.path(token_counts.VOCABULARY)))
+    want = [len(library.encode(t or "", add_special_tokens=False).ids) for t in texts]
+    assert [r["n_tokens"] for r in found.orderBy("doc_id").collect()] == want
+    other = token_counts.count_tokens(docs.withColumnRenamed("text", "n_tokens"), text="n_tokens", one_in=4)
+    assert other.columns == ["doc_id", "n_bytes", "n_tokens"] and [r["n_tokens"] for r in other.orderBy("doc_id").collect()] == want
