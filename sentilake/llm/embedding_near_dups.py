@@ -9,7 +9,8 @@ list a query looks the squared distance to each code up in its table of subspace
 distances and passes on what may lie within the radius, given the exact length of the
 coding error that is stored with each code. What passes is reranked by the exact cosine
 in double precision, which alone decides. Two vectors that meet in several lists are
-linked in the first of them only, and each link counts at both its ends.
+linked in the first of them only, and each link counts at both its ends. The lists a vector
+goes to are written with it as bits, once; its copies are made on their way to the lists.
 
 The number of lists grows with the vectors, one for ``rows_per_list`` of them, up to
 one for 16 vectors of the sample. Quantisers are fitted to at most about ``sample_rows``
@@ -162,27 +163,46 @@ def _search(entries, n, radius, least, lists, subspaces, sample_rows, block, see
     shared = entries.sparkSession.sparkContext.broadcast((quantiser.coarse, quantiser.books))
     kind = entries.schema["v"].dataType.simpleString()
 
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Quantiser(*shared.value)
+        for part in slices(batches, 1024):
+            if part.num_rows:
+                visits = own.probes(unit(matrix(part.column(3))), radius / 2 + SLACK)
+                seen = pa.array([bits.tobytes() for bits in np.packbits(visits, axis=1)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, seen], names=["label", "key", "n", "v", "seen"])
+
+    def visited_lists(seen: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Places of vectors and the lists they go to."""
+        return np.nonzero(np.unpackbits(np.frombuffer(b"".join(seen.to_pylist()), np.uint8).reshape(len(seen), -1), axis=1))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 1024):
+            if part.num_rows:
+                which, at = visited_lists(part.column(1))
+                pairs = pa.table({"label": part.column(0).take(pa.array(which)), "list": pa.array(at.astype(np.int32))})
+                found = pairs.group_by(["label", "list"]).aggregate([([], "count_all")])
+                yield from found.select(["label", "list", "count_all"]).rename_columns(["label", "list", "members"]).to_batches()
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Quantiser(*shared.value)
         for part in slices(batches, 1024):
             if not part.num_rows:
                 continue
-            x = unit(matrix(part.column(3)))
-            visits = own.probes(x, radius / 2 + SLACK)
-            which, at = np.nonzero(visits)
-            codes, error = own.encode(x[which] - own.coarse[at])
-            seen = pa.array([bits.tobytes() for bits in np.packbits(visits, axis=1)], pa.binary())
+            which, at = visited_lists(part.column(4))
+            codes, error = own.encode(unit(matrix(part.column(3)))[which] - own.coarse[at])
             copies = part.take(pa.array(which))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(at.astype(np.int32)), *copies.columns, pa.array([c.tobytes() for c in codes], pa.binary()),
-                 pa.array(error), seen.take(pa.array(which))],
-                names=["list", "label", "key", "n", "v", "codes", "error", "seen"])
-
-    dealt = entries.select("label", "key", "n", "v").mapInArrow(
-        deal, f"list int, label string, key long, n long, v {kind}, codes binary, error double, seen binary")
-    dealt = materialize(dealt, "dealt")
-    counts = dealt.groupBy("label", "list").agg(F.count("*").alias("members")).where("members > 1").select(
-        "label", "list", F.ceil(F.col("members") / block).cast("int").alias("blocks"))
+                [pa.array(at.astype(np.int32)), *copies.columns, pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error)],
+                names=["list", "label", "key", "n", "v", "seen", "codes", "error"])
+
+    # Written once for each vector; its copies, one a list, only go to their tasks.
+    visited = materialize(entries.select("label", "key", "n", "v").mapInArrow(
+        visit, f"label string, key long, n long, v {kind}, seen binary"), "visited")
+    dealt = visited.mapInArrow(
+        deal, f"list int, label string, key long, n long, v {kind}, seen binary, codes binary, error double")
+    members = visited.select("label", "seen").mapInArrow(count, "label string, list int, members long")
+    counts = materialize(members.groupBy("label", "list").agg(F.sum("members").alias("members")).where("members > 1").select(
+        "label", "list", F.ceil(F.col("members") / block).cast("int").alias("blocks")), "lists")
     placed = dealt.join(counts, ["label", "list"]).withColumn(
         "own", F.pmod(F.xxhash64(F.lit(seed), "key"), F.col("blocks")).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

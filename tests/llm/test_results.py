@@ -383,3 +383,21 @@ def test_token_counts_send_a_kept_text_once(spark):
     assert [r["n_tokens"] for r in found.orderBy("doc_id").collect()] == want
     other = token_counts.count_tokens(docs.withColumnRenamed("text", "n_tokens"), text="n_tokens", one_in=4)
     assert other.columns == ["doc_id", "n_bytes", "n_tokens"] and [r["n_tokens"] for r in other.orderBy("doc_id").collect()] == want
+
+
+def test_vectors_are_written_once_whatever_lists_they_go_to(spark, monkeypatch):
+    import numpy as np
+    from sentilake.llm import embedding_near_dups as E
+
+    x = np.random.default_rng(0).normal(size=(300, 16))
+    rows = [(i, [float(f) for f in v], 1) for i, v in enumerate(x)] + [(300, [float(f) * 3 for f in x[0]], 1)]
+    table, written, real = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), {}, E.materialize
+
+    def materialize(df, name):
+        made = real(df, name)
+        written[name] = made.count() if "v" in made.columns else 0
+        return made
+
+    monkeypatch.setattr(E, "materialize", materialize)
+    links = {r["id"]: r["n_links"] for r in E.near_vectors(table, lists=8).collect()}
+    assert {i for i, n in links.items() if n} == {0, 300} and max(written.values()) == 301
