@@ -3,14 +3,20 @@
 Vectors of one label are compared by cosine. A coarse quantiser (k-means) deals unit
 vectors to inverted lists; what remains after subtracting the list's centre is coded in
 subspaces, one of 256 codewords each. A vector goes to its nearest list and to every
-list whose border with that one is within half the radius: the list nearest to the
-middle of two vectors within the radius then holds them both, so no pair is lost. In a
-list a query looks the squared distance to each code up in its table of subspace
-distances and passes on what may lie within the radius, given the exact length of the
-coding error that is stored with each code. What passes is reranked by the exact cosine
-in double precision, which alone decides. Two vectors that meet in several lists are
-linked in the first of them only, and each link counts at both its ends. The lists a vector
-goes to are written with it as bits, once; its copies are made on their way to the lists.
+list whose borders with that one, and with the means of the few nearest, are within half
+the radius: the list nearest to the middle of two vectors within the radius then holds
+them both, so no pair is lost. In a list a query looks the squared distance to each code
+up in its table of subspace distances and passes on what may lie within the radius, given
+the exact length of the coding error that is stored with each code. What passes is
+reranked by the cosine. Two vectors that meet in several lists are linked in the first of
+them only, and each link counts at both its ends.
+
+A vector goes to its lists in short, as whole numbers of 16 bits, with a step and the
+length of what these leave out; the lists it goes to, as bits, are written with it, once,
+and its copies are made on their way to the lists. The short vectors say of nearly every
+pair on which side of the limit its cosine is, whatever the rounding. The vectors of the
+other pairs are fetched in full, for their list and block, and the cosine in double
+precision decides; it would decide the same of every pair.
 
 The number of lists grows with the vectors, one for ``rows_per_list`` of them, up to
 one for 16 vectors of the sample. Quantisers are fitted to at most about ``sample_rows``
@@ -42,6 +48,11 @@ from sentilake.session import materialize
 ROWS_PER_LIST, SUBSPACES, CODEWORDS = 512, 8, 256
 BLOCK = 2048
 SLACK = 1e-9
+#: Short vectors decide where the squared distance is further than this from the limit's; rounding is below 1e-14.
+CLEAR = 4e-12
+#: Means of the nearest lists that give borders; numbers of vectors that a task holds in one array for copies and pairs.
+MEANS, NUMBERS = 4, 1 << 21
+LINKS = ["key", "partners", "low"]
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -104,12 +115,57 @@ class Quantiser:
         return [squared(self.part(q, j), b) for j, b in enumerate(self.books)]
 
     def probes(self, x: np.ndarray, reach: float) -> np.ndarray:
-        """For each vector and list: is it the nearest one, or is their border within reach?"""
-        d = squared(x, self.coarse)
-        home = d.argmin(1)
-        apart = np.sqrt(squared(self.coarse, self.coarse))[home]
-        gap = (d - d[np.arange(len(x)), home][:, None]) / np.maximum(2 * apart, 1e-12)
-        return (gap <= reach) | (np.arange(len(self.coarse)) == home[:, None])
+        """For each vector and list: is it the nearest one, or may a point within reach be nearest to it?
+
+        The squared distance of such a point from it is no more than the mean of those from the nearest
+        lists, however many: a border with each of a few means, the first of them the nearest list.
+        """
+        d, rows = squared(x, self.coarse), np.arange(len(x))
+        home, dots = d.argmin(1), self.coarse @ self.coarse.T
+        lengths = dots.diagonal()
+        inner, own, total = np.zeros_like(d), np.zeros(len(x)), np.zeros(len(x))
+        within, nearest_lists = np.ones(d.shape, bool), np.argsort(d, axis=1)[:, :MEANS]
+        for t, j in enumerate(nearest_lists.T, 1):
+            own += 2 * inner[rows, j] + lengths[j]
+            inner += dots[j]
+            total += d[rows, j]
+            apart = np.sqrt(np.maximum(lengths - 2 * inner / t + (own / t**2)[:, None], 0))
+            # Rounded so that no list is left out.
+            within &= d - (total / t)[:, None] <= 2 * reach * (apart + 1e-7) + 1e-12
+        return within | (np.arange(len(self.coarse)) == home[:, None])
+
+
+def shorten(x: np.ndarray) -> np.ndarray:
+    """Vectors as whole numbers of steps, and the length of what these leave out, rounded up."""
+    made = np.zeros(len(x), short_form(x.shape[1]))
+    made["step"] = np.abs(x).max(axis=1) / 32767
+    step = made["step"].astype(np.float64)[:, None]
+    made["whole"] = np.rint(x / step)
+    made["left"] = up(np.sqrt(((x - made["whole"] * step) ** 2).sum(1)))
+    return made
+
+
+def up(x: np.ndarray) -> np.ndarray:
+    return np.nextafter(x.astype(np.float32), np.float32(np.inf))
+
+
+def short_form(width: int, *more) -> np.dtype:
+    return np.dtype([("step", "<f4"), ("left", "<f4"), ("whole", "<i2", (width,)), *more])
+
+
+def binary(cells: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """The first bytes of each row of a matrix of bytes."""
+    ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    kept = cells[np.arange(cells.shape[1]) < lengths[:, None]]
+    return pa.Array.from_buffers(pa.binary(), len(cells), [None, pa.py_buffer(ends), pa.py_buffer(kept)])
+
+
+def raw(rows: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(rows).view(np.uint8).reshape(len(rows), -1)
+
+
+def records(column: pa.ChunkedArray | pa.Array, form: np.dtype) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), form)
 
 
 def flat(roots: np.ndarray) -> np.ndarray:
@@ -160,25 +216,30 @@ def _search(entries, n, radius, least, lists, subspaces, sample_rows, block, see
     quantiser = Quantiser.fit(unit(matrix(chosen.select("v").toArrow().column(0))), lists, subspaces, CODEWORDS, seed)
     if not len(quantiser.coarse):
         quantiser = Quantiser.fit(unit(matrix(entries.select("v").limit(1).toArrow().column(0))), 1, 1, 1, seed)
+    width, coded = quantiser.coarse.shape[1], [("error", "<f4"), ("codes", "u1", (len(quantiser.books),))]
+    at_once = max(1, NUMBERS // width)
     shared = entries.sparkSession.sparkContext.broadcast((quantiser.coarse, quantiser.books))
-    kind = entries.schema["v"].dataType.simpleString()
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Quantiser(*shared.value)
         for part in slices(batches, 1024):
             if part.num_rows:
-                visits = own.probes(unit(matrix(part.column(3))), radius / 2 + SLACK)
-                seen = pa.array([bits.tobytes() for bits in np.packbits(visits, axis=1)], pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns, seen], names=["label", "key", "n", "v", "seen"])
+                x = unit(matrix(part.column(3)))
+                seen = np.packbits(own.probes(x, radius / 2 + SLACK), axis=1)
+                packed = [binary(rows, np.full(len(rows), rows.shape[1])) for rows in (raw(shorten(x)), seen)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], *packed], names=["label", "key", "n", "short", "seen"])
 
-    def visited_lists(seen: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def visited_lists(seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of vectors and the lists they go to."""
-        return np.nonzero(np.unpackbits(np.frombuffer(b"".join(seen.to_pylist()), np.uint8).reshape(len(seen), -1), axis=1))
+        return np.nonzero(np.unpackbits(seen, axis=1))
+
+    def lists_of(column: pa.Array) -> np.ndarray:
+        return records(column, np.dtype("u1")).reshape(len(column), -1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 1024):
             if part.num_rows:
-                which, at = visited_lists(part.column(1))
+                which, at = visited_lists(lists_of(part.column(1)))
                 pairs = pa.table({"label": part.column(0).take(pa.array(which)), "list": pa.array(at.astype(np.int32))})
                 found = pairs.group_by(["label", "list"]).aggregate([([], "count_all")])
                 yield from found.select(["label", "list", "count_all"]).rename_columns(["label", "list", "members"]).to_batches()
@@ -188,18 +249,26 @@ def _search(entries, n, radius, least, lists, subspaces, sample_rows, block, see
         for part in slices(batches, 1024):
             if not part.num_rows:
                 continue
-            which, at = visited_lists(part.column(4))
-            codes, error = own.encode(unit(matrix(part.column(3)))[which] - own.coarse[at])
-            copies = part.take(pa.array(which))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at.astype(np.int32)), *copies.columns, pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error)],
-                names=["list", "label", "key", "n", "v", "seen", "codes", "error"])
+            rows, seen = records(part.column(3), short_form(width)), lists_of(part.column(4))
+            x = rows["whole"] * rows["step"].astype(np.float64)[:, None]
+            all_which, all_at = visited_lists(seen)
+            for k in range(0, len(all_at), at_once):
+                which, at = all_which[k : k + at_once], all_at[k : k + at_once]
+                codes, error = own.encode(x[which] - own.coarse[at])
+                body = np.zeros(len(at), short_form(width, *coded))
+                for name in ("step", "left", "whole"):
+                    body[name] = rows[name][which]
+                body["codes"], body["error"] = codes, up(error)
+                # Of the lists, those up to this one.
+                packed = binary(np.hstack([raw(body), seen[which]]), body.itemsize + at // 8 + 1)
+                copies = part.select([0, 1, 2]).take(pa.array(which))
+                yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *copies.columns, packed],
+                                                 names=["list", "label", "key", "n", "body"])
 
     # Written once for each vector; its copies, one a list, only go to their tasks.
     visited = materialize(entries.select("label", "key", "n", "v").mapInArrow(
-        visit, f"label string, key long, n long, v {kind}, seen binary"), "visited")
-    dealt = visited.mapInArrow(
-        deal, f"list int, label string, key long, n long, v {kind}, seen binary, codes binary, error double")
+        visit, "label string, key long, n long, short binary, seen binary"), "visited")
+    dealt = visited.mapInArrow(deal, "list int, label string, key long, n long, body binary")
     members = visited.select("label", "seen").mapInArrow(count, "label string, list int, members long")
     counts = materialize(members.groupBy("label", "list").agg(F.sum("members").alias("members")).where("members > 1").select(
         "label", "list", F.ceil(F.col("members") / block).cast("int").alias("blocks")), "lists")
@@ -208,17 +277,22 @@ def _search(entries, n, radius, least, lists, subspaces, sample_rows, block, see
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.withColumn("c", F.greatest("own", "other")).withColumn("q", F.least("own", "other"))
 
+    pair, placing = ["label", "list", "c", "q"], ["list", "label", "n", "body", "own", "c", "q"]
+
     def scan(group: pa.Table) -> pa.Table:
+        """Links of two blocks; with vectors in full, those among pairs on which short ones do not decide."""
         quantiser = Quantiser(*shared.value)
-        keys, n, own, error = (np.asarray(group.column(c)) for c in ("key", "n", "own", "error"))
-        x = unit(matrix(group.column("v")))
+        keys, n, own = (np.asarray(group.column(c)) for c in ("key", "n", "own"))
         at, c, q = (group.column(name)[0].as_py() for name in ("list", "c", "q"))
-        codes, seen = (np.frombuffer(b"".join(group.column(name).to_pylist()), np.uint8).reshape(len(keys), -1)
-                       for name in ("codes", "seen"))
+        body = records(group.column("body"), short_form(width, *coded, ("seen", "u1", (at // 8 + 1,))))
+        step, left, error = (body[name].astype(np.float64) for name in ("step", "left", "error"))
+        whole, codes, seen = body["whole"].astype(np.float64), body["codes"], body["seen"]
+        norms = step * step * (whole * whole).sum(1)
+        full = unit(matrix(group.column("v"))) if "v" in group.column_names else None
         # Bits of the lists before this one: who shares one of them has met there.
         earlier = np.packbits(np.arange(8 * seen.shape[1]) < at)
         asks, answers = np.flatnonzero(own == q), np.flatnonzero(own == c)
-        partners = np.zeros(len(keys), np.int64)
+        partners, unsettled = np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
         roots = np.arange(len(keys))  # links inside this task, as a forest
 
         def root(i):
@@ -231,19 +305,30 @@ def _search(entries, n, radius, least, lists, subspaces, sample_rows, block, see
             some = asks[k : k + 256]
             against = answers[k:] if c == q else answers
             distance = np.zeros((len(some), len(against)))
-            for j, table in enumerate(quantiser.tables(x[some] - quantiser.coarse[at])):
+            for j, table in enumerate(quantiser.tables(whole[some] * step[some, None] - quantiser.coarse[at])):
                 distance += table[:, codes[against, j]]
             # |q - x| >= |q - code| - error: nothing within the radius is passed over.
-            near = np.sqrt(np.maximum(distance, 0)) <= radius + error[against][None, :] + 1e-6
+            near = np.sqrt(np.maximum(distance, 0)) <= radius + 1e-6 + (error + left)[against][None, :] + left[some][:, None]
             if c == q:
                 near &= some[:, None] < against[None, :]
             a, b = np.nonzero(near)
-            for m in range(0, len(a), 1 << 15):
-                i, j = some[a[m : m + (1 << 15)]], against[b[m : m + (1 << 15)]]
-                linked = (x[i] * x[j]).sum(1) >= least
-                i, j = i[linked], j[linked]
+            for m in range(0, len(a), at_once):
+                i, j = some[a[m : m + at_once]], against[b[m : m + at_once]]
+                # Sums of whole numbers are exact, so both passes find the same pairs undecided.
+                apart = np.sqrt(np.maximum(norms[i] + norms[j] - 2 * (step[i] * step[j] * (whole[i] * whole[j]).sum(1)), 0))
+                blur = left[i] + left[j]
+                linked = (apart + blur) ** 2 <= radius * radius - CLEAR
+                unsure = ~linked & (np.maximum(apart - blur, 0) ** 2 <= radius * radius + CLEAR)
+                keep = (linked | unsure) if full is None else unsure
+                i, j, unsure = i[keep], j[keep], unsure[keep]
                 first = ~(seen[i] & seen[j] & earlier).any(1)
-                i, j = i[first], j[first]
+                i, j, unsure = i[first], j[first], unsure[first]
+                if full is None:
+                    unsettled[i[unsure]] = unsettled[j[unsure]] = True
+                    linked = ~unsure
+                else:
+                    linked = (full[i] * full[j]).sum(1) >= least
+                i, j = i[linked], j[linked]
                 np.add.at(partners, i, n[j])
                 np.add.at(partners, j, n[i])
                 s, t = flat(roots)[i], roots[j]
@@ -254,7 +339,15 @@ def _search(entries, n, radius, least, lists, subspaces, sample_rows, block, see
         heads, low = flat(roots), keys.copy()
         np.minimum.at(low, heads, keys)
         keep = partners > 0
-        return pa.table({"key": keys[keep], "partners": partners[keep], "low": low[heads][keep]})
-
-    return placed.select("list", "label", "key", "n", "v", "codes", "error", "seen", "own", "c", "q").groupBy(
-        "label", "list", "c", "q").applyInArrow(scan, "key long, partners long, low long")
+        found = pa.table({"key": keys[keep], "partners": partners[keep], "low": low[heads][keep]})
+        if full is None:
+            found = pa.concat_tables([found, group.filter(pa.array(unsettled))], promote_options="default")
+        return found.select(LINKS if full is not None else LINKS + placing)
+
+    found = materialize(placed.select("key", *placing).groupBy(pair).applyInArrow(
+        scan, "key long, partners long, low long, list int, label string, n long, body binary, own int, c int, q int"), "pq_blocks")
+    links, undecided = found.where("partners is not null").select(LINKS), found.where("partners is null").select("key", *placing)
+    if undecided.isEmpty():
+        return links
+    return links.union(undecided.join(entries.select("key", "v"), "key").groupBy(pair).applyInArrow(
+        scan, "key long, partners long, low long"))

@@ -401,3 +401,76 @@ def test_vectors_are_written_once_whatever_lists_they_go_to(spark, monkeypatch):
     monkeypatch.setattr(E, "materialize", materialize)
     links = {r["id"]: r["n_links"] for r in E.near_vectors(table, lists=8).collect()}
     assert {i for i, n in links.items() if n} == {0, 300} and max(written.values()) == 301
+
+
+def test_vectors_go_to_their_lists_in_short(spark, monkeypatch):
+    from sentilake.llm import embedding_near_dups as E
+
+    x = np.random.default_rng(0).normal(size=(300, 16))
+    rows = [(i, [float(f) for f in v], 1) for i, v in enumerate(x)] + [(300, [float(f) * 3 for f in x[0]], 1)]
+    plans, real = [], E.materialize
+
+    def materialize(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, name)
+
+    monkeypatch.setattr(E, "materialize", materialize)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    links = {r["id"]: r["n_links"] for r in E.near_vectors(table, lists=8).collect()}
+    compared = [line for plan in plans for line in plan.splitlines() if "FlatMapGroupsInArrow" in line]
+    assert compared and not any(re.search(r"\bv#", line) for line in compared)
+    assert {i for i, n in links.items() if n} == {0, 300}
+
+
+@pytest.mark.parametrize("kind", ["array<double>", "array<float>"])
+def test_vectors_about_the_limit(spark, monkeypatch, kind):
+    """Pairs too close to the limit for short vectors are decided in full, over several lists and blocks."""
+    from sentilake.llm import embedding_near_dups as E
+
+    rng, width = np.random.default_rng(5), 24
+    made = []
+    for _ in range(30):
+        b, o = np.linalg.qr(rng.normal(size=(width, 2)))[0].T
+        made.append(b)
+        for by in (0, 1e-10, -1e-10, 1e-8, -1e-8, 1e-6, -1e-6, 1e-3, -1e-3):
+            c = 0.98 + by if by else 1.0
+            made.append((c * b + np.sqrt(1 - c * c) * o) * rng.uniform(1e-3, 1e3))
+    rows = [(i, v.tolist(), i % 2) for i, v in enumerate(made)] + [(1000 + i, v.tolist(), i % 2) for i, v in enumerate(made[::3])]
+    undecided, real = [], E.materialize
+
+    def materialize(df, name):
+        found = real(df, name)
+        undecided.append(found.where("partners is null").count() if name == "pq_blocks" else 0)
+        return found
+
+    monkeypatch.setattr(E, "materialize", materialize)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumn("embedding", F.col("embedding").cast(kind))
+    got = {r.id: (r.n_links, r.component_id) for r in E.near_vectors(table, lists=6, block=16).collect()}
+    rows = table.collect()
+    x = E.unit(np.array([r.embedding for r in rows], np.float64))
+    ids, labels = (np.array([r[k] for r in rows]) for k in (0, 2))
+    same = ((x[:, None] * x[None]).sum(2) >= 0.98) & (labels[:, None] == labels[None]) & (ids[:, None] != ids[None])
+    low = ids.copy()
+    while True:
+        lower = np.minimum(low, np.where(same, low[None], low.max()).min(1))
+        if (lower == low).all():
+            break
+        low = lower
+    assert got == {i: (n, c) for i, n, c in zip(ids.tolist(), same.sum(1).tolist(), low.tolist())}
+    assert sum(undecided) > 50 and 0 < same.sum()
+
+
+def test_vectors_within_the_radius_share_the_list_nearest_to_their_middle():
+    from sentilake.llm import embedding_near_dups as E
+
+    rng = np.random.default_rng(6)
+    for width in (3, 20):
+        x = E.unit(rng.normal(size=(4000, width)))
+        y = E.unit(x + rng.normal(size=x.shape) * 0.08 / np.sqrt(width))
+        coarse = np.concatenate([E.unit(rng.normal(size=(60, width))) * 0.5, np.zeros((2, width))])
+        coarse = np.concatenate([coarse, coarse[:3], coarse[:3] + 1e-9])
+        lists = E.Quantiser(coarse, [])
+        for reach in (0.05, 0.1):
+            near = np.flatnonzero(np.sqrt(((x - y) ** 2).sum(1)) <= 2 * reach)
+            middle = E.nearest((x + y)[near] / 2, coarse)
+            assert len(near) > 100 and all(lists.probes(v, reach)[near, middle].all() for v in (x, y))
