@@ -52,6 +52,8 @@ SLACK = 1e-9
 CLEAR = 4e-12
 #: Means of the nearest lists that give borders; numbers of vectors that a task holds in one array for copies and pairs.
 MEANS, NUMBERS = 4, 1 << 21
+#: Bytes of copies that a task makes, so that it sorts them in memory; more go to disk twice.
+TASK = 32 << 20
 LINKS = ["key", "partners", "low"]
 
 
@@ -268,10 +270,13 @@ def _search(entries, n, radius, least, lists, subspaces, sample_rows, block, see
     # Written once for each vector; its copies, one a list, only go to their tasks.
     visited = materialize(entries.select("label", "key", "n", "v").mapInArrow(
         visit, "label string, key long, n long, short binary, seen binary"), "visited")
-    dealt = visited.mapInArrow(deal, "list int, label string, key long, n long, body binary")
     members = visited.select("label", "seen").mapInArrow(count, "label string, list int, members long")
     counts = materialize(members.groupBy("label", "list").agg(F.sum("members").alias("members")).where("members > 1").select(
-        "label", "list", F.ceil(F.col("members") / block).cast("int").alias("blocks")), "lists")
+        "label", "list", "members", F.ceil(F.col("members") / block).cast("int").alias("blocks")), "lists")
+    copies = counts.agg(F.sum(F.col("members") * F.col("blocks"))).first()[0] or 0
+    tasks = copies * (2 * width + 256) // TASK
+    spread = visited.repartition(tasks, "key") if tasks > visited.rdd.getNumPartitions() else visited
+    dealt = spread.mapInArrow(deal, "list int, label string, key long, n long, body binary")
     placed = dealt.join(counts, ["label", "list"]).withColumn(
         "own", F.pmod(F.xxhash64(F.lit(seed), "key"), F.col("blocks")).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
